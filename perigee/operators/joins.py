@@ -16,6 +16,7 @@ from perigee.functions.expressions import (
 )
 from perigee.functions.times import hour_start
 from perigee.model import WINDOW_START
+from perigee.operators.skew import grouped_lookup
 
 
 def align_region(coverage: DataFrame) -> DataFrame:
@@ -23,14 +24,22 @@ def align_region(coverage: DataFrame) -> DataFrame:
     return coverage.withColumnRenamed("region_id", "region")
 
 
+def _unmatched(rows: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key ``others`` lacks. An outer join with a marker, since the optimizer moves an
+    anti join below projections, and then its shuffle of ``rows`` no longer equals the one of the
+    inner join and cannot be shared with it."""
+    held = grouped_lookup(others, key, F.count(F.lit(1)).alias("_copies"))
+    return rows.join(held, key, "left").where(F.col("_copies").isNull()).drop("_copies")
+
+
 def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """FULL OUTER equi-join with one copy of the key, built to survive hot and NULL keys.
 
-    Spark can split an oversized partition of an inner join on either side, and of a left anti
+    Spark can split an oversized partition of an inner join on either side, and of a left outer
     join on its left side, but not of a full outer join. So the result is put together from
-    matches, left rows without a partner and right rows without one; the anti joins look up
-    distinct keys, which are combined before the shuffle. Rows with a NULL in their key match
-    nothing and skip the shuffle altogether.
+    matches, left rows without a partner and right rows without one; the latter two look up
+    each key once, combined before the shuffle. The three joins share one shuffle per
+    input. Rows with a NULL in their key match nothing and skip the shuffle altogether.
     """
     key = list(key)
     shared = sorted((set(left.columns) & set(right.columns)) - set(key))
@@ -40,8 +49,8 @@ def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) ->
     l, r = left.where(usable), right.where(usable)
     pieces = [
         l.join(r, key, "inner"),
-        l.join(r.select(*key).distinct(), key, "left_anti"),
-        r.join(l.select(*key).distinct(), key, "left_anti"),
+        _unmatched(l, r, key),
+        _unmatched(r, l, key),
         left.where(~usable),
         right.where(~usable),
     ]

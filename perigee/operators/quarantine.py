@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.model import StatsTable
+from perigee.operators.skew import grouped_lookup
 
 REASON = "reject_reason"
 
@@ -37,16 +38,11 @@ def quarantine_stats(df: DataFrame, table: StatsTable) -> DataFrame:
     """
     judged = df.withColumn(REASON, _row_fault(table))
     sound, faulty = judged.where(F.col(REASON).isNull()), judged.where(F.col(REASON).isNotNull())
-    repeated = (
-        sound.groupBy(*table.key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .select(*table.key, F.lit("duplicate_key").alias("_repeated"))
-    )
+    copies = grouped_lookup(sound, table.key, F.count(F.lit(1)).alias("_copies"))
+    repeated = F.when(F.col("_copies").isNotNull(), "duplicate_key")
     sound = (
-        sound.drop(REASON)
-        .join(repeated, table.key, "left")
-        .withColumnRenamed("_repeated", REASON)
+        sound.join(copies.where("_copies > 1"), table.key, "left")
+        .withColumn(REASON, repeated)
         .select(*df.columns, REASON)
     )
     return sound.unionByName(faulty)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from perigee.model import RAW_DATASETS, STATS_TABLES
@@ -41,7 +43,8 @@ def _load_detail(df: DataFrame, root: str, dataset) -> int:
 
 
 def _load_stats(df: DataFrame, root: str, table, database: JdbcTarget | None) -> dict[str, int]:
-    judged = quarantine_stats(df, table)
+    # Hourly tables are small and read several times from here on: compute them once.
+    judged = quarantine_stats(df.checkpoint(), table)
     written = write_parquet(cast_stats_types(accepted(judged), table), f"{root}/{table.name}")
     refused = write_parquet(rejected(judged), f"{root}/rejected/{table.name}")
     if database is not None:
@@ -55,26 +58,27 @@ def load_all(
     """Write every output present and return the rows written per output.
 
     Detail rows go to dated or per-region folders; statistics get their serving types, and rows
-    those types refuse go to ``rejected/``. Only statistics are loaded into the database. A failing
-    output does not keep the others from being written, but the call fails in the end.
+    those types refuse go to ``rejected/``. Only statistics are loaded into the database. Outputs
+    are written side by side, so the small ones do not leave the cluster idle. A failing output does
+    not keep the others from being written, but the call fails in the end.
     """
     root = root.rstrip("/")
-    counts: dict[str, int] = {}
-    failures: dict[str, Exception] = {}
     jobs = {
         d.name: lambda df, d=d: {d.name: _load_detail(df, root, d)} for d in RAW_DATASETS
     } | {t.name: lambda df, t=t: _load_stats(df, root, t, database) for t in STATS_TABLES}
-    for name, job in jobs.items():
-        if name not in outputs:
-            continue
-        try:
-            counts |= job(outputs[name])
-        except Exception as error:  # noqa: BLE001 - reported below with the rest
-            failures[name] = error
+    present = [name for name in jobs if name in outputs]
+    if not present:
+        return {}
+    spark = outputs[present[0]].sparkSession
+    shared_folder(spark)  # checkpoints need a folder
+    run = inheritable_thread_target(spark)(lambda name: jobs[name](outputs[name]))
+    with ThreadPoolExecutor(len(present)) as pool:
+        results = {name: pool.submit(run, name) for name in present}
+    failures = {n: r.exception() for n, r in results.items() if r.exception()}
     if failures:
         details = "; ".join(f"{name}: {error}" for name, error in failures.items())
         raise LoadError(details) from next(iter(failures.values()))
-    return counts
+    return {output: rows for r in results.values() for output, rows in r.result().items()}
 
 
 def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, int]:
@@ -84,7 +88,7 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, int]:
     raw = extract_all(spark, config.raw_root, config.file_format, config.multi_line)
     require_nonempty(raw)
     raw["satellite"], extracted = observed_rows(raw["satellite"], "extracted")
-    outputs = transform_all(raw, cut=DataFrame.checkpoint)
+    outputs = transform_all(raw, cut=lambda df: df.checkpoint())
     counts = load_all(outputs, config.processed_root, config.database)
     counts["extracted/satellite"] = extracted.get["rows"]
     log.info("rows: %s", counts)

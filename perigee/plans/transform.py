@@ -25,9 +25,9 @@ def transform_all(
     """All outputs the given inputs allow; absent inputs are skipped.
 
     Satellite rows are cleaned and given orbital metrics; coverage and performance pass through as
-    they are. ``cut`` is applied to every small hourly result and may materialise it: with
-    ``DataFrame.checkpoint`` the hourly pass over the satellite rows runs once and serves both the
-    statistics and the mean that fills velocity in the detail rows.
+    they are. ``cut`` is applied to the hourly satellite sums and may materialise them, for example
+    with ``checkpoint``: then one pass over the satellite rows serves both their statistics and the
+    mean that fills velocity in the detail rows.
     """
     outputs: dict[str, DataFrame] = {}
     if "satellite" in inputs:
@@ -42,5 +42,5 @@ def transform_all(
     ):
         if name in inputs:
             outputs[name] = inputs[name]
-            outputs[table.name] = cut(rollup(inputs[name]))
+            outputs[table.name] = rollup(inputs[name])
     return outputs
