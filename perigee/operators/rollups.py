@@ -116,7 +116,8 @@ def velocity_partials(valid: DataFrame, time_col: str = "timestamp") -> DataFram
     """Per-hour sums of ``valid_positions`` rows, with what is needed to fill velocity later.
 
     Rows without a time belong to no window but still count towards the mean; they form a group
-    of their own.
+    of their own. Its mark is an aggregate, as a filter on a grouping column would be pushed below
+    the grouping and set the statistics' input apart from the one of the mean.
     """
     ts = F.col(time_col)
     anchor = F.lit("1970-01-01 00:00:00").cast(valid.schema[time_col].dataType)
@@ -124,20 +125,29 @@ def velocity_partials(valid: DataFrame, time_col: str = "timestamp") -> DataFram
         "status",
         "altitude",
         nan_to_null(F.col("velocity")).alias("velocity"),
-        ts.isNull().alias(_UNDATED),
+        ts.isNull().alias("no_time"),
         hour_start(F.coalesce(ts, anchor)).alias(WINDOW_START),
     )
     plain = [m for m in SATELLITE_STATS.measures if m.source != "velocity"]
-    return keyed.groupBy(_UNDATED, WINDOW_START).agg(
+    grouped = keyed.groupBy("no_time", WINDOW_START).agg(
+        F.bool_or("no_time").alias(_UNDATED),
         *map(_aggregate, plain),
         F.sum("velocity").alias("velocity_sum"),
         F.count("velocity").alias("velocity_rows"),
     )
+    return grouped.drop("no_time")
 
 
 def mean_velocity_of(partials: DataFrame) -> Column:
-    total, rows = F.sum("velocity_sum"), F.sum("velocity_rows")
-    return partials.agg(F.try_divide(total, rows)).scalar()
+    """Fleet-wide mean velocity, as a scalar subquery over the hourly sums.
+
+    The subquery touches every column of ``partials``. Left to the two it needs, it would be pruned
+    to a different aggregation than the one of the statistics, and the rows would be read twice;
+    this way both take their input from the same shuffle.
+    """
+    mean = F.try_divide(F.sum("velocity_sum"), F.sum("velocity_rows"))
+    whole = F.max(F.struct(*partials.columns))
+    return partials.agg(F.struct(mean.alias("mean"), whole.alias("whole"))).scalar().getField("mean")
 
 
 def stats_from_partials(partials: DataFrame) -> DataFrame:

@@ -33,8 +33,9 @@ def time_spine(
     stride = F.make_dt_interval(mins=F.lit(int(step_minutes) * _TICKS_PER_CHUNK))
     chunk_end = F.least(F.col("_chunk") + stride - step, F.col("_last"))
     parallelism = entities.sparkSession.sparkContext.defaultParallelism
-    bounded = entities.withColumns({"_first": first, "_last": last}).where("_first <= _last")
-    chunks = bounded.withColumn("_chunk", F.explode(F.sequence("_first", "_last", stride)))
+    starts = F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last", stride))
+    bounded = entities.withColumns({"_first": first, "_last": last})
+    chunks = bounded.withColumn("_chunk", F.explode(starts))
     return (
         chunks.repartition(parallelism, "_chunk", *entities.columns)
         .withColumn(tick_col, F.explode(F.sequence(F.col("_chunk"), chunk_end, step)))

@@ -55,10 +55,13 @@ def scan_rejects(
     path: str,
     schema: T.StructType,
     file_format: str = "csv",
-    multi_line: bool = True,
     header: bool = True,
 ) -> DataFrame:
-    """Rows the reader could not fully parse: what it salvaged, and the raw text."""
+    """Rows the reader could not fully parse: what it salvaged, and the raw text.
+
+    JSON means JSON Lines here. In a record array the raw text is the whole file, which the reader
+    would repeat for every record in it.
+    """
     reader = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -68,7 +71,7 @@ def scan_rejects(
         case "csv":
             df = reader.option("header", header).csv(path)
         case "json":
-            df = reader.option("multiLine", multi_line).json(path)
+            df = reader.json(path)
         case other:
             raise ValueError(f"no raw text to reject in format {other!r}")
     # The reader only parses the columns a plan asks for, and a cell it skips cannot be faulty.

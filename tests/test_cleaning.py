@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from perigee.functions import expressions as ex
+from perigee.operators import cleaning
+from tests.conftest import at, rows
+
+NAN = float("nan")
+SCHEMA = (
+    "satellite_id string, timestamp timestamp, latitude double, longitude double, "
+    "altitude double, velocity double, status string"
+)
+
+
+def satellites(spark, *overrides):
+    base = dict(
+        satellite_id="S", timestamp=at("2024-01-01 00:00:00"), latitude=0.0, longitude=0.0,
+        altitude=550.0, velocity=7.5, status="operational",
+    )
+    return spark.createDataFrame([tuple((base | o).values()) for o in overrides], SCHEMA)
+
+
+@pytest.mark.parametrize(
+    "check, column, kept, dropped",
+    [
+        (cleaning.filter_latitude, "latitude", [-90.0, 0.0, 90.0], [-90.0001, 90.0001, NAN, None, math.inf]),
+        (cleaning.filter_longitude, "longitude", [-180.0, 180.0], [-180.0001, 180.0001, NAN, None]),
+        (cleaning.filter_altitude, "altitude", [0.01, 1999.99], [0.0, -1.0, 2000.0, NAN, None]),
+        (cleaning.filter_required_key, "satellite_id", ["S", ""], [None]),
+    ],
+)
+def test_ranges(spark, check, column, kept, dropped):
+    df = satellites(spark, *({column: v} for v in [*kept, *dropped]))
+    assert sorted(r[column] for r in check(df).collect()) == sorted(kept)
+
+
+def test_status_spellings(spark):
+    expected = {
+        "operational": "operational", "active": "operational", "online": "operational",
+        "maintenance": "maintenance", "offline": "maintenance", "inactive": "maintenance",
+        "standby": "standby", "idle": "standby",
+        "Operational": "unknown", " online": "unknown", "": "unknown", None: "unknown",
+    }
+    df = spark.createDataFrame([(s,) for s in expected], "status string")
+    got = {r[0]: r[1] for r in df.select("status", ex.normalize_status(F.col("status"))).collect()}
+    assert got == expected
+
+
+@pytest.mark.parametrize(
+    "velocities, expected",
+    [
+        ([7.0, 8.0, None], [7.0, 7.5, 8.0]),
+        ([7.0, 8.0, NAN, None], [7.0, 7.5, 7.5, 8.0]),
+        ([-1.0, 1.0, None], [-1.0, 0.0, 1.0]),  # a mean of 0 fills too
+        ([7.0, 8.0], [7.0, 8.0]),
+    ],
+)
+def test_velocity_filled_with_mean(spark, velocities, expected):
+    df = cleaning.clean_satellite(satellites(spark, *({"velocity": v} for v in velocities)))
+    assert sorted(r.velocity for r in df.collect()) == expected
+
+
+def test_all_velocities_missing_stay_missing(spark):
+    df = cleaning.clean_satellite(satellites(spark, {"velocity": None}, {"velocity": NAN}))
+    assert [r.velocity for r in df.collect()] == [None, None]
+
+
+def test_mean_is_of_valid_rows_only(spark):
+    df = satellites(spark, {"velocity": 7.0}, {"velocity": 100.0, "latitude": 91.0}, {"velocity": None})
+    assert [r.velocity for r in cleaning.clean_satellite(df).collect()] == [7.0, 7.0]
+
+
+def test_empty_input(spark):
+    assert cleaning.orbital_metrics(cleaning.clean_satellite(satellites(spark).limit(0))).count() == 0
+
+
+def test_orbital_metrics(spark):
+    row = cleaning.orbital_metrics(satellites(spark, {"altitude": 550.0})).first()
+    assert row.orbital_period_minutes == 95.0
+    assert row.ground_track_velocity_kmh == round(2 * math.pi * 6921.0 / 95.0 * 60, 2)
+    assert row.estimated_coverage_radius_km == 825.0
+    slow = cleaning.orbital_metrics(satellites(spark, {"altitude": 550.0}), period_minutes=190.0)
+    assert slow.first().ground_track_velocity_kmh == round(2 * math.pi * 6921.0 / 190.0 * 60, 2)
+
+
+def test_orbital_velocity(spark):
+    got = satellites(spark, {"altitude": 550.0}).select(ex.orbital_velocity(F.col("altitude"))).first()[0]
+    assert got == pytest.approx(math.sqrt(6.67430e-11 * 5.972e24 / 6_921_000.0) / 1000)
+
+
+def test_diurnal_adjust_inverts_the_swing(spark):
+    df = spark.createDataFrame(
+        [(at(f"2024-01-01 {h:02}:30:00"), 30.0, 100.0) for h in range(24)],
+        "timestamp timestamp, base_l double, base_t double",
+    )
+    swing = ex.diurnal_factor(F.col("timestamp"))
+    df = df.withColumns({"latency_ms": F.col("base_l") * swing, "throughput_mbps": F.col("base_t") / swing})
+    for r in cleaning.diurnal_adjust(df).collect():
+        factor = 1 + 0.2 * math.sin(r.timestamp.hour * math.pi / 12)
+        assert r.latency_ms == pytest.approx(30.0 * factor)
+        assert r.base_latency_ms == pytest.approx(30.0)
+        assert r.base_throughput_mbps == pytest.approx(100.0)
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        (1.005, 1.01), (2.675, 2.68), (-1.005, -1.01), (0.125, 0.13), (7.0, 7.0), (1e15 + 0.5, 1e15 + 0.5),
+        (1e300, 1e300), (math.inf, math.inf), (-math.inf, -math.inf), (None, None),
+    ],
+)
+def test_rounding(spark, value, expected):
+    df = spark.createDataFrame([(value,)], "v double")
+    assert df.select(ex.round_half_up_2(F.col("v"))).first()[0] == expected
+
+
+def test_rounding_keeps_nan(spark):
+    got = spark.createDataFrame([(NAN,)], "v double").select(ex.round_half_up_2(F.col("v"))).first()[0]
+    assert math.isnan(got)
+
+
+def test_null_to_zero(spark):
+    df = spark.createDataFrame([(None,), (2.5,)], "v double")
+    assert rows(df.select(ex.null_to_zero(F.col("v")))) == [(0.0,), (2.5,)]

@@ -1,0 +1,183 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from checks.views import coverage, telemetry
+from perigee.functions.times import date_parts, latest
+from perigee.model import PERFORMANCE_STATS, STATS_TABLES
+from perigee.operators import cleaning, rollups, spine
+from tests.conftest import SF_SMALL, at, final_plan, plan, rows
+from tests.test_cleaning import NAN, satellites
+
+
+def coverages(spark, values, zone="timestamp"):
+    schema = (
+        f"region_id string, timestamp {zone}, coverage_percentage double, satellite_count int, "
+        "avg_signal_strength double"
+    )
+    return spark.createDataFrame(values, schema)
+
+
+def test_hour_edges(spark):
+    df = coverages(
+        spark,
+        [
+            ("EU", at("2024-01-01 10:00:00"), 10.0, 1, -70.0),
+            ("EU", at("2024-01-01 10:59:59.999999"), 20.0, 2, -60.0),
+            ("EU", at("2024-01-01 11:00:00"), 99.0, 9, -50.0),
+            ("EU", None, 50.0, 5, -55.0),
+            (None, at("2024-01-01 10:30:00"), 5.0, 3, -65.0),
+        ],
+    )
+    got = {(r.region_id, r.time_window_start): r for r in rollups.hourly_coverage_stats(df).collect()}
+    assert set(got) == {
+        ("EU", at("2024-01-01 10:00:00")), ("EU", at("2024-01-01 11:00:00")), (None, at("2024-01-01 10:00:00")),
+    }
+    first = got["EU", at("2024-01-01 10:00:00")]
+    assert first.time_window_end == at("2024-01-01 11:00:00")
+    assert (first.avg_coverage_percentage, first.max_coverage_percentage, first.min_coverage_percentage) == (15.0, 20.0, 10.0)
+    assert (first.avg_satellite_count, first.max_satellite_count, first.avg_signal_strength) == (1.5, 2, -65.0)
+
+
+def test_windows_align_to_utc_not_to_the_session_zone(spark, settings):
+    settings(session__timeZone="Asia/Kolkata")
+    df = spark.sql("SELECT 'EU' region_id, timestamp_seconds(1704103200 + 1800) timestamp, 1.0D coverage_percentage,"
+                   " 1 satellite_count, 1.0D avg_signal_strength")
+    start = rollups.hourly_coverage_stats(df).select(F.unix_seconds("time_window_start")).first()[0]
+    assert start == 1704103200
+
+
+@pytest.mark.parametrize("zone", ["timestamp", "timestamp_ntz"])
+def test_timestamp_type_is_kept(spark, zone):
+    df = coverages(spark, [("EU", at("2024-01-01 10:20:00"), 1.0, 1, 1.0)], zone)
+    types = dict(rollups.hourly_coverage_stats(df, since="2024-01-01").dtypes)
+    assert types["time_window_start"] == types["time_window_end"] == zone
+
+
+def test_all_null_and_nan_measures(spark):
+    ts = at("2024-01-01 10:20:00")
+    row = rollups.hourly_coverage_stats(coverages(spark, [("EU", ts, None, None, NAN)])).first()
+    assert row.avg_coverage_percentage is None and row.max_satellite_count is None
+    assert row.avg_signal_strength != row.avg_signal_strength
+
+
+def test_since_equals_filtering_afterwards(spark):
+    df = coverages(
+        spark, [("EU", at(f"2024-01-01 {h:02}:{m:02}:00"), 1.0 * h, h, -1.0 * m) for h in range(24) for m in (0, 20, 59)]
+    )
+    for bound in ("2024-01-01 12:00:00", "2024-01-01 12:30:00", "2024-01-02 00:00:00"):
+        pushed = rollups.hourly_coverage_stats(df, since=bound)
+        after = rollups.hourly_coverage_stats(df).where(F.col("time_window_start") >= bound)
+        assert rows(pushed) == rows(after)
+
+
+def mixed_satellites(spark):
+    return satellites(
+        spark,
+        {"status": "active", "velocity": 7.0, "altitude": 500.0},
+        {"status": "offline", "velocity": None, "altitude": 600.0},
+        {"status": "idle", "velocity": NAN, "altitude": 700.0},
+        {"status": "lost", "velocity": 8.0, "timestamp": at("2024-01-01 05:00:00")},
+        {"velocity": None, "timestamp": at("2024-01-01 07:00:00")},
+        {"velocity": 9.0, "timestamp": None},  # in the mean, in no window
+        {"velocity": 1.0, "latitude": 95.0},
+    )
+
+
+def test_satellite_stats(spark):
+    got = {r.time_window_start.hour: r for r in rollups.hourly_satellite_stats(cleaning.clean_satellite(mixed_satellites(spark))).collect()}
+    first = got[0]
+    assert (first.total_satellites, first.operational_count, first.maintenance_count, first.standby_count) == (3, 1, 1, 1)
+    assert (first.avg_altitude, first.avg_velocity) == (600.0, 7.67)  # filled with (7 + 8 + 9) / 3
+    assert (got[5].total_satellites, got[5].operational_count) == (1, 0)
+    assert got[7].avg_velocity == 8.0
+
+
+def test_one_pass_stats_equal_clean_then_roll_up(spark):
+    df = mixed_satellites(spark)
+    partials = rollups.velocity_partials(cleaning.valid_positions(df))
+    assert rows(rollups.stats_from_partials(partials)) == rows(
+        rollups.hourly_satellite_stats(cleaning.clean_satellite(df))
+    )
+    mean = spark.range(1).select(rollups.mean_velocity_of(partials)).first()[0]
+    assert mean == 8.0
+
+
+def test_one_pass_stats_without_any_velocity(spark):
+    df = satellites(spark, {"velocity": None}, {"velocity": NAN})
+    stats = rollups.stats_from_partials(rollups.velocity_partials(cleaning.valid_positions(df)))
+    assert [r.avg_velocity for r in stats.collect()] == [None]
+
+
+def test_flatten_window(spark):
+    df = coverages(spark, [("EU", at("2024-01-01 10:20:00"), 1.0, 1, 1.0)])
+    flat = rollups.flatten_window(df.select("region_id", F.window("timestamp", "1 hour").alias("time_window")))
+    assert rows(flat) == [(at("2024-01-01 10:00:00"), at("2024-01-01 11:00:00"), "EU")]
+
+
+def test_date_parts(spark):
+    df = spark.createDataFrame([(at("2024-02-29 23:59:59"),), (None,)], "ts timestamp")
+    assert rows(df.select(*date_parts(F.col("ts")).values())) == [(2024, 2, 29), (None, None, None)]
+
+
+@pytest.mark.parametrize("table", STATS_TABLES, ids=lambda t: t.name)
+def test_serving_types(spark, table):
+    typed = rollups.cast_stats_types(spark.createDataFrame([], table.schema), table)
+    assert [(f.name, f.dataType) for f in typed.schema] == [(f.name, f.dataType) for f in table.schema]
+    assert not typed.schema["created_at"].nullable
+
+
+def test_cast_rounds_half_up_and_refuses_overflow(spark):
+    columns = {m.name: F.lit(1.005) for m in PERFORMANCE_STATS.measures}
+    base = spark.range(1).select(
+        F.lit("EU").alias("region"), F.current_timestamp().alias("time_window_start"),
+        F.current_timestamp().alias("time_window_end"), *(c.alias(n) for n, c in columns.items()),
+    )
+    assert rollups.cast_stats_types(base, PERFORMANCE_STATS).first().avg_latency_ms == Decimal("1.01")
+    too_big = base.withColumn("avg_availability_percentage", F.lit(1000.0))
+    with pytest.raises(ArithmeticException):
+        rollups.cast_stats_types(too_big, PERFORMANCE_STATS).collect()
+
+
+def test_spine(spark):
+    regions = spark.createDataFrame([("EU",), ("NA",)], "region_id string")
+    grid = spine.time_spine(regions, "2024-01-01 00:00:00", "2024-01-02 00:00:00", 5)
+    assert grid.count() == 2 * 289 == grid.distinct().count()
+    bounds = grid.agg(F.min("tick"), F.max("tick")).first()
+    assert tuple(bounds) == (at("2024-01-01 00:00:00"), at("2024-01-02 00:00:00"))
+    off_grid = spine.time_spine(regions, "2024-01-01 00:00:00", "2024-01-01 00:14:00", 5)
+    assert off_grid.count() == 2 * 3
+    assert spine.time_spine(regions, "2024-01-02", "2024-01-01", 5).count() == 0
+
+
+def test_long_spine_has_every_tick_once(spark):
+    one = spark.createDataFrame([("EU",)], "region_id string")
+    grid = spine.time_spine(one, "2024-01-01 00:00:00", "2024-01-15 00:00:00", 1)
+    assert grid.count() == grid.distinct().count() == 14 * 24 * 60 + 1
+
+
+def test_missing_windows(spark):
+    df = coverages(spark, [("EU", at(f"2024-01-01 {h:02}:10:00"), 1.0, 1, 1.0) for h in (0, 1, 3)])
+    stats = rollups.hourly_coverage_stats(df)
+    grid = spine.time_spine(
+        stats.select("region_id").distinct(), "2024-01-01 00:00:00", latest(stats, "time_window_start"), 60, "time_window_start"
+    )
+    assert rows(spine.missing_windows(grid, stats, ["region_id"])) == [("EU", at("2024-01-01 02:00:00"))]
+
+
+def test_scan_sees_the_time_bound_and_few_columns(spark):
+    pushed = plan(rollups.hourly_coverage_stats(coverage(spark, SF_SMALL), "ts", since="2024-01-20"))
+    assert "GreaterThanOrEqual(ts,2024-01-20" in pushed
+    assert "props" not in pushed
+    assert pushed.count("HashAggregate") == 2
+
+
+def test_stats_of_satellites_scan_once(spark):
+    """The mean is taken from the hourly sums: their shuffle is shared, not computed again."""
+    valid = cleaning.valid_positions(telemetry(spark, SF_SMALL))
+    got = final_plan(rollups.stats_from_partials(rollups.velocity_partials(valid, "ts")))
+    assert "ReusedExchange" in got
