@@ -49,8 +49,8 @@ WHERE e.event_id % 3 <> 1
 
 
 def _view(text: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "region")}
-    return spark.sql(text, **{t: df for t, df in tables.items() if f"{{{t}}}" in text})
+    used = [t for t in ("events", "region") if f"{{{t}}}" in text]
+    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

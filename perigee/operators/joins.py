@@ -16,7 +16,7 @@ from perigee.functions.expressions import (
 )
 from perigee.functions.times import hour_start
 from perigee.model import WINDOW_START
-from perigee.operators.skew import grouped_lookup
+from perigee.operators.skew import grouped_lookup, heavy_buckets, split_by_weight
 
 
 def align_region(coverage: DataFrame) -> DataFrame:
@@ -32,14 +32,16 @@ def _unmatched(rows: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(held, key, "left").where(F.col("_copies").isNull()).drop("_copies")
 
 
-def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+def full_outer_by_key(
+    left: DataFrame, right: DataFrame, key: Sequence[str], heavy_rows: int = 1_000_000
+) -> DataFrame:
     """FULL OUTER equi-join with one copy of the key, built to survive hot and NULL keys.
 
-    Spark can split an oversized partition of an inner join on either side, and of a left outer
-    join on its left side, but not of a full outer join. So the result is put together from
-    matches, left rows without a partner and right rows without one; the latter two look up
-    each key once, combined before the shuffle. The three joins share one shuffle per
-    input. Rows with a NULL in their key match nothing and skip the shuffle altogether.
+    Spark cannot split an oversized partition of a full outer join. A count over key hashes finds
+    out whether there are any; all other rows take the ordinary join. Rows in heavy buckets are
+    joined in three parts that adaptive execution can split: matches, left rows without a partner
+    and right rows without one, the latter two by looking up each key once. The three share one
+    shuffle per input. Rows with a NULL in their key match nothing and skip the shuffle altogether.
     """
     key = list(key)
     shared = sorted((set(left.columns) & set(right.columns)) - set(key))
@@ -47,10 +49,14 @@ def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) ->
         raise ValueError(f"columns {shared} occur on both sides; rename them first")
     usable = reduce(Column.__and__, (F.col(k).isNotNull() for k in key))
     l, r = left.where(usable), right.where(usable)
+    heavy = heavy_buckets((l, r), key, heavy_rows)
+    light_l, heavy_l = split_by_weight(l, key, heavy)
+    light_r, heavy_r = split_by_weight(r, key, heavy)
     pieces = [
-        l.join(r, key, "inner"),
-        _unmatched(l, r, key),
-        _unmatched(r, l, key),
+        light_l.join(light_r, key, "full_outer"),
+        heavy_l.join(heavy_r, key, "inner"),
+        _unmatched(heavy_l, heavy_r, key),
+        _unmatched(heavy_r, heavy_l, key),
         left.where(~usable),
         right.where(~usable),
     ]
@@ -60,10 +66,14 @@ def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) ->
 
 
 def join_coverage_performance(
-    coverage: DataFrame, performance: DataFrame, time_col: str = "timestamp"
+    coverage: DataFrame,
+    performance: DataFrame,
+    time_col: str = "timestamp",
+    heavy_rows: int = 1_000_000,
 ) -> DataFrame:
     """Coverage and performance side by side per region and exact time; either may be missing."""
-    return full_outer_by_key(align_region(coverage), performance, ("region", time_col))
+    key = ("region", time_col)
+    return full_outer_by_key(align_region(coverage), performance, key, heavy_rows)
 
 
 def dashboard_view(coverage_stats: DataFrame, performance_stats: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Lookups by key that stay splittable when one key holds a large share of the rows."""
+"""Helpers for keys that hold a large share of the rows."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPREAD = "_spread"
+_BUCKET = "_bucket"
+_BUCKETS = 1 << 16
 
 
 def grouped_lookup(df: DataFrame, key: Sequence[str], *aggregates: Column) -> DataFrame:
@@ -21,3 +23,31 @@ def grouped_lookup(df: DataFrame, key: Sequence[str], *aggregates: Column) -> Da
     spread = F.pmod(F.hash(*key), F.lit(1024)).alias(_SPREAD)
     grouped = df.select("*", spread).groupBy(*key, _SPREAD)
     return grouped.agg(*aggregates).drop(_SPREAD)
+
+
+def _bucketed(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.hash(*key), F.lit(_BUCKETS)))
+
+
+def heavy_buckets(sides: Sequence[DataFrame], key: Sequence[str], heavy_rows: int) -> DataFrame:
+    """Buckets of key hashes that hold very many rows of a side: over ``heavy_rows`` and over four
+    times the average. Only the key columns are read, and every task sends on at most one number
+    per bucket, of which there are 65,536."""
+    heavy = None
+    for side in sides:
+        sizes = _bucketed(side.select(*key), key).groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
+        average = sizes.agg(F.sum("n") / F.lit(_BUCKETS)).scalar()
+        too_big = sizes.where((F.col("n") > heavy_rows) & (F.col("n") > 4 * average)).select(_BUCKET)
+        heavy = too_big if heavy is None else heavy.union(too_big)
+    return heavy.distinct()
+
+
+def split_by_weight(
+    df: DataFrame, key: Sequence[str], heavy: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows outside and inside the heavy buckets. ``heavy`` has 65,536 rows at most, so it may be
+    broadcast; when it turns out empty, adaptive execution drops the second half unread."""
+    rows = _bucketed(df, key)
+    light = rows.join(F.broadcast(heavy), _BUCKET, "left_anti")
+    weighty = rows.join(F.broadcast(heavy), _BUCKET, "left_semi")
+    return light.drop(_BUCKET), weighty.drop(_BUCKET)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perigee.functions.times import date_parts
 from perigee.model import StatsTable
 from perigee.operators.joins import insert_absent_rows
+from perigee.session import shared_folder
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error")
 
@@ -55,6 +56,8 @@ def append_absent(batch: DataFrame, path: str, table: StatsTable) -> int:
     The key check and the append are two steps, so a folder needs a single writer. Only the hours
     the batch touches are read back. Rows with a NULL key must be set aside before.
     """
+    shared_folder(batch.sparkSession)
+    batch = batch.checkpoint()  # hourly rows: few, and used three times below
     batch.limit(0).write.mode("ignore").parquet(path)  # the first load starts from an empty table
     held = batch.sparkSession.read.schema(batch.schema).parquet(path)
     start = table.key[-2]

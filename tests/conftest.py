@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import re
 import sys
 from datetime import datetime
 from pathlib import Path
@@ -68,4 +67,4 @@ def plan(df) -> str:
 def final_plan(df) -> str:
     """The plan adaptive execution ended up with."""
     df.collect()
-    return re.split(r"\+?-? ?== Initial Plan ==", plan(df))[0]
+    return plan(df).split("\n+- == Initial Plan ==")[0]

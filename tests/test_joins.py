@@ -44,7 +44,8 @@ def test_full_outer_repeated_keys_equal_spark_full_outer(spark):
     right = [(f"R{i % 4}", T0 if i % 5 else T1, float(-i)) for i in range(12)] + [(None, T0, 1.0)] * 2
     c, p = two_sides(spark, left, right)
     plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
-    assert rows(joins.join_coverage_performance(c, p)) == rows(plain)
+    for heavy_rows in (1_000_000, 0):  # all keys take the ordinary join, or all the split one
+        assert rows(joins.join_coverage_performance(c, p, heavy_rows=heavy_rows)) == rows(plain)
 
 
 @pytest.mark.parametrize("empty", ["left", "right", "both"])
@@ -77,7 +78,7 @@ def stored_sides(spark, hot_side):
 
 
 @pytest.mark.parametrize("hot_side", ["left", "right"])
-def test_hot_key_is_split_and_shuffles_are_shared(spark, settings, hot_side):
+def test_hot_key_is_split(spark, settings, hot_side):
     settings(
         autoBroadcastJoinThreshold=-1,
         adaptive__skewJoin__skewedPartitionThresholdInBytes="30k",
@@ -85,16 +86,26 @@ def test_hot_key_is_split_and_shuffles_are_shared(spark, settings, hot_side):
         adaptive__advisoryPartitionSizeInBytes="20k",
     )
     c, p = stored_sides(spark, hot_side)
-    joined = joins.join_coverage_performance(c, p)
+    joined = joins.join_coverage_performance(c, p, heavy_rows=1_000)
     got = final_plan(joined)
-    kinds = re.findall(r"SortMergeJoin(\(skew=true\))? .*?, (Inner|LeftOuter)", got)
-    assert [kind for _, kind in kinds] == ["Inner", "LeftOuter", "LeftOuter"]
+    kinds = re.findall(r"SortMergeJoin(\(skew=true\))? .*?, (Inner|LeftOuter|FullOuter)", got)
+    assert [kind for _, kind in kinds] == ["FullOuter", "Inner", "LeftOuter", "LeftOuter"]
     split = [bool(mark) for mark, _ in kinds]
-    assert split == ([True, True, False] if hot_side == "left" else [True, False, True])
-    assert got.count("ReusedExchange") == 2
+    assert split == ([False, True, True, False] if hot_side == "left" else [False, True, False, True])
     assert "BroadcastNestedLoop" not in got and "CartesianProduct" not in got
     plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
     assert joined.count() == plain.count()
+    assert joined.exceptAll(plain).count() == 0
+
+
+def test_without_hot_keys_only_the_ordinary_join_runs(spark, settings):
+    settings(autoBroadcastJoinThreshold=-1)
+    c, p = stored_sides(spark, "none")
+    joined = joins.join_coverage_performance(c, p)
+    got = final_plan(joined)
+    assert re.findall(r"SortMergeJoin.*?, (Inner|LeftOuter|FullOuter)", got) == ["FullOuter"]
+    plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
+    assert joined.count() == plain.count() and joined.exceptAll(plain).count() == 0
 
 
 def test_null_keys_skip_the_shuffle(spark):
