@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perigee import fixed_values as fixed
@@ -79,12 +79,10 @@ def coverage_series(report: DataFrame) -> DataFrame:
 def performance_trend(report: DataFrame, region: str | None = None) -> DataFrame:
     """Time-ordered latency and throughput points of one region of a ``recent_performance``
     report: the given one, or else the first in region order."""
-    chosen: Column = F.lit(region) if region else report.agg(F.min("region")).scalar()
-    return (
-        report.where(F.col("region") == chosen)
-        .select("region", WINDOW_START, "avg_latency_ms", "avg_throughput_mbps")
-        .orderBy(WINDOW_START)
-    )
+    point = F.struct(WINDOW_START, "avg_latency_ms", "avg_throughput_mbps")
+    series = filter_region(report, region, "region").groupBy("region")
+    first = series.agg(F.array_sort(F.collect_list(point)).alias("points")).orderBy("region").limit(1)
+    return first.select("region", F.inline("points"))
 
 
 def fleet_summary(stats: DataFrame, hours: int = HOURS, as_of: Moment = None) -> DataFrame:

@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also the size at which a partitioned write starts another file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 

@@ -40,6 +40,15 @@ class JdbcTarget:
         }
         return {k: v for k, v in given.items() if v is not None}
 
+    def read_options(self, table: str, span: tuple[object, object] | None = None) -> dict[str, str]:
+        """Options of a scan. With a ``span`` of window starts, the scan is cut into one range per
+        connection; rows outside it fall to the first and last range. Without one it is one query."""
+        options = self.options(table)
+        if span is None:
+            return options
+        low, high = map(str, span)
+        return options | {"partitionColumn": WINDOW_START, "lowerBound": low, "upperBound": high}
+
 
 def _column_types(table: StatsTable) -> dict[str, str]:
     types = {e: f"VARCHAR({table.entity_width})" for e in table.entity}
@@ -72,17 +81,14 @@ def _write(df: DataFrame, table: StatsTable, target: JdbcTarget, name: str, mode
 
 
 def _held_keys(batch: DataFrame, table: StatsTable, target: JdbcTarget) -> DataFrame:
-    """Keys the database holds in the span of the batch, read over several connections."""
-    span = batch.agg(F.min(WINDOW_START).alias("low"), F.max(WINDOW_START).alias("high")).first()
-    reader = batch.sparkSession.read.format("jdbc").options(**target.options(table.name))
-    if span.low is None:
-        return reader.load().select(*table.key)
-    reader = reader.options(
-        partitionColumn=WINDOW_START, lowerBound=str(span.low), upperBound=str(span.high)
-    )
-    held = reader.load().select(*table.key)
-    low, high = (F.lit(str(t)).cast("timestamp") for t in (span.low, span.high))
-    return held.where(F.col(WINDOW_START).between(low, high))
+    """Keys the database holds in the hours of the batch, read over several connections."""
+    low, high = batch.agg(F.min(WINDOW_START), F.max(WINDOW_START)).first()
+    if low is None:
+        return batch.select(*table.key).limit(0)
+    reader = batch.sparkSession.read.format("jdbc")
+    held = reader.options(**target.read_options(table.name, (low, high))).load()
+    bounds = (F.lit(str(t)).cast("timestamp") for t in (low, high))
+    return held.select(*table.key).where(F.col(WINDOW_START).between(*bounds))
 
 
 def load_jdbc_insert_absent(df: DataFrame, table: StatsTable, target: JdbcTarget) -> None:

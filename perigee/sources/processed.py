@@ -12,11 +12,19 @@ from perigee.sinks.jdbc import JdbcTarget
 
 
 def scan_stats(
-    spark: SparkSession, root: str | None, table: StatsTable, database: JdbcTarget | None = None
+    spark: SparkSession,
+    root: str | None,
+    table: StatsTable,
+    database: JdbcTarget | None = None,
+    span: tuple[object, object] | None = None,
 ) -> DataFrame:
-    """A statistics table from its Parquet folder under ``root``, or from the database."""
+    """A statistics table from its Parquet folder under ``root``, or from the database.
+
+    A database scan is spread over several connections if the ``span`` of window starts is given.
+    """
     if database is not None:
-        return spark.read.format("jdbc").options(**database.options(table.name)).load()
+        options = database.read_options(table.name, span)
+        return spark.read.format("jdbc").options(**options).load()
     return spark.read.schema(table.schema).parquet(f"{root.rstrip('/')}/{table.name}")
 
 

@@ -147,6 +147,14 @@ def test_jdbc_options_leave_out_what_is_not_set():
     }
 
 
+def test_database_scans_are_cut_by_hours():
+    target = jdbc.JdbcTarget("jdbc:any", connections=4)
+    assert "partitionColumn" not in target.read_options("t")
+    cut = target.read_options("t", (START, END))
+    assert cut["partitionColumn"] == "time_window_start" and cut["numPartitions"] == "4"
+    assert (cut["lowerBound"], cut["upperBound"]) == ("2024-01-01 10:00:00", "2024-01-01 11:00:00")
+
+
 @pytest.mark.parametrize("table", STATS_TABLES, ids=lambda t: t.name)
 def test_staged_load_order(spark, monkeypatch, table):
     """No database here: the steps are recorded instead."""
