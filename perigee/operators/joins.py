@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perigee import fixed_values as fixed
@@ -16,7 +16,8 @@ from perigee.functions.expressions import (
 )
 from perigee.functions.times import hour_start
 from perigee.model import WINDOW_START
-from perigee.operators.skew import grouped_lookup, heavy_buckets, split_by_weight
+from perigee.operators.skew import HEAVY_ROWS, grouped_lookup, heavy_buckets, split_by_weight
+from perigee.session import shared_folder
 
 
 def align_region(coverage: DataFrame) -> DataFrame:
@@ -33,35 +34,34 @@ def _unmatched(rows: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
 
 
 def full_outer_by_key(
-    left: DataFrame, right: DataFrame, key: Sequence[str], heavy_rows: int = 1_000_000
+    left: DataFrame, right: DataFrame, key: Sequence[str], heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """FULL OUTER equi-join with one copy of the key, built to survive hot and NULL keys.
 
-    Spark cannot split an oversized partition of a full outer join. A count over key hashes finds
-    out whether there are any; all other rows take the ordinary join. Rows in heavy buckets are
-    joined in three parts that adaptive execution can split: matches, left rows without a partner
-    and right rows without one, the latter two by looking up each key once. The three share one
-    shuffle per input. Rows with a NULL in their key match nothing and skip the shuffle altogether.
+    Spark cannot split an oversized partition of a full outer join. So one small job counts rows by
+    key hash first. Without heavy hashes, the usual case, the ordinary join is all there is to it.
+    Otherwise the rows behind them are joined apart, in three parts that adaptive execution can
+    split: matches, left rows without a partner and right rows without one, the latter two by looking
+    up each key once. Rows with a NULL in their key match nothing, and are split like any others.
     """
     key = list(key)
     shared = sorted((set(left.columns) & set(right.columns)) - set(key))
     if shared:
         raise ValueError(f"columns {shared} occur on both sides; rename them first")
-    usable = reduce(Column.__and__, (F.col(k).isNotNull() for k in key))
-    l, r = left.where(usable), right.where(usable)
-    heavy = heavy_buckets((l, r), key, heavy_rows)
-    light_l, heavy_l = split_by_weight(l, key, heavy)
-    light_r, heavy_r = split_by_weight(r, key, heavy)
+    payload = [c for df in (left, right) for c in df.columns if c not in key]
+    shared_folder(left.sparkSession)
+    heavy = heavy_buckets((left, right), key, heavy_rows).checkpoint()
+    if heavy.isEmpty():
+        return left.join(right, key, "full_outer").select(*key, *payload)
+    light_l, heavy_l = split_by_weight(left, key, heavy)
+    light_r, heavy_r = split_by_weight(right, key, heavy)
     pieces = [
         light_l.join(light_r, key, "full_outer"),
         heavy_l.join(heavy_r, key, "inner"),
         _unmatched(heavy_l, heavy_r, key),
         _unmatched(heavy_r, heavy_l, key),
-        left.where(~usable),
-        right.where(~usable),
     ]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    payload = [c for df in (left, right) for c in df.columns if c not in key]
     return whole.select(*key, *payload)
 
 
@@ -69,7 +69,7 @@ def join_coverage_performance(
     coverage: DataFrame,
     performance: DataFrame,
     time_col: str = "timestamp",
-    heavy_rows: int = 1_000_000,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Coverage and performance side by side per region and exact time; either may be missing."""
     key = ("region", time_col)

@@ -82,12 +82,14 @@ def _write(df: DataFrame, table: StatsTable, target: JdbcTarget, name: str, mode
 
 def _held_keys(batch: DataFrame, table: StatsTable, target: JdbcTarget) -> DataFrame:
     """Keys the database holds in the hours of the batch, read over several connections."""
-    low, high = batch.agg(F.min(WINDOW_START), F.max(WINDOW_START)).first()
+    # As text, so that the session's zone applies here and in the scan, not that of this machine.
+    ends = (end(WINDOW_START).cast("string") for end in (F.min, F.max))
+    low, high = batch.agg(*ends).first()
     if low is None:
         return batch.select(*table.key).limit(0)
     reader = batch.sparkSession.read.format("jdbc")
     held = reader.options(**target.read_options(table.name, (low, high))).load()
-    bounds = (F.lit(str(t)).cast("timestamp") for t in (low, high))
+    bounds = (F.lit(t).cast("timestamp") for t in (low, high))
     return held.select(*table.key).where(F.col(WINDOW_START).between(*bounds))
 
 
