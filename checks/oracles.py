@@ -8,6 +8,7 @@ _TABLES = {"events": "events", "region": "region"}
 
 
 def r2(value: str) -> str:
+    """Half-up rounding by way of decimals, which both engines do alike."""
     return f"CAST(round(CAST({value} AS DECIMAL(20, 6)), 2) AS DOUBLE)"
 
 

@@ -16,7 +16,7 @@ _DECIMAL_ROUNDING_LIMIT = 1e13
 
 
 def round_half_up_2(value: Column) -> Column:
-    """Round a double half-up to two places, the same way on every run.
+    """Round an average half-up to two places, the same way on every run.
 
     A mean of doubles can differ in its last bit with the order rows were added, which flips
     plain rounding when the mean sits on a tie. Going through six decimals first removes that;
@@ -57,11 +57,11 @@ def orbital_period(minutes: float = fixed.ORBITAL_PERIOD_MINUTES) -> Column:
 def ground_track_velocity(altitude_km: Column, period_minutes: Column) -> Column:
     """Speed over ground in km/h: one circumference at this altitude per period."""
     circumference = F.lit(2 * math.pi) * (F.lit(fixed.EARTH_RADIUS_KM) + altitude_km)
-    return round_half_up_2(F.try_divide(circumference, period_minutes) * F.lit(60.0))
+    return F.round(F.try_divide(circumference, period_minutes) * F.lit(60.0), 2)
 
 
 def coverage_radius(altitude_km: Column) -> Column:
-    return round_half_up_2(altitude_km * F.lit(fixed.COVERAGE_RADIUS_PER_KM_ALTITUDE))
+    return F.round(altitude_km * F.lit(fixed.COVERAGE_RADIUS_PER_KM_ALTITUDE), 2)
 
 
 def orbital_velocity(altitude_km: Column) -> Column:
@@ -84,9 +84,9 @@ def planar_distance_km(lat: Column, lon: Column, lat0: float, lon0: float) -> Co
 
 def coverage_from_count(satellites: Column) -> Column:
     share = satellites.cast("double") / F.lit(fixed.SATELLITES_FOR_FULL_COVERAGE) * F.lit(100.0)
-    return round_half_up_2(F.least(F.lit(100.0), share))
+    return F.round(F.least(F.lit(100.0), share), 2)
 
 
 def signal_from_coverage(coverage_percentage: Column) -> Column:
     gain = coverage_percentage / F.lit(100.0) * F.lit(fixed.SIGNAL_GAIN_AT_FULL_COVERAGE)
-    return round_half_up_2(F.lit(fixed.SIGNAL_AT_ZERO_COVERAGE) + gain)
+    return F.round(F.lit(fixed.SIGNAL_AT_ZERO_COVERAGE) + gain, 2)
