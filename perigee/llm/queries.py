@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import simhash, substrings, suffixes
+from perigee.llm import mixing, packing, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,18 +23,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, which every machine has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = substrings.without_repeats(documents(spark, sf_dir))
     return result.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = suffixes.without_repeats(documents(spark, sf_dir))
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
