@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from perigee.llm.windows import Windows, covered, sorted_order, with_runs
@@ -15,10 +12,6 @@ WORDS, MINIMISER = 13, 4
 SPEC = Windows(size=WORDS, anchor=MINIMISER, words=True, strict=True)
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
-
-
 def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row of ``docs`` (doc_id, text).
 
@@ -28,21 +21,14 @@ def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
     nothing from each other. Other columns are not read.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, removed, kept = [], [], []
-            for text, runs in zip(batch.column(1), batch.column(2), strict=True):
-                words = _words(text.as_py())
-                n.append(len(words))
-                if runs.is_valid:
-                    falls = covered(runs.as_py(), len(words))
-                    removed.append(int(falls.sum()))
-                    words = [words[i] for i in np.flatnonzero(~falls).tolist()]
-                else:
-                    removed.append(0)
-                kept.append(b" ".join(words).decode())
-            columns = [batch.column(0), pa.array(n), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
+    def finish(doc_id: int | None, text: bytes, runs: list[bytes] | None) -> tuple:
+        words, removed = text.split(), 0
+        n = len(words)
+        if runs:
+            falls = covered(runs, n)
+            removed = int(falls.sum())
+            words = [words[i] for i in np.flatnonzero(~falls).tolist()]
+        return doc_id, n, removed, b" ".join(words).decode()
 
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    return with_runs(docs, spec, sorted_order).mapInArrow(run, schema)
+    return with_runs(docs, spec, sorted_order, finish, schema)

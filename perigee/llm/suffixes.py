@@ -9,15 +9,12 @@ that every level reuses the one before. What precedes the q-gram is refined the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from perigee.llm.windows import Windows, blocks_of, covered, with_runs
 
-BYTES, QGRAM = 100, 40
+BYTES, QGRAM = 100, 24
 SPEC = Windows(size=BYTES, anchor=QGRAM, words=False, strict=False)
 
 
@@ -52,23 +49,12 @@ def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
     one document, so of two repeated rows neither precedes the other. Other columns are not read.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, removed, spans, kept = [], [], [], []
-            for text, runs in zip(batch.column(1), batch.column(2), strict=True):
-                data = (text.as_py() or "").encode()
-                n.append(len(data))
-                if runs.is_valid:
-                    falls = covered(runs.as_py(), len(data))
-                    removed.append(int(falls.sum()))
-                    spans.append(int(np.count_nonzero(falls & ~np.append(False, falls[:-1]))))
-                    data = np.frombuffer(data, np.uint8)[~falls].tobytes()
-                else:
-                    removed.append(0)
-                    spans.append(0)
-                kept.append(data)
-            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, removed, spans)), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    def finish(doc_id: int | None, text: bytes, runs: list[bytes] | None) -> tuple:
+        if not runs:
+            return doc_id, len(text), 0, 0, text
+        falls = covered(runs, len(text))
+        spans = int(np.count_nonzero(falls & ~np.append(False, falls[:-1])))
+        return doc_id, len(text), int(falls.sum()), spans, np.frombuffer(text, np.uint8)[~falls].tobytes()
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return with_runs(docs, spec, refined_order).mapInArrow(run, schema)
+    return with_runs(docs, spec, refined_order, finish, schema)

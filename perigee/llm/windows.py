@@ -15,6 +15,7 @@ their windows are dealt by the hash of the whole window instead.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,9 +32,11 @@ STEP, MIX_1, MIX_2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB1
 POSITION_BITS = 21
 BLOCK_BYTES = 1 << 20
 #: Bytes of packed strings that a task merges before it sends them.
-FLUSH_BYTES = 24 << 20
-#: Bytes of packed strings meant for one bucket.
-BUCKET_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
+#: Bytes of packed strings, or of texts, meant for one bucket.
+BUCKET_BYTES = 12 << 20
+#: Compression of what travels.
+LEVEL = 5
 #: Strings of a bucket compared at once; more only if they share one anchor.
 SLAB_ROWS = 40_000
 #: An anchor with more strings than this share of a bucket's is heavy.
@@ -148,7 +151,7 @@ class Strings:
         ids = np.diff(self.ids, prepend=0)
         parts = [c.astype(k).tobytes() for c, k in zip([ids, *self.columns()[1:]], self.KINDS, strict=True)]
         head = len(self).to_bytes(8, "little")
-        return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *parts, *self.texts]))
+        return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([head, *parts, *self.texts]))
 
     @classmethod
     def unpacked(cls, data: bytes) -> Strings:
@@ -307,18 +310,23 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 8 << 20) ->
 def _solved(strings: Strings, spec: Windows, order: Callable) -> Iterator[list[np.ndarray]]:
     """Runs of windows that fall among the strings of one bucket."""
     strings = strings.take(np.lexsort((strings.starts, strings.ids)))
+    sizes = strings.counts + spec.size - 1
+    ends = np.cumsum(sizes)
+    at = ends - sizes + strings.anchors
     if spec.words:
-        parts = [t.split(b" ") for t in strings.texts]
-        flat = pa.array([w for p in parts for w in p], pa.large_binary()).dictionary_encode().indices.to_numpy()
-        tokens = (flat + 1).astype(np.uint32)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        grams = [b" ".join(p[a : a + spec.anchor]) for p, a in zip(parts, strings.anchors.tolist(), strict=True)]
+        data = b"".join([t + b" " for t in strings.texts])
+        edges = np.append(0, np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1)
+        buffers = [None, pa.py_buffer(edges), pa.py_buffer(data)]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, buffers)
+        tokens = (words.dictionary_encode().indices.to_numpy() + 1).astype(np.uint32)
+        low, high = edges[at], edges[at + spec.anchor] - 1
     else:
-        tokens, sizes = np.frombuffer(b"".join(strings.texts), np.uint8), strings.lengths
-        grams = [t[a : a + spec.anchor] for t, a in zip(strings.texts, strings.anchors.tolist(), strict=True)]
+        data = b"".join(strings.texts)
+        tokens = np.frombuffer(data, np.uint8)
+        low, high = at, at + spec.anchor
+    grams = [data[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True)]
     anchor = pa.array(grams, pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
     often = np.bincount(anchor, minlength=1)
-    ends = np.cumsum(sizes)
     rows = np.flatnonzero(often[anchor] > 1)
     rows = rows[np.argsort(anchor[rows], kind="stable")]
     cuts = np.flatnonzero(np.diff(anchor[rows], prepend=-1))
@@ -417,10 +425,9 @@ def _anchor_weights(spec: Windows) -> Callable:
     return run
 
 
-def falling_runs(docs: DataFrame, spec: Windows, order: Callable) -> DataFrame:
-    """``id, tag, runs`` for documents ``id, tag, text``: runs of tokens (start, length, as pairs of unsigned
-    32-bit numbers) that are covered by windows with an earlier occurrence; several rows per document."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def falling_runs(docs: DataFrame, spec: Windows, order: Callable, total: int) -> DataFrame:
+    """``id, tag, data`` for documents ``id, tag, text``: runs of tokens (start, length, as pairs of unsigned
+    32-bit numbers) that are covered by windows with an earlier occurrence; several rows per document. ``total`` is the number of bytes of all texts."""
     buckets = max(1, math.ceil(total * spec.expansion() / BUCKET_BYTES))
     # strings in a bucket, from their mean length in bytes; a heavy anchor fills much of one
     mean = (spec.spread / 2 + spec.size) * (6.5 if spec.words else 1)
@@ -445,7 +452,7 @@ def falling_runs(docs: DataFrame, spec: Windows, order: Callable) -> DataFrame:
         yield from _batches(rows(), schema)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("runs", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("data", pa.binary())])
 
         def rows():
             held, size, current = [], 0, None
@@ -478,7 +485,7 @@ def falling_runs(docs: DataFrame, spec: Windows, order: Callable) -> DataFrame:
         docs.mapInArrow(cut, "bucket long, id long, tag int, data binary")
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(solve, "id long, tag int, runs binary")
+        .mapInArrow(solve, "id long, tag int, data binary")
     )
 
 
@@ -492,12 +499,73 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_runs(docs: DataFrame, spec: Windows, order: Callable) -> DataFrame:
-    """``doc_id, text, runs`` for every row: all its runs of tokens that fall, as a list of binaries or null."""
+def with_runs(docs: DataFrame, spec: Windows, order: Callable, finish: Callable, schema: str) -> DataFrame:
+    """``finish(doc_id, text, runs)`` for every row: a tuple of ``schema`` from its bytes and the runs of tokens that fall.
+
+    Texts travel to their runs once, packed like the strings.
+    """
     rows = keyed(docs)
-    runs = falling_runs(rows.select("id", "tag", "text"), spec, order)
-    runs = runs.groupBy("id", "tag").agg(F.collect_list("runs").alias("runs"))
-    return rows.join(runs, ["id", "tag"], "left").select("doc_id", "text", "runs")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    places = max(1, math.ceil(total / BUCKET_BYTES))
+    runs = falling_runs(rows.select("id", "tag", "text"), spec, order, total)
+    runs = runs.select(F.pmod(F.xxhash64("id", "tag"), F.lit(places)).alias("place"), "id", "tag", "data")
+    texts = rows.withColumn("place", F.pmod(F.xxhash64("id", "tag"), F.lit(places)))
+    texts = texts.mapInArrow(_packed_texts, "place long, id long, tag int, data binary")
+
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def results():
+            held, current = ({}, []), None
+            for batch in batches:
+                for place, doc_id, tag, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if place != current:
+                        yield from _finished(*held, finish)
+                        held, current = ({}, []), place
+                    if tag is None:
+                        held[1].append(data)
+                    else:
+                        held[0].setdefault((doc_id, tag), []).append(data)
+            yield from _finished(*held, finish)
+
+        yield from _batches(results(), _arrow(schema))
+
+    both = texts.union(runs).repartition(places, "place").sortWithinPartitions("place")
+    return both.mapInArrow(done, schema)
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in schema.split(","))])
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows put together by place up to FLUSH_BYTES and compressed; a text is never cut."""
+    schema = pa.schema([("place", pa.int64()), ("id", pa.int64()), ("tag", pa.int32()), ("data", pa.binary())])
+
+    def rows():
+        held, size = {}, 0
+        for batch in batches:
+            for doc_id, key, tag, text, place in zip(*batch.columns, strict=True):
+                data = (text.as_py() or "").encode()
+                held.setdefault(place.as_py(), []).append((doc_id.as_py(), key.as_py(), tag.as_py(), data))
+                size += len(data) + 100
+                if size >= FLUSH_BYTES:
+                    yield from _sent(held)
+                    held, size = {}, 0
+        yield from _sent(held)
+
+    yield from _batches(rows(), schema)
+
+
+def _sent(held: dict[int, list[tuple]]) -> Iterator[tuple]:
+    pack = zstandard.ZstdCompressor(level=LEVEL)
+    for place, docs in held.items():
+        yield place, None, None, pack.compress(pickle.dumps(docs))
+
+
+def _finished(runs: dict, texts: list[bytes], finish: Callable) -> Iterator[tuple]:
+    for data in texts:
+        for doc_id, key, tag, text in pickle.loads(zstandard.ZstdDecompressor().decompress(data)):
+            yield finish(doc_id, text, runs.get((key, tag)))
 
 
 def covered(runs: list[bytes] | None, n: int) -> np.ndarray:
