@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import mixing, packing, simhash, substrings, suffixes
+from perigee.llm import mixing, multiset, packing, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op7_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.fingerprints(documents(spark, sf_dir))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
