@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import mixing, multiset, packing, simhash, substrings, suffixes
+from perigee.llm import mixing, multiset, packing, pii, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +57,14 @@ def op7_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.fingerprints(documents(spark, sf_dir))
 
 
+@query
+def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.personal_data(documents(spark, sf_dir))
+    counts = [pii.count_of("base_", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.listed(F.col("base_")).cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", *counts, digest, pii.listed(F.col("spans_")).alias("spans"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
