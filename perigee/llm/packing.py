@@ -27,7 +27,7 @@ SEQUENCE = 2048
 LARGE = 1 / 8
 GROUPS = 96
 #: Texts encoded together.
-TEXTS = 500
+TEXTS = 1000
 
 
 def pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:

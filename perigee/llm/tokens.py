@@ -12,7 +12,7 @@ import numpy as np
 import tokenizers
 
 #: Words kept for later texts, and the longest one worth keeping.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 32
+KEPT_WORDS, KEPT_LENGTH = 1_000_000, 32
 #: Words encoded in one call.
 CALL_WORDS = 1000
 
