@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import mixing, multiset, packing, pii, simhash, substrings, suffixes
+from perigee.llm import mixing, multiset, packing, pii, quality, simhash, substrings, suffixes, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary file, which every machine has."""
     import public_tokenizers
@@ -41,6 +45,11 @@ def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = suffixes.without_repeats(documents(spark, sf_dir))
@@ -57,6 +66,11 @@ def op7_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.fingerprints(documents(spark, sf_dir))
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query
 def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.personal_data(documents(spark, sf_dir))
