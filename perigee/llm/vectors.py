@@ -26,8 +26,10 @@ SHARD, SHARD_MOST, CLUSTERS_MOST = 1000, 3000, 4096
 FIT_ROWS, FIT_ROUNDS = 40_000, 8
 #: Robust pruning: neighbours of a vector, and how much nearer a detour must be to drop one.
 DEGREE, ALPHA = 24, 1.2
+#: First neighbours of a vector that get it as a neighbour too.
+RETURNS = 2
 #: Expansions of a search before only vectors in range are expanded; searches run together.
-EXPANSIONS, TOGETHER = 12, 1000
+EXPANSIONS, TOGETHER = 16, 1000
 #: Shards searched at first; vectors audited; share of their links that must be found.
 PROBES, AUDITED, LEAST_RECALL = 4, 256, 0.98
 
@@ -119,6 +121,11 @@ def _graph(table: pa.Table) -> pa.Table:
     reps = table["rep"].to_numpy()
     near = _pruned(_matrix(table["vector"]))
     lists = [reps[row[row >= 0]].tolist() for row in near]
+    # as pruning lets a vector lose all lists it was on, each gets onto those of its own first neighbours
+    for i, row in enumerate(near[:, :RETURNS].tolist()):
+        for j in row:
+            if j >= 0 and reps[i] not in lists[j]:
+                lists[j].append(int(reps[i]))
     return pa.table({"rep": reps, "near": pa.array(lists, pa.list_(pa.int64()))})
 
 
