@@ -8,7 +8,7 @@ until it holds a single hash value. Then one filter decides, without sorting doc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import saved, word_count
@@ -23,10 +23,14 @@ HASH_BITS, LEVEL_BITS = 60, 10
 ROUNDS, SHORT = 3, 6
 
 
+def _size_and_hash() -> tuple[Column, Column]:
+    bits = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), F.length("text")), 64 - HASH_BITS)
+    return word_count(F.col("text")), bits
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, hash``: words of each row and 60 bits of a hash of its doc_id and text length."""
-    size = word_count(F.col("text"))
-    bits = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), F.length("text")), 64 - HASH_BITS)
+    size, bits = _size_and_hash()
     return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"), bits.alias("hash"))
 
 
@@ -129,6 +133,17 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return state.drop("budget", "least", "limit")
 
 
+def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, most: float) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the rows, and the plan of each source."""
+    rows = saved(sizes(docs), "sizes")
+    return rows, thresholds(rows, targets(rows, weights, share, most)).withColumnRenamed("source", "plan_source")
+
+
+def _copies() -> Column:
+    more = F.exists("cuts", lambda c: (F.col("size") <= c["limit"]) & (F.col("hash") < c["threshold"]))
+    return F.col("whole") + more.cast("int")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: float = MOST) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs`` (doc_id, text, source).
 
@@ -137,11 +152,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     null and empty texts have size 0. Rows with the same doc_id and length, repeated rows too, share their
     fate. A null doc_id is hashed like any value. Other columns are not read.
     """
-    rows = saved(sizes(docs), "sizes")
-    wanted = targets(rows, weights, share, most)
-    plan = thresholds(rows, wanted).withColumnRenamed("source", "plan_source")
-    more = F.exists("cuts", lambda c: (F.col("size") <= c["limit"]) & (F.col("hash") < c["threshold"]))
-    joined = rows.join(plan, rows.source.eqNullSafe(plan.plan_source))
-    joined = joined.withColumn("copies", F.col("whole") + more.cast("int"))
+    rows, plan = _planned(docs, weights, share, most)
+    joined = rows.join(plan, rows.source.eqNullSafe(plan.plan_source)).withColumn("copies", _copies())
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    return joined.select("doc_id", "source", "size", "source_size", "target", "copies", taken, "hash")
+    return joined.select("doc_id", "source", "size", "source_size", "target", "copies", taken)
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: float = MOST) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix has them."""
+    size, bits = _size_and_hash()
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("of"), size.alias("size"), bits.alias("hash"))
+    _, plan = _planned(docs, weights, share, most)
+    joined = rows.join(plan, rows.of.eqNullSafe(plan.plan_source)).select("row", _copies().cast("int").alias("copies"))
+    return joined.filter("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")

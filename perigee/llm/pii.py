@@ -159,53 +159,61 @@ def _trusted_patterns(words: DataFrame) -> DataFrame:
     return patterns.filter(F.col("trust") >= TRUSTED).select("pattern")
 
 
+#: Type of a list of spans.
+SPANS = "array<struct<start:int,end:int,kind:int,match:string>>"
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
-    """Every column of ``docs`` and ``base_``, ``spans_``: base spans, and all spans, sorted by start and kind.
+    """``row, base, spans`` for every row of ``docs``: all its columns, the base spans, and all spans, by start and kind.
 
     A span is ``start, end, kind, match`` with the kind's number; positions are code points, end exclusive.
     Null texts count as empty. Rows are told apart by doc_id and text, so rows with equal ids, repeated rows
-    and null ids get the spans of their own text. Columns named like the two above are replaced.
+    and null ids get the spans of their own text.
     """
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit("")))
-    rows = base_spans(docs.select("doc_id", "text")).select(key.alias("key"), "text", "base")
-    few = saved(rows.filter(F.coalesce("text", F.lit("")).rlike(LOOK) | (F.size("base") > 0)).dropDuplicates(["key"]), "pii-base")
-    found = bootstrapped(few).join(few.select("key", "base"), "key", "right")
-    spans = F.array_sort(F.concat("base", F.coalesce("found", F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>"))))
-    found = found.select(F.col("key").alias("key_"), F.col("base").alias("base_"), spans.alias("spans_"))
-    all_ = docs.drop("base_", "spans_", "key_").withColumn("row_key_", key)
-    joined = all_.join(found, F.col("row_key_") == F.col("key_"), "left").drop("row_key_", "key_")
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>")
-    return joined.withColumn("base_", F.coalesce("base_", empty)).withColumn("spans_", F.coalesce("spans_", empty))
+    text = F.coalesce("text", F.lit(""))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)
+    # only texts with a digit or an at sign can have personal data
+    some = docs.filter(text.rlike("[0-9@]")).select(key.alias("key"), "text")
+    some = base_spans(some).filter(text.rlike(LOOK) | (F.size("base") > 0)).dropDuplicates(["key"])
+    some = saved(some, "pii-base")
+    none = F.array().cast(SPANS)
+    known = some.select("key", "base").join(bootstrapped(some), "key", "left")
+    known = known.select("key", "base", F.array_sort(F.concat("base", F.coalesce("found", none))).alias("spans"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("row_key"))
+    joined = rows.join(known, F.col("row_key") == F.col("key"), "left")
+    return joined.select("row", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
+def _names() -> Column:
+    return F.array(*map(F.lit, (*KINDS, FOUND)))
+
+
 def listed(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
-    names = F.array(*map(F.lit, (*KINDS, FOUND)))
-    one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
+    one = lambda s: F.concat_ws(":", F.get(_names(), s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
     return F.array_join(F.transform(spans, one), ",")
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with every span of personal data replaced by its kind in brackets; ``n_chars`` follows."""
-    names = F.array(*map(F.lit, (*KINDS, FOUND)))
+    text = F.col("row.text")
 
     def add(state: Column, s: Column) -> Column:
-        begin = F.greatest(state["at"], s["start"])
-        text = F.concat(
-            state["text"],
-            F.substring("text", state["at"] + 1, begin - state["at"]),
-            F.when(s["start"] >= state["at"], F.concat(F.lit("["), F.get(names, s["kind"]), F.lit("]"))).otherwise(F.lit("")),
-        )
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), text.alias("text"))
-
-    rows = personal_data(docs)
-    rest = lambda s: F.concat(s["text"], F.substring("text", s["at"] + 1, F.length("text")))
-    clean = F.aggregate("spans_", F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), add, rest)
-    rows = rows.withColumn("text", F.when(F.size("spans_") > 0, clean).otherwise(F.col("text")))
+        mark = F.concat(F.lit("["), F.get(_names(), s["kind"]), F.lit("]"))
+        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        further = F.struct(s["end"].alias("at"), F.concat(state["text"], between, mark).alias("text"))
+        inside = F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["text"].alias("text"))
+        return F.when(s["start"] >= state["at"], further).otherwise(inside)
+
+    rest = lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text)))
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), add, rest)
+    rows = personal_data(docs).withColumn("clean", F.when(F.size("spans") > 0, clean))
+    changed = {"text": F.coalesce("clean", text)}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("spans_") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
+    return rows.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -79,9 +79,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.personal_data(documents(spark, sf_dir))
-    counts = [pii.count_of("base_", kind).alias(f"n_{kind}") for kind in pii.KINDS]
-    digest = F.sha2(pii.listed(F.col("base_")).cast("binary"), 256).alias("base_sha256")
-    return rows.select("doc_id", *counts, digest, pii.listed(F.col("spans_")).alias("spans"))
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    digest = F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    spans = pii.listed(F.col("spans")).alias("spans")
+    return rows.select(F.col("row.doc_id").alias("doc_id"), *counts, digest, spans)
 
 
 @query

@@ -179,3 +179,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classes, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose doc_id is the smallest of its group.
+
+    Of rows that repeat such a doc_id one stays, any of them if they differ. Rows without a doc_id stay.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    heads = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("head")).distinct()
+    repeated = rows.filter("id IS NOT NULL").groupBy(F.col("id").alias("again")).count().filter("count > 1").select("again")
+    repeated = saved(repeated, "repeated-ids")
+    kept = rows.join(heads, F.col("id") == F.col("head"), "left_semi")
+    single = kept.join(repeated, F.col("id") == F.col("again"), "left_anti")
+    doubled = kept.join(repeated, F.col("id") == F.col("again"), "left_semi").dropDuplicates(["id"])
+    return single.union(doubled).union(rows.filter("id IS NULL")).select("row.*")
