@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from perigee.llm.common import SEPARATORS, tasks
 
-CHECK_LANES, CHECK_MASK = 8, (1 << 32) - 1
+CHECK_LANES, CHECK_MASK = 8, (1 << 31) - 1
 #: Bits of a hash are counted in fields of a long: three fields of 21 bits, enough for two million pairs of a text.
 FIELDS, FIELD_BITS = 3, 21
 SKETCH_LANES = FIELDS * FIELD_BITS
@@ -25,7 +25,7 @@ SKETCH_MASK = (1 << 24) - 1
 
 
 def check_lanes(text: Column) -> Column:
-    """For each check lane, the sum of the paragraphs' hashes modulo 2**32."""
+    """For each check lane, the sum of the paragraphs' hashes modulo 2**31."""
     mask = F.lit(CHECK_MASK).cast("long")
     paragraphs = F.split(text, "\n", -1)
 
@@ -33,7 +33,7 @@ def check_lanes(text: Column) -> Column:
         add = lambda total, p: (total + F.xxhash64(p, seed).bitwiseAND(mask)).bitwiseAND(mask)
         return F.aggregate(paragraphs, F.lit(0).cast("long"), add)
 
-    return F.transform(F.array(*map(F.lit, range(CHECK_LANES))), lane)
+    return F.transform(F.array(*map(F.lit, range(CHECK_LANES))), lane).cast("array<int>")
 
 
 def _pairs(text: Column) -> Column:
@@ -61,7 +61,7 @@ def sketched(rows: DataFrame, text: str, key: list[str]) -> DataFrame:
     names = [f"s{i}_{f}" for f in range(FIELDS) for i in range(FIELD_BITS)]
     # equal rows were counted together
     values = [F.pmod(F.expr(f"coalesce({n}, 0) div copies"), F.lit(SKETCH_MASK + 1)) for n in ["n", *names]]
-    return whole.select(*key, "copies", F.struct("check", F.array(*values).alias("sketch")).alias("vector"))
+    return whole.select(*key, "copies", F.struct("check", F.array(*values).cast("array<int>").alias("sketch")).alias("vector"))
 
 
 def text_of(vector_: Column) -> Column:
@@ -76,7 +76,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     def centred(v: Column) -> Column:
         n = F.get(v["sketch"], F.lit(0))
-        return F.transform(F.slice(v["sketch"], 2, SKETCH_LANES), lambda x: (x * 2 - n).cast("double"))
+        return F.transform(F.slice(v["sketch"], 2, SKETCH_LANES), lambda x: x.cast("double") * 2 - n)
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda t, p: t + p)
