@@ -176,9 +176,9 @@ def merged(strings: Strings, spec: Windows) -> tuple[Strings, list[np.ndarray]]:
     order = np.lexsort((strings.starts, strings.ids, same))
     first = np.ones(len(order), bool)
     first[1:] = same[order[1:]] != same[order[:-1]]
-    if spec.strict:
-        leader = np.repeat(strings.ids[order][first], np.diff(np.append(np.flatnonzero(first), len(order))))
-        first |= strings.ids[order] == leader
+    # none precedes itself: repeated rows, and what a document repeats if only other documents count
+    leader = np.repeat(order[first], np.diff(np.append(np.flatnonzero(first), len(order))))
+    first |= (strings.ids[order] == strings.ids[leader]) & (spec.strict | (strings.starts[order] == strings.starts[leader]))
     later = order[~first]
     runs = [strings.ids[later], strings.tags[later], strings.starts[later], strings.counts[later] + spec.size - 1]
     return strings.take(np.sort(order[first])), runs
@@ -309,7 +309,7 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 8 << 20) ->
 
 def _solved(strings: Strings, spec: Windows, order: Callable) -> Iterator[list[np.ndarray]]:
     """Runs of windows that fall among the strings of one bucket."""
-    strings = strings.take(np.lexsort((strings.starts, strings.ids)))
+    strings = strings.take(np.lexsort((strings.starts + strings.anchors, strings.ids)))
     sizes = strings.counts + spec.size - 1
     ends = np.cumsum(sizes)
     at = ends - sizes + strings.anchors
@@ -348,7 +348,7 @@ def _slab(strings, spec, order, at, anchor, tokens, low, high) -> list[np.ndarra
     right = _side(tokens, middle[:, None] + spec.anchor + np.arange(spread), low[:, None], high[:, None])
     left_class, right_class = _classes(anchor, left, order), _classes(anchor, right, order)
     falls = np.zeros((n, spread + 1), bool)  # by tokens before the anchor
-    ids, counts = strings.ids[at], strings.counts[at]
+    ids, counts, middle_at = strings.ids[at], strings.counts[at], strings.starts[at] + place
     for before in range(spread + 1):
         has = np.flatnonzero((place - counts < before) & (before <= place))
         if len(has) < 2:
@@ -360,10 +360,11 @@ def _slab(strings, spec, order, at, anchor, tokens, low, high) -> list[np.ndarra
         first[1:] = key[1:] != key[:-1]
         if first.all():
             continue
-        late = ~first
-        if spec.strict:
-            leader = np.repeat(ids[has[by[first]]], np.diff(np.append(np.flatnonzero(first), len(by))))
-            late = ids[has[by]] > leader
+        leader = np.repeat(has[by[first]], np.diff(np.append(np.flatnonzero(first), len(by))))
+        own = has[by]
+        late = ids[own] > ids[leader]
+        if not spec.strict:
+            late |= (ids[own] == ids[leader]) & (middle_at[own] > middle_at[leader])
         falls[has[by[late]], before] = True
     # runs of falling windows of a string, from its first window on
     steps = np.zeros((n, spread + 3), np.int8)
