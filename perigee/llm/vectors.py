@@ -44,7 +44,8 @@ def classes(vectors: DataFrame) -> DataFrame:
         F.min(F.col("vec_id").cast("long")).alias("rep"), F.count("*").alias("times"), F.first("square").alias("square")
     )
     unit = F.transform("embedding", lambda x: x.cast("double") / F.sqrt("square"))
-    return each.select("rep", F.col("label").cast("string").alias("label"), unit.alias("vector"), "times")
+    space = F.concat_ws(":", "label", F.size("embedding"))  # vectors of another length are like another label
+    return each.select("rep", space.alias("label"), unit.alias("vector"), "times")
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
