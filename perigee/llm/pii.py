@@ -9,7 +9,7 @@ data too, though no base pattern knows them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import saved
@@ -86,53 +86,43 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return docs.withColumn("base", F.when(text.rlike("[0-9@]"), spans).otherwise(empty))
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """``key, word, start, end, pattern, seed`` for words with the look of an identifier or part of a base span.
+def _candidates(docs: DataFrame) -> DataFrame:
+    """``key, word, start, end, before, after`` for words with the look of an identifier, for rows ``key, text``.
 
-    The pattern has the words around: ``BEFORE`` before and ``AFTER`` after, numbers and marks left out.
+    Words become rows, so a text of any length takes time in proportion to it. A part is a word with the
+    space before it; marks around a word are left out of its span.
     """
-    text = F.coalesce("text", F.lit(""))
-    looks = docs.filter(text.rlike(LOOK) | (F.size("base") > 0))
-    pieces = F.split(text, SPACE, -1)
-    gaps = F.regexp_extract_all(text, F.lit(f"({SPACE})"), 1)
-    sized = F.zip_with(pieces, gaps, lambda p, g: F.length(p) + F.coalesce(F.length(g), F.lit(0)))
-    return looks.select("key", "base", pieces.alias("pieces"), sized.alias("sized"))
+    parts = F.regexp_extract_all(F.col("text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
+    rows = docs.select("key", F.posexplode(parts).alias("at", "part"))
+    rows = rows.withColumn("word", F.regexp_replace("part", f"^{SPACE}", ""))
+    core = F.regexp_replace(F.lower("word"), "[^\\p{L}]+", "")
+    by = Window.partitionBy("key").orderBy("at")
+    begins = F.coalesce(F.sum(F.length("part")).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("core", core).select(
+        "key",
+        "word",
+        (begins + F.length("part") - F.length("word")).cast("int").alias("at"),
+        F.concat_ws(" ", *(F.lag("core", k).over(by) for k in range(BEFORE, 0, -1))).alias("before"),
+        F.concat_ws(" ", *(F.lead("core", k).over(by) for k in range(1, AFTER + 1))).alias("after"),
+    )
+    rows = rows.where(F.col("word").rlike(LOOK))
+    headless = F.regexp_replace("word", "^[\\p{P}\\p{S}&&[^+]]+", "")
+    trimmed = F.regexp_replace(headless, "[\\p{P}\\p{S}]+$", "")
+    start = F.col("at") + F.length("word") - F.length(headless)
+    return rows.select(
+        "key", trimmed.alias("word"), start.alias("start"), (start + F.length(trimmed)).alias("end"), "before", "after"
+    ).where("end > start")
 
 
 def bootstrapped(docs: DataFrame) -> DataFrame:
     """``key, found``: spans of identifiers next to trusted patterns, for rows ``key, text, base``."""
-    rows = _words(docs)
-    # running ends of words with their gaps: one pass over each text
-    ends = F.aggregate(
-        "sized",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")),
-        lambda s: s["all"],
-    )
-    core = lambda w: F.regexp_replace(F.lower(w), "[^\\p{L}]+", "")
-    is_candidate = lambda w: w.rlike(LOOK)
-    at = F.filter(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: is_candidate(F.get("pieces", i)))
-    rows = rows.select("key", "base", "pieces", "sized", at.alias("at")).filter(F.size("at") > 0)
-    rows = rows.select("key", "base", "pieces", ends.alias("starts"), F.explode("at").alias("i"))
-    word = F.get("pieces", F.col("i"))
-    trimmed = F.regexp_replace(word, "^[\\p{P}\\p{S}&&[^+]]+|[\\p{P}\\p{S}]+$", "")
-    lead = F.length(word) - F.length(F.regexp_replace(word, "^[\\p{P}\\p{S}&&[^+]]+", ""))
-    start = F.get("starts", F.col("i")) + lead
-    around = [core(F.coalesce(F.get("pieces", F.col("i") + k), F.lit(""))) for k in (*range(-BEFORE, 0), *range(1, AFTER + 1))]
-    words = rows.select(
-        "key",
-        trimmed.alias("word"),
-        start.alias("start"),
-        (start + F.length(trimmed)).alias("end"),
-        F.concat_ws(" ", *around[:BEFORE]).alias("before"),
-        F.concat_ws(" ", *around[BEFORE:]).alias("after"),
-        "base",
-    ).filter("end > start")
+    words = saved(_candidates(docs.where(F.col("text").rlike(LOOK))), "pii-candidates")
+    words = words.join(docs.select("key", "base"), "key")
     seed = F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    words = words.withColumn("seed", seed).drop("base")
-    sides = F.explode(F.array(F.concat(F.lit("<"), F.col("before")), F.concat(F.lit(">"), F.col("after"))))
-    words = saved(words.select("key", "word", "start", "end", "seed", sides.alias("pattern")), "pii-words")
-    words = words.filter("length(trim(substring(pattern, 2))) > 0")
+    sides = F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after"))
+    words = words.select("key", "word", "start", "end", seed.alias("seed"), sides.alias("sides"))
+    words = words.select("key", "word", "start", "end", "seed", F.explode("sides").alias("pattern"))
+    words = saved(words.where("length(trim(substring(pattern, 2))) > 0"), "pii-words")
     trusted = saved(_trusted_patterns(words), "pii-patterns")
     hits = words.filter("NOT seed").join(trusted, "pattern", "left_semi")
     span = F.struct("start", "end", F.lit(len(KINDS)).alias("kind"), F.col("word").alias("match"))
@@ -173,9 +163,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)
     # only texts with a digit or an at sign can have personal data
-    some = docs.filter(text.rlike("[0-9@]")).select(key.alias("key"), "text")
-    some = base_spans(some).filter(text.rlike(LOOK) | (F.size("base") > 0)).dropDuplicates(["key"])
-    some = saved(some, "pii-base")
+    some = docs.filter(text.rlike("[0-9@]")).select(key.alias("key"), "text").dropDuplicates(["key"])
+    some = saved(base_spans(some), "pii-base")
     none = F.array().cast(SPANS)
     known = some.select("key", "base").join(bootstrapped(some), "key", "left")
     known = known.select("key", "base", F.array_sort(F.concat("base", F.coalesce("found", none))).alias("spans"))
