@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from perigee.functions.times import date_parts, hour_start, hours_before, latest
 from perigee.model import (
     COVERAGE,
     COVERAGE_STATS,
+    CREATED_AT,
     PERFORMANCE,
     PERFORMANCE_STATS,
     RAW_DATASETS,
@@ -83,6 +85,18 @@ def typed_stats(spark, sf, table, hours=None):
     return rollups.cast_stats_types(stats, table, created_at=False), as_of
 
 
+def stored_stats(spark, sf, *tables):
+    """Statistics tables rolled up once, written and scanned, as reports read them, and the newest window
+    start among them, a literal."""
+    root = fresh_folder(spark, "stats")
+    for table in tables:
+        write_parquet(typed_stats(spark, sf, table)[0], f"{root}/{table.name}")
+    scans = [processed.scan_stats(spark, root, t).drop(CREATED_AT) for t in tables]
+    scans = [s.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (WINDOW_START, WINDOW_END)}) for s in scans]
+    newest = [s.agg(F.max(WINDOW_START)).first()[0] for s in scans]
+    return *scans, max(n for n in newest if n)
+
+
 def counted(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("dataset"), "row_count")
@@ -113,7 +127,7 @@ def scan_json(spark, sf):
     root = fresh_folder(spark, "scan-json")
     export_raw({"coverage": raw_inputs(spark, sf)["coverage"]}, root, "json")
     path = raw.raw_path(root, COVERAGE, "json")
-    return files.scan_json(spark, path, COVERAGE.schema, multi_line=False)
+    return files.scan_json(spark, path, COVERAGE.schema)
 
 
 @query
@@ -151,7 +165,7 @@ def extract_performance(spark, sf):
     root = fresh_folder(spark, "extract-performance")
     export_raw({"performance": raw_inputs(spark, sf)["performance"]}, root, "Json")
     path = raw.raw_path(root, PERFORMANCE, "Json")
-    return raw.extract_performance(spark, path, "Json", multi_line=False)
+    return raw.extract_performance(spark, path, "Json")
 
 
 @query
@@ -161,6 +175,35 @@ def extract_all(spark, sf):
     return counted(raw.extract_all(spark, root, "csv"))
 
 
+def in_full(frames: dict[str, DataFrame], **columns: str) -> DataFrame:
+    """Rows of several datasets in one frame: whose they are, and each row as text of its values."""
+    parts = [
+        df.select(
+            F.lit(name).alias("dataset"),
+            *(F.lit(v).alias(c) for c, v in columns.items()),
+            F.concat_ws("|", *(F.coalesce(_plain(df, c), F.lit("-")) for c in sorted(df.columns))).alias("row"),
+        )
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _plain(df: DataFrame, column: str):
+    """A value as text that both engines write alike: numbers with six places, times by the second."""
+    kind, value = dict(df.dtypes)[column], F.col(column)
+    if kind.startswith(("double", "decimal", "int", "bigint")):
+        return value.cast("decimal(30,6)").cast("string")
+    return F.date_format(value, "yyyy-MM-dd HH:mm:ss") if kind.startswith("timestamp") else value
+
+
+@query
+def extract_all_json(spark, sf):
+    """JSON on default arguments, all three datasets in full."""
+    root = fresh_folder(spark, "extract-json")
+    export_raw(raw_inputs(spark, sf), root, "json")
+    return in_full(raw.extract_all(spark, root, "json"))
+
+
 @query
 def require_nonempty(spark, sf):
     return counted(raw.require_nonempty(raw_inputs(spark, sf)))
@@ -168,16 +211,19 @@ def require_nonempty(spark, sf):
 
 @query
 def scan_rejects(spark, sf):
+    """Faults in three columns, alone and together; rows without a key are read like any other."""
     path = fresh_folder(spark, "rejects")
-    altitude = F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(
-        F.col("altitude").cast("int").cast("string")
-    )
-    lines = (
-        telemetry(spark, sf)
-        .where("satellite_id IS NOT NULL")
-        .select(
-            F.concat_ws(",", "satellite_id", F.col("ts").cast("string"), F.lit("1"), F.lit("2"),
-                        altitude, F.lit("7"), F.lit("online"))
+    bad = lambda every, text, good: F.when(F.col("event_id") % every == 0, text).otherwise(good)
+    lines = telemetry(spark, sf).select(
+        F.concat_ws(
+            ",",
+            F.coalesce("satellite_id", F.lit("")),
+            bad(11, "yesterday", F.col("ts").cast("string")),
+            F.lit("1"),
+            bad(5, "east", F.lit("2")),
+            bad(7, "n/a", F.col("altitude").cast("int").cast("string")),
+            F.lit("7"),
+            F.lit("online"),
         )
     )
     lines.write.text(path)
@@ -381,25 +427,24 @@ def status_counts(spark, sf):
 
 @query
 def fleet_summary(spark, sf):
-    stats, as_of = typed_stats(spark, sf, SATELLITE_STATS)
+    stats, as_of = stored_stats(spark, sf, SATELLITE_STATS)
     return serving.fleet_summary(stats, 24, as_of)
 
 
 @query
 def coverage_by_region(spark, sf):
-    stats, as_of = typed_stats(spark, sf, COVERAGE_STATS, 24)
+    stats, as_of = stored_stats(spark, sf, COVERAGE_STATS)
     return serving.coverage_by_region(stats, 24, as_of)
 
 
 @query
 def performance_by_region(spark, sf):
-    stats, as_of = typed_stats(spark, sf, PERFORMANCE_STATS, 24)
+    stats, as_of = stored_stats(spark, sf, PERFORMANCE_STATS)
     return serving.performance_by_region(stats, 24, as_of)
 
 
 def _sections(spark, sf):
-    as_of = latest_hour(telemetry(spark, sf))
-    tables = [typed_stats(spark, sf, t)[0] for t in STATS_TABLES]
+    *tables, as_of = stored_stats(spark, sf, *STATS_TABLES)
     return serving.summary_sections(*tables, hours=24, as_of=as_of)
 
 
@@ -410,9 +455,11 @@ def dashboard_summary(spark, sf):
 
 @query
 def dashboard_summary_nested(spark, sf):
-    """The nested row, unfolded again so that engines can be compared."""
+    """The nested row with all three sections, unfolded again so that engines can be compared."""
     nested = serving.dashboard_summary(_sections(spark, sf))
-    return nested.select("satellite.*", F.inline("performance"))
+    nested = nested.withColumn("c", F.explode("coverage")).withColumn("p", F.explode("performance"))
+    nested = nested.where("c.region = p.region")
+    return nested.select("satellite.*", "c.*", F.col("p").dropFields("region").alias("p")).select("*", "p.*").drop("p")
 
 
 @query
@@ -493,38 +540,38 @@ def missing_windows(spark, sf):
 
 @query
 def recent_satellite_stats(spark, sf):
-    stats, as_of = typed_stats(spark, sf, SATELLITE_STATS)
+    stats, as_of = stored_stats(spark, sf, SATELLITE_STATS)
     return serving.recent_satellite_stats(stats, MONTH_HOURS, as_of)
 
 
 @query
 def recent_coverage_region(spark, sf):
-    stats, as_of = typed_stats(spark, sf, COVERAGE_STATS, MONTH_HOURS)
+    stats, as_of = stored_stats(spark, sf, COVERAGE_STATS)
     return serving.recent_coverage(stats, "EU", MONTH_HOURS, as_of)
 
 
 @query
 def recent_coverage_all(spark, sf):
-    stats, as_of = typed_stats(spark, sf, COVERAGE_STATS, MONTH_HOURS)
+    stats, as_of = stored_stats(spark, sf, COVERAGE_STATS)
     return serving.recent_coverage(stats, None, MONTH_HOURS, as_of)
 
 
 @query
 def recent_performance_region(spark, sf):
-    stats, as_of = typed_stats(spark, sf, PERFORMANCE_STATS, MONTH_HOURS)
+    stats, as_of = stored_stats(spark, sf, PERFORMANCE_STATS)
     return serving.recent_performance(stats, "AS", MONTH_HOURS, as_of)
 
 
 @query
 def recent_performance_all(spark, sf):
-    stats, as_of = typed_stats(spark, sf, PERFORMANCE_STATS, MONTH_HOURS)
+    stats, as_of = stored_stats(spark, sf, PERFORMANCE_STATS)
     return serving.recent_performance(stats, None, MONTH_HOURS, as_of)
 
 
 @query
 def coverage_series(spark, sf):
-    stats, as_of = typed_stats(spark, sf, COVERAGE_STATS, 48)
-    series = serving.coverage_series(serving.recent_coverage(stats, None, 48, as_of))
+    stats, as_of = stored_stats(spark, sf, COVERAGE_STATS)
+    series = serving.coverage_series(serving.recent_coverage(stats, None, 48, as_of, limit=None))
     return series.select("region_id", F.posexplode("points").alias("position", "point")).select(
         "region_id", "position", f"point.{WINDOW_START}", "point.avg_coverage_percentage"
     )
@@ -532,8 +579,8 @@ def coverage_series(spark, sf):
 
 @query
 def performance_trend(spark, sf):
-    stats, as_of = typed_stats(spark, sf, PERFORMANCE_STATS, MONTH_HOURS)
-    return serving.performance_trend(serving.recent_performance(stats, None, MONTH_HOURS, as_of))
+    stats, as_of = stored_stats(spark, sf, PERFORMANCE_STATS)
+    return serving.performance_trend(serving.recent_performance(stats, None, MONTH_HOURS, as_of, limit=None))
 
 
 # ---- sinks, read back
@@ -591,24 +638,35 @@ def append_absent_twice(spark, sf):
 
 @query
 def load_all_outputs(spark, sf):
+    """Everything the load writes, read back in full."""
     root = fresh_folder(spark, "load")
-    counts = load_all(transform_all(raw_inputs(spark, sf)), root)
-    return count_rows_frame(spark, counts)
+    load_all(transform_all(raw_inputs(spark, sf)), root)
+    return in_full(written_outputs(spark, root))
+
+
+def written_outputs(spark, root):
+    satellite = processed.read_satellite(spark, root).select(*transform_columns())
+    outputs = {"satellite": satellite.withColumn("velocity", F.round("velocity", 6))}
+    outputs |= {d.name: processed.read_regional(spark, root, d) for d in (COVERAGE, PERFORMANCE)}
+    return outputs | {t.name: processed.scan_stats(spark, root, t).drop(CREATED_AT) for t in STATS_TABLES}
+
+
+def transform_columns():
+    metrics = ("orbital_period_minutes", "ground_track_velocity_kmh", "estimated_coverage_radius_km")
+    return (*SATELLITE.schema.names, *metrics)
 
 
 @query
 def export_raw_round_trip(spark, sf):
+    """All three datasets through all three formats, read on default arguments."""
     root = fresh_folder(spark, "export")
     inputs = raw_inputs(spark, sf)
+    parts = []
     for file_format in ("csv", "json", "parquet"):
         export_raw(inputs, f"{root}/{file_format}", file_format)
-    parts = [
-        raw.extract_all(spark, f"{root}/{f}", f, multi_line=False)["performance"].withColumn(
-            "file_format", F.lit(f)
-        )
-        for f in ("csv", "json", "parquet")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        back = raw.extract_all(spark, f"{root}/{file_format}", file_format)
+        parts.append(in_full(back, file_format=file_format))
+    return reduce(DataFrame.union, parts)
 
 
 # ---- whole runs
@@ -621,12 +679,20 @@ def transform_all_detail(spark, sf):
     return rows.withColumns({"velocity": six_places("velocity")})
 
 
+@query
+def transform_all_outputs(spark, sf):
+    """All six outputs of the whole transformation, in full."""
+    outputs = transform_all(raw_inputs(spark, sf))
+    outputs["satellite"] = outputs["satellite"].withColumn("velocity", F.round("velocity", 6))
+    typed = {t.name: rollups.cast_stats_types(outputs[t.name], t, created_at=False) for t in STATS_TABLES}
+    return in_full(outputs | typed)
+
+
 @query
 def batch_run(spark, sf):
-    """From raw CSV files to processed Parquet; the result is the satellite statistics written."""
+    """From raw CSV files to processed Parquet; the result is everything written, in full."""
     shared_folder(spark)
     root = fresh_folder(spark, "batch")
     export_raw(raw_inputs(spark, sf), f"{root}/raw", "csv")
     run_batch(spark, BatchConfig(f"{root}/raw", f"{root}/processed"))
-    stats = processed.scan_stats(spark, f"{root}/processed", SATELLITE_STATS)
-    return stats.select(*SATELLITE_STATS.columns)
+    return in_full(written_outputs(spark, f"{root}/processed"))

@@ -8,8 +8,16 @@ _TABLES = {"events": "events", "region": "region"}
 
 
 def r2(value: str) -> str:
-    """Half-up rounding by way of decimals, which both engines do alike."""
-    return f"CAST(round(CAST({value} AS DECIMAL(20, 6)), 2) AS DOUBLE)"
+    """Half-up rounding of one value, on the digits it is written with."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 17)), 2) AS DOUBLE)"
+
+
+def mean2(column: str) -> str:
+    """The mean rounded half-up once, from a sum of whole hundred-millionths."""
+    units = f"sum(CAST(round(CAST({column} AS DOUBLE) * 1e8) AS HUGEINT))"
+    number = f"CAST(count({column}) AS HUGEINT)"
+    whole = f"(abs({units}) * 200 + {number} * 100000000) // nullif({number} * 200000000, 0)"
+    return f"sign({units}) * CAST({whole} AS DOUBLE) / 100"
 
 
 def r6(value: str) -> str:
@@ -72,23 +80,23 @@ cleaned AS (
 ),
 coverage_hours AS (
   SELECT region_id, {_WINDOW},
-         {r2("avg(coverage_percentage)")} AS avg_coverage_percentage,
+         {mean2("coverage_percentage")} AS avg_coverage_percentage,
          max(coverage_percentage) AS max_coverage_percentage,
          min(coverage_percentage) AS min_coverage_percentage,
-         {r2("avg(satellite_count)")} AS avg_satellite_count,
+         {mean2("satellite_count")} AS avg_satellite_count,
          max(satellite_count) AS max_satellite_count,
-         {r2("avg(avg_signal_strength)")} AS avg_signal_strength
+         {mean2("avg_signal_strength")} AS avg_signal_strength
   FROM coverage GROUP BY region_id, date_trunc('hour', ts)
 ),
 performance_hours AS (
   SELECT region, {_WINDOW},
-         {r2("avg(latency_ms)")} AS avg_latency_ms,
+         {mean2("latency_ms")} AS avg_latency_ms,
          min(latency_ms) AS min_latency_ms,
          max(latency_ms) AS max_latency_ms,
-         {r2("avg(throughput_mbps)")} AS avg_throughput_mbps,
+         {mean2("throughput_mbps")} AS avg_throughput_mbps,
          min(throughput_mbps) AS min_throughput_mbps,
          max(throughput_mbps) AS max_throughput_mbps,
-         {r2("avg(availability_percentage)")} AS avg_availability_percentage
+         {mean2("availability_percentage")} AS avg_availability_percentage
   FROM performance GROUP BY region, date_trunc('hour', ts)
 ),
 satellite_hours AS (
@@ -97,8 +105,8 @@ satellite_hours AS (
          count(CASE WHEN status = 'operational' THEN 1 END) AS operational_count,
          count(CASE WHEN status = 'maintenance' THEN 1 END) AS maintenance_count,
          count(CASE WHEN status = 'standby' THEN 1 END) AS standby_count,
-         {r2("avg(altitude)")} AS avg_altitude,
-         {r2("avg(velocity)")} AS avg_velocity
+         {mean2("altitude")} AS avg_altitude,
+         {mean2("velocity")} AS avg_velocity
   FROM cleaned GROUP BY date_trunc('hour', ts)
 ),
 coverage_stats AS (
@@ -164,19 +172,19 @@ fleet AS (
   SELECT coalesce(CAST(sum(total_satellites) AS BIGINT), 0) AS total,
          coalesce(CAST(sum(operational_count) AS BIGINT), 0) AS operational,
          {mean("avg_altitude")} AS avg_altitude
-  FROM satellite_stats WHERE time_window_start >= (SELECT date_trunc('hour', max(ts)) FROM telemetry) - INTERVAL 24 HOUR
+  FROM satellite_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
 ),
 by_coverage AS (
   SELECT region_id AS region, {mean("avg_coverage_percentage")} AS avg_coverage,
          {mean("avg_satellite_count")} AS avg_satellites
-  FROM coverage_stats WHERE time_window_start >= (SELECT date_trunc('hour', max(ts)) FROM telemetry) - INTERVAL 24 HOUR
+  FROM coverage_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
   GROUP BY region_id
 ),
 by_performance AS (
   SELECT region, {mean("avg_latency_ms")} AS avg_latency,
          {mean("avg_throughput_mbps")} AS avg_throughput,
          {mean("avg_availability_percentage")} AS avg_availability
-  FROM performance_stats WHERE time_window_start >= (SELECT date_trunc('hour', max(ts)) FROM telemetry) - INTERVAL 24 HOUR
+  FROM performance_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
   GROUP BY region
 )"""
 
@@ -214,7 +222,7 @@ near AS (
   GROUP BY p.region_id, date_trunc('hour', t.ts)
 ),
 in_range AS (
-  SELECT p.region_id, p.region_name, k.ts, CAST(coalesce(n.n, 0) AS INTEGER) AS satellite_count
+  SELECT p.region_id, p.region_name, k.ts, CAST(coalesce(n.n, 0) AS BIGINT) AS satellite_count
   FROM ticks k CROSS JOIN places p LEFT JOIN near n ON n.region_id = p.region_id AND n.ts = k.ts
 ),
 shares AS (
@@ -231,6 +239,56 @@ grid AS (
                                       INTERVAL 1 HOUR)) AS t FROM hours) g
 )"""
 
+_NUMBER, _TIME, _TEXT = "CAST(CAST({} AS DECIMAL(30, 6)) AS VARCHAR)", "strftime({}, '%Y-%m-%d %H:%M:%S')", "{}"
+
+
+def in_full(dataset: str, table: str, columns: dict[str, str], more: str = "") -> str:
+    """Rows as text of their values, by column name; ``columns`` has how each is written, or name and source."""
+    values = []
+    for name in sorted(columns):
+        kind, source = columns[name] if isinstance(columns[name], tuple) else (columns[name], name)
+        values.append(f"coalesce({kind.format(source)}, '-')")
+    return f"SELECT '{dataset}' AS dataset, {more}concat_ws('|', {', '.join(values)}) AS row FROM {table}"
+
+
+_SATELLITE_ROW = {"satellite_id": _TEXT, "timestamp": (_TIME, "ts"), "status": _TEXT} | {
+    c: _NUMBER for c in ("latitude", "longitude", "altitude", "velocity")
+}
+_COVERAGE_ROW = {"region_id": _TEXT, "region_name": _TEXT, "timestamp": (_TIME, "ts")} | {
+    c: _NUMBER for c in ("coverage_percentage", "satellite_count", "avg_signal_strength")
+}
+_PERFORMANCE_ROW = {"region": _TEXT, "timestamp": (_TIME, "ts")} | {
+    c: _NUMBER for c in ("latency_ms", "throughput_mbps", "availability_percentage")
+}
+_HOURS = {"time_window_start": _TIME, "time_window_end": _TIME}
+
+
+def _raw_in_full(more: str = "") -> str:
+    return "\nUNION ALL ".join(
+        (
+            in_full("satellite", "telemetry", _SATELLITE_ROW, more),
+            in_full("coverage", "coverage", _COVERAGE_ROW, more),
+            in_full("performance", "performance", _PERFORMANCE_ROW, more),
+        )
+    )
+
+
+_METRICS_ROW = {
+    "orbital_period_minutes": (_NUMBER, "95.0::DOUBLE"),
+    "ground_track_velocity_kmh": (_NUMBER, r2(_SPEED)),
+    "estimated_coverage_radius_km": (_NUMBER, r2("altitude * 1.5::DOUBLE")),
+}
+_ALL_OUTPUTS = "\nUNION ALL ".join(
+    (
+        in_full("satellite", "cleaned", _SATELLITE_ROW | _METRICS_ROW),
+        in_full("coverage", "coverage", _COVERAGE_ROW),
+        in_full("performance", "performance", _PERFORMANCE_ROW),
+        in_full("satellite_statistics", "satellite_stats", _HOURS | {c: _NUMBER for c in _SATELLITE_TYPES}),
+        in_full("coverage_statistics", "coverage_stats", _HOURS | {"region_id": _TEXT} | {c: _NUMBER for c in _COVERAGE_TYPES}),
+        in_full("performance_statistics", "performance_stats", _HOURS | {"region": _TEXT} | {c: _NUMBER for c in _PERFORMANCE_TYPES}),
+    )
+)
+
 _BODIES: dict[str, tuple[str, str] | str] = {
     "scan_csv": f"SELECT {_SATELLITE_FILE} FROM telemetry",
     "scan_json": f"SELECT {_COVERAGE_FILE} FROM coverage",
@@ -241,11 +299,16 @@ _BODIES: dict[str, tuple[str, str] | str] = {
     "extract_performance": f"SELECT {_PERFORMANCE_FILE} FROM performance",
     "extract_all": _VIEW_COUNTS,
     "require_nonempty": _VIEW_COUNTS,
-    "scan_rejects": """SELECT satellite_id, ts AS "timestamp", 1.0::DOUBLE AS latitude,
-  2.0::DOUBLE AS longitude, CAST(NULL AS DOUBLE) AS altitude, 7.0::DOUBLE AS velocity,
-  'online' AS status,
-  concat(satellite_id, ',', CAST(ts AS VARCHAR), ',1,2,n/a,7,online') AS _corrupt_record
-FROM telemetry WHERE satellite_id IS NOT NULL AND event_id % 7 = 0""",
+    "scan_rejects": """SELECT satellite_id,
+  CASE WHEN event_id % 11 <> 0 THEN ts END AS "timestamp", 1.0::DOUBLE AS latitude,
+  CASE WHEN event_id % 5 <> 0 THEN 2.0::DOUBLE END AS longitude,
+  CASE WHEN event_id % 7 <> 0 THEN CAST(CAST(altitude AS INTEGER) AS DOUBLE) END AS altitude,
+  7.0::DOUBLE AS velocity, 'online' AS status,
+  concat(coalesce(satellite_id, ''), ',', CASE WHEN event_id % 11 = 0 THEN 'yesterday' ELSE CAST(ts AS VARCHAR) END,
+         ',1,', CASE WHEN event_id % 5 = 0 THEN 'east' ELSE '2' END, ',',
+         CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(CAST(altitude AS INTEGER) AS VARCHAR) END,
+         ',7,online') AS _corrupt_record
+FROM telemetry WHERE event_id % 11 = 0 OR event_id % 5 = 0 OR event_id % 7 = 0""",
     "scan_stats": f"""SELECT region_id, time_window_start, time_window_end,
   {as_doubles(_COVERAGE_TYPES)} FROM coverage_stats""",
     "read_satellite": f"""SELECT {_SATELLITE_FILE}, CAST(year(ts) AS INTEGER) AS year,
@@ -332,8 +395,8 @@ FROM performance_stats WHERE {recent("performance_stats", 24)} GROUP BY region""
     "dashboard_summary": (_SUMMARY_CTES, _SUMMARY_ROWS),
     "dashboard_summary_nested": (
         _SUMMARY_CTES,
-        """SELECT total, operational, avg_altitude, region, avg_latency, avg_throughput,
-  avg_availability FROM fleet, by_performance""",
+        """SELECT total, operational, avg_altitude, region, avg_coverage, avg_satellites, avg_latency,
+  avg_throughput, avg_availability FROM fleet, by_coverage JOIN by_performance USING (region)""",
     ),
     "row_counts": """SELECT 'extracted' AS dataset, count(*) AS row_count FROM telemetry
 UNION ALL SELECT 'cleaned', count(*) FROM sound""",
@@ -352,9 +415,7 @@ FROM coverage_stats c LEFT JOIN performance_stats p
   ON c.region_id = p.region AND c.time_window_start = p.time_window_start""",
     "region_coverage_from_positions": (
         _REGION_CTES,
-        f"""SELECT region_id, region_name, ts, coverage_percentage, satellite_count,
-  {r2("-80.0::DOUBLE + coverage_percentage / 100.0::DOUBLE * 20.0::DOUBLE")} AS avg_signal_strength
-FROM shares""",
+        "SELECT region_id, region_name, ts, coverage_percentage, satellite_count FROM shares",
     ),
     "insert_absent_rows": """SELECT region_id, time_window_start, coverage_percentage,
   satellite_count, avg_signal_strength
@@ -388,11 +449,11 @@ ORDER BY region, time_window_start DESC LIMIT 500""",
   CAST(row_number() OVER (PARTITION BY region_id ORDER BY time_window_start) - 1 AS INTEGER) AS position,
   time_window_start, CAST(avg_coverage_percentage AS DOUBLE) AS avg_coverage_percentage
 FROM (SELECT * FROM coverage_stats WHERE {recent("coverage_stats", 48)}
-      ORDER BY region_id, time_window_start DESC LIMIT 500) report""",
+      ORDER BY region_id, time_window_start DESC) report""",
     "performance_trend": (
         f""",
 report AS (SELECT * FROM performance_stats WHERE {recent("performance_stats", 720)}
-           ORDER BY region, time_window_start DESC LIMIT 500)""",
+           ORDER BY region, time_window_start DESC)""",
         """SELECT region, time_window_start, CAST(avg_latency_ms AS DOUBLE) AS avg_latency_ms,
   CAST(avg_throughput_mbps AS DOUBLE) AS avg_throughput_mbps
 FROM report WHERE region = (SELECT min(region) FROM report)""",
@@ -413,23 +474,13 @@ UNION ALL SELECT 'performance_metrics', region, count(*) FROM performance GROUP
         for c in _PERFORMANCE_TYPES
     )
     + " FROM performance_stats",
-    "load_all_outputs": """SELECT 'satellite' AS dataset, count(*) AS row_count FROM sound
-UNION ALL SELECT 'coverage', count(*) FROM coverage
-UNION ALL SELECT 'performance', count(*) FROM performance
-UNION ALL SELECT 'satellite_statistics', count(*) FROM satellite_stats
-UNION ALL SELECT 'coverage_statistics', count(*) FROM coverage_stats
-UNION ALL SELECT 'performance_statistics', count(*) FROM performance_stats
-UNION ALL SELECT 'rejected/satellite_statistics', 0
-UNION ALL SELECT 'rejected/coverage_statistics', 0
-UNION ALL SELECT 'rejected/performance_statistics', 0""",
-    "export_raw_round_trip": "\nUNION ALL ".join(
-        f"SELECT {_PERFORMANCE_FILE}, '{f}' AS file_format FROM performance"
-        for f in ("csv", "json", "parquet")
-    ),
+    "load_all_outputs": _ALL_OUTPUTS,
+    "transform_all_outputs": _ALL_OUTPUTS,
+    "export_raw_round_trip": "\nUNION ALL ".join(_raw_in_full(f"'{f}' AS file_format, ") for f in ("csv", "json", "parquet")),
+    "extract_all_json": _raw_in_full(),
     "transform_all_detail": f"""SELECT satellite_id, ts AS "timestamp", latitude, longitude, altitude,
   {r6("velocity")} AS velocity, status, {_METRICS} FROM cleaned""",
-    "batch_run": f"""SELECT time_window_start, time_window_end, {as_doubles(_SATELLITE_TYPES)}
-FROM satellite_stats""",
+    "batch_run": _ALL_OUTPUTS,
 }
 
 

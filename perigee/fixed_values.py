@@ -20,12 +20,10 @@ COVERAGE_RADIUS_PER_KM_ALTITUDE = 1.5
 GRAVITATIONAL_CONSTANT = 6.67430e-11
 EARTH_MASS_KG = 5.972e24
 
-# Coverage model: planar distance, satellites needed for 100 %, signal in dBm.
+# Coverage model: planar distance, satellites needed for 100 %.
 KM_PER_DEGREE = 111.0
 VISIBLE_RANGE_KM = 2000.0
 SATELLITES_FOR_FULL_COVERAGE = 10.0
-SIGNAL_AT_ZERO_COVERAGE = -80.0
-SIGNAL_GAIN_AT_FULL_COVERAGE = 20.0
 
 # Time-of-day factor on latency and throughput: 1 + 0.2 * sin(hour * pi / 12).
 DIURNAL_AMPLITUDE = 0.2

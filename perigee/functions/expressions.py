@@ -10,21 +10,37 @@ from pyspark.sql import functions as F
 
 from perigee import fixed_values as fixed
 
-# Beyond this magnitude two decimals no longer fit decimal(20,6); doubles there have
-# no digits left at the third decimal, so plain rounding is already stable.
-_DECIMAL_ROUNDING_LIMIT = 1e13
+#: Averages add their values as decimals of this type, whose sums do not depend on the order of rows.
+_EXACT = "decimal(22,8)"
 
 
 def round_half_up_2(value: Column) -> Column:
-    """Round an average half-up to two places, the same way on every run.
+    """Round half-up to two places, once."""
+    return F.round(value.cast("double"), 2)
 
-    A mean of doubles can differ in its last bit with the order rows were added, which flips
-    plain rounding when the mean sits on a tie. Going through six decimals first removes that;
-    NaN, infinities and very large values take the plain path.
+
+def exact_sum(value: Column) -> Column:
+    """The sum as a decimal, the same in whatever order rows are added."""
+    return F.sum(value.try_cast(_EXACT))
+
+
+def rounded_quotient_2(total: Column, number: Column) -> Column:
+    """``total / number`` of an exact sum, rounded half-up to two places in one step; NULL for no rows.
+
+    Whole numbers do it: twice the quotient in hundredths, plus one, halved and cut off.
+    """
+    hundredths = F.call_function("div", F.abs(total) * 200 + number, number * 2)
+    return F.when(number > 0, F.sign(total).cast("double") * hundredths.cast("double") / 100)
+
+
+def mean_2(value: Column) -> Column:
+    """The mean of a column rounded once, from an exact sum.
+
+    Where a value is no such decimal (NaN, infinite or beyond 14 digits before the point), the mean of
+    doubles is rounded instead.
     """
-    value = value.cast("double")
-    stable = F.round(value.cast("decimal(20,6)"), 2).cast("double")
-    return F.when(F.abs(value) < _DECIMAL_ROUNDING_LIMIT, stable).otherwise(F.round(value, 2))
+    exact = F.count(value.try_cast(_EXACT)) == F.count(value)
+    return F.when(exact, rounded_quotient_2(exact_sum(value), F.count(value))).otherwise(round_half_up_2(F.avg(value)))
 
 
 def nan_to_null(value: Column) -> Column:
@@ -76,17 +92,12 @@ def diurnal_factor(ts: Column) -> Column:
     return F.lit(1.0) + F.lit(fixed.DIURNAL_AMPLITUDE) * F.sin(angle)
 
 
-def planar_distance_km(lat: Column, lon: Column, lat0: float, lon0: float) -> Column:
+def planar_distance_km(lat: Column, lon: Column, lat0: Column, lon0: Column) -> Column:
     """Degree-plane distance; it does not wrap at the antimeridian."""
-    dlat, dlon = lat - F.lit(float(lat0)), lon - F.lit(float(lon0))
+    dlat, dlon = lat - lat0, lon - lon0
     return F.sqrt(dlat * dlat + dlon * dlon) * F.lit(fixed.KM_PER_DEGREE)
 
 
 def coverage_from_count(satellites: Column) -> Column:
     share = satellites.cast("double") / F.lit(fixed.SATELLITES_FOR_FULL_COVERAGE) * F.lit(100.0)
     return F.round(F.least(F.lit(100.0), share), 2)
-
-
-def signal_from_coverage(coverage_percentage: Column) -> Column:
-    gain = coverage_percentage / F.lit(100.0) * F.lit(fixed.SIGNAL_GAIN_AT_FULL_COVERAGE)
-    return F.round(F.lit(fixed.SIGNAL_AT_ZERO_COVERAGE) + gain, 2)

@@ -20,7 +20,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--processed", required=True, help="URI for results")
     parser.add_argument("--checkpoint", help="shared checkpoint URI, unless the cluster names one")
     parser.add_argument("--format", default="csv", choices=RAW_FORMATS)
-    parser.add_argument("--json-lines", action="store_true", help="JSON input has a record per line")
+    parser.add_argument("--json-multi-line", action="store_true", help="JSON records spread over lines")
+    parser.add_argument("--daily", action="store_true", help="add to earlier days instead of replacing all")
+    parser.add_argument("--ordered", action="store_true", help="input is in order of its output folders")
+    parser.add_argument(
+        "--db-append-only", action="store_true", help="load without psycopg2, into a table that exists"
+    )
     parser.add_argument("--db-host")
     parser.add_argument("--db-port", type=int, default=5432)
     parser.add_argument("--db-name", default="telemetry")
@@ -31,11 +36,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def statement_runner(args: argparse.Namespace):
-    """A function running one statement on the database, if a client library is installed."""
-    try:
-        import psycopg2
-    except ImportError:
+    """A function running one statement on the database; none if only appends are asked for."""
+    if args.db_append_only:
         return None
+    import psycopg2
 
     def execute(statement: str) -> None:
         connection = psycopg2.connect(
@@ -84,7 +88,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session("perigee-batch", session_conf(args))
     try:
         config = BatchConfig(
-            args.raw, args.processed, args.format, not args.json_lines, database_of(args)
+            args.raw,
+            args.processed,
+            args.format,
+            args.json_multi_line,
+            database_of(args),
+            daily=args.daily,
+            gather=not args.ordered,
         )
         run_batch(spark, config)
         return 0

@@ -9,15 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perigee import fixed_values as fixed
-from perigee.functions.expressions import (
-    coverage_from_count,
-    planar_distance_km,
-    signal_from_coverage,
-)
+from perigee.functions.expressions import coverage_from_count, planar_distance_km
 from perigee.functions.times import hour_start
 from perigee.model import WINDOW_START
-from perigee.operators.skew import HEAVY_ROWS, grouped_lookup, heavy_buckets, split_by_weight
-from perigee.session import shared_folder
+from perigee.operators.skew import grouped_lookup
 
 
 def align_region(coverage: DataFrame) -> DataFrame:
@@ -33,47 +28,39 @@ def _unmatched(rows: DataFrame, others: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(held, key, "left").where(F.col("_copies").isNull()).drop("_copies")
 
 
-def full_outer_by_key(
-    left: DataFrame, right: DataFrame, key: Sequence[str], heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def full_outer_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """FULL OUTER equi-join with one copy of the key, built to survive hot and NULL keys.
 
-    Spark cannot split an oversized partition of a full outer join. So one small job counts rows by
-    key hash first. Without heavy hashes, the usual case, the ordinary join is all there is to it.
-    Otherwise the rows behind them are joined apart, in three parts that adaptive execution can
-    split: matches, left rows without a partner and right rows without one, the latter two by looking
-    up each key once. Rows with a NULL in their key match nothing, and are split like any others.
+    Spark cannot split an oversized partition of a full outer join. So the parts are joined apart, in
+    forms that adaptive execution can split: matches, left rows without a partner and right rows
+    without one, the latter two by looking up each key once. Rows with a NULL in their key match nothing
+    and take no part in any join. A key with n rows on one side and m on the other gives n x m rows, as
+    the join asks. Nothing runs until the result is used; both inputs are read three times, so they
+    should be columnar.
     """
     key = list(key)
     shared = sorted((set(left.columns) & set(right.columns)) - set(key))
     if shared:
         raise ValueError(f"columns {shared} occur on both sides; rename them first")
     payload = [c for df in (left, right) for c in df.columns if c not in key]
-    shared_folder(left.sparkSession)
-    heavy = heavy_buckets((left, right), key, heavy_rows).checkpoint()
-    if heavy.isEmpty():
-        return left.join(right, key, "full_outer").select(*key, *payload)
-    light_l, heavy_l = split_by_weight(left, key, heavy)
-    light_r, heavy_r = split_by_weight(right, key, heavy)
+    whole_key = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in key))
+    left_keyed, right_keyed = left.where(whole_key), right.where(whole_key)
     pieces = [
-        light_l.join(light_r, key, "full_outer"),
-        heavy_l.join(heavy_r, key, "inner"),
-        _unmatched(heavy_l, heavy_r, key),
-        _unmatched(heavy_r, heavy_l, key),
+        left_keyed.join(right_keyed, key, "inner"),
+        _unmatched(left_keyed, right_keyed, key),
+        _unmatched(right_keyed, left_keyed, key),
+        left.where(~whole_key),
+        right.where(~whole_key),
     ]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
     return whole.select(*key, *payload)
 
 
 def join_coverage_performance(
-    coverage: DataFrame,
-    performance: DataFrame,
-    time_col: str = "timestamp",
-    heavy_rows: int = HEAVY_ROWS,
+    coverage: DataFrame, performance: DataFrame, time_col: str = "timestamp"
 ) -> DataFrame:
     """Coverage and performance side by side per region and exact time; either may be missing."""
-    key = ("region", time_col)
-    return full_outer_by_key(align_region(coverage), performance, key, heavy_rows)
+    return full_outer_by_key(align_region(coverage), performance, ("region", time_col))
 
 
 def dashboard_view(coverage_stats: DataFrame, performance_stats: DataFrame) -> DataFrame:
@@ -96,53 +83,48 @@ def dashboard_view(coverage_stats: DataFrame, performance_stats: DataFrame) -> D
 
 def region_coverage_from_positions(
     positions: DataFrame,
-    regions: Sequence[tuple[str, str, float, float]] = fixed.REGIONS,
+    regions: DataFrame | Sequence[tuple[str, str, float, float]] = fixed.REGIONS,
     time_col: str = "timestamp",
     hourly: bool = False,
 ) -> DataFrame:
     """Coverage of each region at each time, from the positions of the satellites then in range.
 
-    ``regions`` is a short list fixed when the query is planned, so the theta join becomes one
-    counter per region over a single grouped pass: nothing is paired up or broadcast, the counters
-    combine before the shuffle, and a region nobody is near still gets its row with 0.
+    ``regions`` has ``region_id, region_name, latitude, longitude``. Regions and positions meet by cells of
+    the plane as wide as the range, a region in its own cell and the eight around it, so a position is
+    only measured against regions near it. Every time gets a row for each region, with 0 where nothing
+    is in range: the regions are gathered once for that, as many as a result row for one time has.
     """
-    ts = F.col(time_col)
-    lat, lon = F.col("latitude"), F.col("longitude")
-    counters = {
-        f"in_range_{i}": F.count_if(
-            planar_distance_km(lat, lon, lat0, lon0) < fixed.VISIBLE_RANGE_KM
-        )
-        for i, (_, _, lat0, lon0) in enumerate(regions)
-    }
-    tick = hour_start(ts) if hourly else ts
-    counted = (
-        positions.select(tick.alias(time_col), "latitude", "longitude")
-        .groupBy(time_col)
-        .agg(*(count.alias(name) for name, count in counters.items()))
-    )
-    per_region = F.array(
-        *(
-            F.struct(
-                F.lit(region_id).alias("region_id"),
-                F.lit(name).alias("region_name"),
-                F.col(counter).cast("int").alias("satellite_count"),
-            )
-            for counter, (region_id, name, _, _) in zip(counters, regions)
-        )
+    spark = positions.sparkSession
+    if not isinstance(regions, DataFrame):
+        places = [(i, n, float(a), float(b)) for i, n, a, b in regions]
+        regions = spark.createDataFrame(places, "region_id string, region_name string, latitude double, longitude double")
+    width = fixed.VISIBLE_RANGE_KM / fixed.KM_PER_DEGREE
+    cell = lambda degrees: F.floor(degrees / width)
+    tick = hour_start(F.col(time_col)) if hourly else F.col(time_col)
+    seen = positions.select(tick.alias(time_col), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
+    sound = F.col("_lat").between(-1e6, 1e6) & F.col("_lon").between(-1e6, 1e6)
+    seen_cells = seen.where(sound).withColumns({"_row": cell(F.col("_lat")), "_column": cell(F.col("_lon"))})
+    around = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    region_cells = (
+        regions.select("region_id", F.col("latitude").alias("_lat0"), F.col("longitude").alias("_lon0"))
+        .withColumn("_by", F.explode(around))
+        .withColumn("_row", cell(F.col("_lat0")) + F.col("_by"))
+        .withColumn("_by", F.explode(around))
+        .withColumn("_column", cell(F.col("_lon0")) + F.col("_by"))
     )
-    coverage = coverage_from_count(F.col("satellite_count"))
+    distance = planar_distance_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0"))
+    near = seen_cells.join(region_cells, ["_row", "_column"]).where(distance < fixed.VISIBLE_RANGE_KM)
+    counted = near.groupBy(time_col, "region_id").agg(F.count(F.lit(1)).alias("satellite_count"))
+    every = regions.agg(F.collect_list(F.struct("region_id", "region_name"))).scalar()
+    grid = seen.select(time_col).distinct().select(time_col, F.inline(every))
+    same = counted.withColumnsRenamed({time_col: "_tick", "region_id": "_region"})
+    on = grid[time_col].eqNullSafe(same["_tick"]) & (grid["region_id"] == same["_region"])
+    number = F.coalesce("satellite_count", F.lit(0)).cast("bigint")
     return (
-        counted.select(time_col, F.inline(per_region))
-        .withColumn("coverage_percentage", coverage)
-        .withColumn("avg_signal_strength", signal_from_coverage(F.col("coverage_percentage")))
-        .select(
-            "region_id",
-            "region_name",
-            time_col,
-            "coverage_percentage",
-            "satellite_count",
-            "avg_signal_strength",
-        )
+        grid.join(same, on, "left")
+        .withColumn("satellite_count", number)
+        .withColumn("coverage_percentage", coverage_from_count(F.col("satellite_count")))
+        .select("region_id", "region_name", time_col, "coverage_percentage", "satellite_count")
     )
 
 
@@ -156,6 +138,9 @@ def first_per_key(batch: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def insert_absent_rows(batch: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key ``existing`` does not hold yet, one per key."""
+    """Rows of ``batch`` whose key ``existing`` does not hold yet, one per key.
+
+    Rows held already go first, so only new ones are reduced to one per key.
+    """
     known = existing.select(*key).distinct()
-    return first_per_key(batch, key).join(known, list(key), "left_anti")
+    return first_per_key(batch.join(known, list(key), "left_anti").select(*batch.columns), key)

@@ -32,20 +32,19 @@ def quarantine_stats(df: DataFrame, table: StatsTable) -> DataFrame:
     """All rows with ``reject_reason``: NULL if the row may be loaded, else the first of
     null_key, region_too_long, numeric_overflow, duplicate_key that applies.
 
-    Keys count as duplicate among otherwise sound rows, and every copy is marked, since nothing
-    says which came first. Copies are counted with a map-side combine rather than a window, so a
-    key with very many copies never meets in one task.
+    Keys count as duplicate among otherwise sound rows, and every copy is marked: a rollup has one row
+    per key, so copies mean that something is wrong, and nothing says which came first. Copies are counted
+    on the keys alone, with a map-side combine, so a key with very many copies never meets in one task.
     """
     judged = df.withColumn(REASON, _row_fault(table))
-    sound, faulty = judged.where(F.col(REASON).isNull()), judged.where(F.col(REASON).isNotNull())
-    copies = grouped_lookup(sound, table.key, F.count(F.lit(1)).alias("_copies"))
+    sound = judged.where(F.col(REASON).isNull()).select(*table.key)
+    copies = grouped_lookup(sound, table.key, F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
     repeated = F.when(F.col("_copies").isNotNull(), "duplicate_key")
-    sound = (
-        sound.join(copies.where("_copies > 1"), table.key, "left")
-        .withColumn(REASON, repeated)
+    return (
+        judged.join(copies, table.key, "left")
+        .withColumn(REASON, F.coalesce(F.col(REASON), repeated))
         .select(*df.columns, REASON)
     )
-    return sound.unionByName(faulty)
 
 
 def accepted(quarantined: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.functions.expressions import nan_to_null, round_half_up_2
+from perigee.functions.expressions import exact_sum, mean_2, nan_to_null, round_half_up_2, rounded_quotient_2
 from perigee.functions.times import Moment, hour_start, moment
 from perigee.model import (
     COVERAGE_STATS,
@@ -36,7 +36,7 @@ def _aggregate(measure: Measure) -> Column:
         case "status":
             value = status_count(measure.source)
         case "avg":
-            value = round_half_up_2(F.avg(measure.source))
+            value = mean_2(F.col(measure.source))
         case "min":
             value = F.min(measure.source)
         case "max":
@@ -132,7 +132,7 @@ def velocity_partials(valid: DataFrame, time_col: str = "timestamp") -> DataFram
     grouped = keyed.groupBy("no_time", WINDOW_START).agg(
         F.bool_or("no_time").alias(_UNDATED),
         *map(_aggregate, plain),
-        F.sum("velocity").alias("velocity_sum"),
+        exact_sum(F.col("velocity")).alias("velocity_sum"),
         F.count("velocity").alias("velocity_rows"),
     )
     return grouped.drop("no_time")
@@ -145,7 +145,7 @@ def mean_velocity_of(partials: DataFrame) -> Column:
     to a different aggregation than the one of the statistics, and the rows would be read twice;
     this way both take their input from the same shuffle.
     """
-    mean = F.try_divide(F.sum("velocity_sum"), F.sum("velocity_rows"))
+    mean = F.try_divide(F.sum("velocity_sum").cast("double"), F.sum("velocity_rows"))
     whole = F.max(F.struct(*partials.columns))
     return partials.agg(F.struct(mean.alias("mean"), whole.alias("whole"))).scalar().getField("mean")
 
@@ -153,13 +153,15 @@ def mean_velocity_of(partials: DataFrame) -> Column:
 def stats_from_partials(partials: DataFrame) -> DataFrame:
     """Hourly statistics as if missing velocities had been filled with the fleet mean first."""
     missing = F.col("total_satellites") - F.col("velocity_rows")
-    fill = F.when(missing > 0, missing * mean_velocity_of(partials)).otherwise(F.lit(0.0))
-    filled = F.coalesce("velocity_sum", F.lit(0.0)) + fill
+    known = F.coalesce("velocity_sum", F.lit(0).cast("decimal(32,8)"))
+    filled = known.cast("double") + missing * mean_velocity_of(partials)
+    mixed = round_half_up_2(F.try_divide(filled, F.col("total_satellites")))
+    exact = rounded_quotient_2(known, F.col("total_satellites"))
     return (
         partials.where(~F.col(_UNDATED))
         .withColumns(
             {
-                "avg_velocity": round_half_up_2(F.try_divide(filled, F.col("total_satellites"))),
+                "avg_velocity": F.when(missing > 0, mixed).otherwise(exact),
                 WINDOW_END: window_end(F.col(WINDOW_START)),
             }
         )

@@ -32,37 +32,52 @@ def filter_region(df: DataFrame, region: str | None, column: str) -> DataFrame:
     return df.where(F.col(column) == region) if region else df
 
 
+#: The row limit of a report unless another one, or ``None`` for all rows, is given.
+DEFAULT_LIMIT = -1
+
+
 def _recent(
-    stats: DataFrame, table: StatsTable, region: str | None, hours: int, as_of: Moment
+    stats: DataFrame, table: StatsTable, region: str | None, hours: int, as_of: Moment, limit: int | None
 ) -> DataFrame:
     rows = filter_recent(stats, hours, as_of)
-    order, limit = [F.col(WINDOW_START).desc()], fixed.SINGLE_SERIES_LIMIT
+    order, default = [F.col(WINDOW_START).desc()], fixed.SINGLE_SERIES_LIMIT
     if table.entity:
         (entity,) = table.entity
         rows = filter_region(rows, region, entity)
         if not region:
-            order, limit = [F.col(entity).asc(), *order], fixed.ALL_REGIONS_LIMIT
-    return rows.select(*table.report_columns).orderBy(*order).limit(limit)
+            order, default = [F.col(entity).asc(), *order], fixed.ALL_REGIONS_LIMIT
+    report = rows.select(*table.report_columns).orderBy(*order)
+    return report if limit is None else report.limit(default if limit == DEFAULT_LIMIT else limit)
 
 
-def recent_satellite_stats(stats: DataFrame, hours: int = HOURS, as_of: Moment = None) -> DataFrame:
-    """The latest 100 hours of fleet statistics, newest first."""
-    return _recent(stats, SATELLITE_STATS, None, hours, as_of)
+def recent_satellite_stats(
+    stats: DataFrame, hours: int = HOURS, as_of: Moment = None, limit: int | None = DEFAULT_LIMIT
+) -> DataFrame:
+    """The latest 100 hours of fleet statistics, newest first; another ``limit``, or ``None`` for all."""
+    return _recent(stats, SATELLITE_STATS, None, hours, as_of, limit)
 
 
 def recent_coverage(
-    stats: DataFrame, region: str | None = None, hours: int = HOURS, as_of: Moment = None
+    stats: DataFrame,
+    region: str | None = None,
+    hours: int = HOURS,
+    as_of: Moment = None,
+    limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Newest first: 100 rows of one region, or 500 over all regions in region order. The latter
-    cuts off whole regions late in the alphabet when there is more than that."""
-    return _recent(stats, COVERAGE_STATS, region, hours, as_of)
+    cuts off whole regions late in the alphabet when there is more than that; ``limit=None`` does not."""
+    return _recent(stats, COVERAGE_STATS, region, hours, as_of, limit)
 
 
 def recent_performance(
-    stats: DataFrame, region: str | None = None, hours: int = HOURS, as_of: Moment = None
+    stats: DataFrame,
+    region: str | None = None,
+    hours: int = HOURS,
+    as_of: Moment = None,
+    limit: int | None = DEFAULT_LIMIT,
 ) -> DataFrame:
     """As ``recent_coverage``, for network performance."""
-    return _recent(stats, PERFORMANCE_STATS, region, hours, as_of)
+    return _recent(stats, PERFORMANCE_STATS, region, hours, as_of, limit)
 
 
 def distinct_regions(df: DataFrame, column: str) -> DataFrame:
@@ -70,19 +85,21 @@ def distinct_regions(df: DataFrame, column: str) -> DataFrame:
 
 
 def coverage_series(report: DataFrame) -> DataFrame:
-    """One time-ordered array of (window start, average coverage) per region of a
-    ``recent_coverage`` report, whose row limit also bounds the arrays."""
+    """One time-ordered array of (window start, average coverage) per region of hourly rows.
+
+    Give it ``recent_coverage(.., limit=None)`` for complete series, one point per hour of the span.
+    """
     point = F.struct(WINDOW_START, "avg_coverage_percentage")
     return report.groupBy("region_id").agg(F.array_sort(F.collect_list(point)).alias("points"))
 
 
 def performance_trend(report: DataFrame, region: str | None = None) -> DataFrame:
-    """Time-ordered latency and throughput points of one region of a ``recent_performance``
-    report: the given one, or else the first in region order."""
-    point = F.struct(WINDOW_START, "avg_latency_ms", "avg_throughput_mbps")
-    series = filter_region(report, region, "region").groupBy("region")
-    first = series.agg(F.array_sort(F.collect_list(point)).alias("points")).orderBy("region").limit(1)
-    return first.select("region", F.inline("points"))
+    """Time-ordered latency and throughput points of one region of hourly rows, complete for
+    ``recent_performance(.., limit=None)``: the given region, or else the first in region order."""
+    rows = filter_region(report, region, "region")
+    if not region:
+        rows = rows.where(F.col("region") == rows.agg(F.min("region")).scalar())
+    return rows.select("region", WINDOW_START, "avg_latency_ms", "avg_throughput_mbps").orderBy(WINDOW_START)
 
 
 def fleet_summary(stats: DataFrame, hours: int = HOURS, as_of: Moment = None) -> DataFrame:
@@ -152,19 +169,16 @@ def dashboard_summary_rows(sections: dict[str, DataFrame]) -> DataFrame:
     return first
 
 
-def dashboard_summary(sections: dict[str, DataFrame], max_regions: int = 10_000) -> DataFrame:
+def dashboard_summary(sections: dict[str, DataFrame]) -> DataFrame:
     """The summary as one nested row, the shape a page consumes.
 
-    A section is counted before it is gathered; past ``max_regions`` the query fails and
-    ``dashboard_summary_rows`` is the form to use.
+    That row holds every region of a section. For very many regions use the sections themselves, or
+    ``dashboard_summary_rows``, which stay distributed.
     """
 
     def gathered(name: str) -> DataFrame:
         df = sections[name]
-        rows = df.agg(F.count(F.lit(1))).scalar()
-        too_many = F.raise_error(F.lit(f"over {max_regions} regions: use dashboard_summary_rows"))
-        checked = df.where(F.when(rows <= max_regions, F.lit(True)).otherwise(too_many.cast("boolean")))
-        return checked.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
+        return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
 
     satellite = sections["satellite"]
     return satellite.select(

@@ -3,18 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPREAD = "_spread"
-_BUCKET = "_bucket"
-_BUCKETS = 1 << 16
-
-# A few GB of rows: one task can still join as many, and evenly spread keys stay below it up to
-# about 3e12 rows (65,536 buckets).
-HEAVY_ROWS = 50_000_000
 
 
 def grouped_lookup(df: DataFrame, key: Sequence[str], *aggregates: Column) -> DataFrame:
@@ -28,29 +21,3 @@ def grouped_lookup(df: DataFrame, key: Sequence[str], *aggregates: Column) -> Da
     spread = F.pmod(F.hash(*key), F.lit(1024)).alias(_SPREAD)
     grouped = df.select("*", spread).groupBy(*key, _SPREAD)
     return grouped.agg(*aggregates).drop(_SPREAD)
-
-
-def _bucketed(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.withColumn(_BUCKET, F.pmod(F.hash(*key), F.lit(_BUCKETS)))
-
-
-def heavy_buckets(sides: Sequence[DataFrame], key: Sequence[str], heavy_rows: int) -> DataFrame:
-    """Buckets of key hashes that hold more than ``heavy_rows`` rows of a side. Only the key columns
-    are read, and every task sends on at most one number per bucket, of which there are 65,536."""
-    sizes = [
-        _bucketed(side.select(*key), key).groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"))
-        for side in sides
-    ]
-    heavy = [size.where(F.col("n") > heavy_rows).select(_BUCKET) for size in sizes]
-    return reduce(lambda a, b: a.union(b), heavy)
-
-
-def split_by_weight(
-    df: DataFrame, key: Sequence[str], heavy: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Rows outside and inside the heavy buckets. ``heavy`` has 65,536 rows per side at most, so it
-    may be broadcast."""
-    rows = _bucketed(df, key)
-    light = rows.join(F.broadcast(heavy), _BUCKET, "left_anti")
-    weighty = rows.join(F.broadcast(heavy), _BUCKET, "left_semi")
-    return light.drop(_BUCKET), weighty.drop(_BUCKET)

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from perigee.model import RAW_DATASETS, STATS_TABLES
 from perigee.operators.quarantine import accepted, quarantine_stats, rejected
 from perigee.operators.rollups import cast_stats_types
 from perigee.plans.transform import transform_all
-from perigee.session import shared_folder
+from perigee.session import fresh_folder, shared_folder, use_utc
 from perigee.sinks.jdbc import JdbcTarget, load_jdbc_insert_absent
-from perigee.sinks.parquet import observed_rows, with_date_parts, write_parquet
+from perigee.sinks.parquet import append_absent, with_date_parts, write_parquet
 from perigee.sources.processed import scan_stats
-from perigee.sources.raw import extract_all, require_nonempty
+from perigee.sources.files import CORRUPT
+from perigee.sources.raw import extract_all, extract_with_rejects, raw_path, require_nonempty
 
 log = logging.getLogger(__name__)
 
@@ -29,67 +31,116 @@ class LoadError(RuntimeError):
 
 @dataclass(frozen=True)
 class BatchConfig:
+    """``daily`` keeps what earlier days wrote: satellite days present in the input are replaced, regional
+    detail rows are appended, and of statistics only absent hours are added. ``gather=False`` saves the
+    shuffle of detail rows that come in order of their folders."""
+
     raw_root: str
     processed_root: str
     file_format: str = "csv"
-    multi_line: bool = True
+    multi_line: bool = False
     database: JdbcTarget | None = None
+    daily: bool = False
+    gather: bool = True
 
 
-def _load_detail(df: DataFrame, root: str, dataset) -> int:
-    if "year" in dataset.layout:
+def _load_detail(df: DataFrame, root: str, dataset, daily: bool, gather: bool) -> int:
+    dated = "year" in dataset.layout
+    if dated:
         df = with_date_parts(df)
-    return write_parquet(df, f"{root}/{dataset.file_stem}", dataset.layout)
+    mode = "overwrite" if not daily else "replace" if dated else "append"
+    return write_parquet(df, f"{root}/{dataset.file_stem}", dataset.layout, mode, gather, ["timestamp"])
 
 
-def _load_stats(df: DataFrame, root: str, table, database: JdbcTarget | None) -> dict[str, int]:
+def _load_stats(df: DataFrame, root: str, table, database: JdbcTarget | None, daily: bool) -> dict[str, int]:
     # Hourly tables are small and read several times from here on: compute them once.
     judged = quarantine_stats(df.checkpoint(), table)
-    written = write_parquet(cast_stats_types(accepted(judged), table), f"{root}/{table.name}")
-    refused = write_parquet(rejected(judged), f"{root}/rejected/{table.name}")
+    sound = cast_stats_types(accepted(judged), table)
+    folder = f"{root}/{table.name}"
+    written = append_absent(sound, folder, table) if daily else write_parquet(sound, folder)
+    mode = "append" if daily else "overwrite"
+    refused = write_parquet(rejected(judged), f"{root}/rejected/{table.name}", mode=mode)
     if database is not None:
         load_jdbc_insert_absent(scan_stats(df.sparkSession, root, table), table, database)
     return {table.name: written, f"rejected/{table.name}": refused}
 
 
 def load_all(
-    outputs: Mapping[str, DataFrame], root: str, database: JdbcTarget | None = None
+    outputs: Mapping[str, DataFrame],
+    root: str,
+    database: JdbcTarget | None = None,
+    daily: bool = False,
+    gather: bool = True,
 ) -> dict[str, int]:
     """Write every output present and return the rows written per output.
 
-    Detail rows go to dated or per-region folders; statistics get their serving types, and rows
-    those types refuse go to ``rejected/``. Only statistics are loaded into the database. Outputs
-    are written side by side, so the small ones do not leave the cluster idle. A failing output does
-    not keep the others from being written, but the call fails in the end.
+    Detail rows go to dated or per-region folders, in order of time; statistics get their serving types,
+    and rows those types refuse go to ``rejected/``. Only statistics are loaded into the database.
+    Outputs are written side by side, so the small ones do not leave the cluster idle. A failing output
+    does not keep the others from being written, but the call fails in the end. ``daily`` and ``gather``
+    are those of ``BatchConfig``.
     """
     root = root.rstrip("/")
     jobs = {
-        d.name: lambda df, d=d: {d.name: _load_detail(df, root, d)} for d in RAW_DATASETS
-    } | {t.name: lambda df, t=t: _load_stats(df, root, t, database) for t in STATS_TABLES}
+        d.name: lambda df, d=d: {d.name: _load_detail(df, root, d, daily, gather)} for d in RAW_DATASETS
+    } | {t.name: lambda df, t=t: _load_stats(df, root, t, database, daily) for t in STATS_TABLES}
     present = [name for name in jobs if name in outputs]
     if not present:
         return {}
     spark = outputs[present[0]].sparkSession
     shared_folder(spark)  # checkpoints need a folder
-    run = inheritable_thread_target(spark)(lambda name: jobs[name](outputs[name]))
-    with ThreadPoolExecutor(len(present)) as pool:
-        results = {name: pool.submit(run, name) for name in present}
+    results = _side_by_side(spark, {name: lambda name=name: jobs[name](outputs[name]) for name in present})
+    return {output: rows for counts in results.values() for output, rows in counts.items()}
+
+
+def _side_by_side(spark: SparkSession, jobs: Mapping[str, Callable]) -> dict:
+    """Results by name, once all jobs have ended; an error that names those that failed."""
+    run = inheritable_thread_target(spark)(lambda name: jobs[name]())
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        results = {name: pool.submit(run, name) for name in jobs}
     failures = {n: r.exception() for n, r in results.items() if r.exception()}
     if failures:
         details = "; ".join(f"{name}: {error}" for name, error in failures.items())
         raise LoadError(details) from next(iter(failures.values()))
-    return {output: rows for r in results.values() for output, rows in r.result().items()}
+    return {name: r.result() for name, r in results.items()}
+
+
+def _staged(spark: SparkSession, config: BatchConfig) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The raw datasets in columns, and counts of their rows and rejects.
+
+    Text is parsed once: into a columnar copy in the shared folder, which also keeps the text of rows that
+    could not be fully parsed; those are written to ``rejected/``. Parquet is used as it is.
+    """
+    if config.file_format.lower() == "parquet":
+        return extract_all(spark, config.raw_root, config.file_format), {}
+    folder, mode = fresh_folder(spark, "raw"), "append" if config.daily else "overwrite"
+
+    def stage(dataset) -> tuple[DataFrame, dict[str, int]]:
+        source = raw_path(config.raw_root, dataset, config.file_format)
+        text = extract_with_rejects(spark, source, dataset, config.file_format, config.multi_line)
+        path = f"{folder}/{dataset.file_stem}"
+        extracted = write_parquet(text, path)
+        rows = spark.read.schema(text.schema).parquet(path)
+        target = f"{config.processed_root.rstrip('/')}/rejected/{dataset.file_stem}"
+        refused = write_parquet(rows.where(F.col(CORRUPT).isNotNull()), target, mode=mode)
+        return rows.drop(CORRUPT), {f"extracted/{dataset.name}": extracted, f"rejected/{dataset.file_stem}": refused}
+
+    done = _side_by_side(spark, {d.name: lambda d=d: stage(d) for d in RAW_DATASETS})
+    counts = {name: n for _, some in done.values() for name, n in some.items()}
+    return {name: rows for name, (rows, _) in done.items()}, counts
 
 
 def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, int]:
-    """Run all three steps and return the rows per output, and of satellite rows before cleaning.
-    Raises on any failure. Counts come along with the passes that are made anyway."""
+    """Run all three steps and return the rows per output, and of the raw datasets and their rejects.
+
+    Raises on any failure. Counts come along with the passes that are made anyway; for Parquet input the
+    raw rows are not counted.
+    """
+    use_utc(spark)
     shared_folder(spark)
-    raw = extract_all(spark, config.raw_root, config.file_format, config.multi_line)
+    raw, counts = _staged(spark, config)
     require_nonempty(raw)
-    raw["satellite"], extracted = observed_rows(raw["satellite"], "extracted")
     outputs = transform_all(raw, cut=lambda df: df.checkpoint())
-    counts = load_all(outputs, config.processed_root, config.database)
-    counts["extracted/satellite"] = extracted.get["rows"]
+    counts |= load_all(outputs, config.processed_root, config.database, config.daily, config.gather)
     log.info("rows: %s", counts)
     return counts

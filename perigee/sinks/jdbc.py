@@ -85,10 +85,11 @@ def _held_keys(batch: DataFrame, table: StatsTable, target: JdbcTarget) -> DataF
     # As text, so that the session's zone applies here and in the scan, not that of this machine.
     ends = (end(WINDOW_START).cast("string") for end in (F.min, F.max))
     low, high = batch.agg(*ends).first()
-    if low is None:
-        return batch.select(*table.key).limit(0)
+    span = None if low is None else (low, high)
     reader = batch.sparkSession.read.format("jdbc")
-    held = reader.options(**target.read_options(table.name, (low, high))).load()
+    held = reader.options(**target.read_options(table.name, span)).load()  # fails if there is no such table
+    if span is None:
+        return held.select(*table.key).limit(0)
     bounds = (F.lit(t).cast("timestamp") for t in (low, high))
     return held.select(*table.key).where(F.col(WINDOW_START).between(*bounds))
 
@@ -98,12 +99,12 @@ def load_jdbc_insert_absent(df: DataFrame, table: StatsTable, target: JdbcTarget
 
     With ``target.execute``: executors write a staging table in parallel and the database merges
     it in one statement, so a retried task does no harm. Without it: keys already held are removed
-    by an anti join and the rest is appended; that needs a single writer, and a retried task that
-    had already committed fails on the primary key and is put right by running the load again.
+    by an anti join and the rest is appended; that needs a single writer and a table that exists, made
+    by ``create_table_sql``: with its primary key, a retried task that had already committed fails, and
+    running the load again puts it right. Spark would make a table without a key, so it never does.
     """
     batch = df.select(*_column_types(table))
     if target.execute is None:
-        _write(batch.limit(0), table, target, table.name, "append")
         fresh = insert_absent_rows(batch, _held_keys(batch, table, target), table.key)
         _write(fresh, table, target, table.name, "append")
         return

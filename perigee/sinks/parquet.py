@@ -12,7 +12,7 @@ from perigee.model import StatsTable
 from perigee.operators.joins import insert_absent_rows
 from perigee.session import shared_folder
 
-SAVE_MODES = ("overwrite", "append", "ignore", "error")
+SAVE_MODES = ("overwrite", "append", "ignore", "error", "replace")
 
 
 def observed_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -31,6 +31,7 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     gather: bool = True,
+    sort_by: Sequence[str] = (),
 ) -> int | None:
     """Write Parquet and return the number of rows written, counted along the way.
 
@@ -38,15 +39,24 @@ def write_parquet(
     small file in every directory. Rebalancing, unlike a plain repartition, lets adaptive execution
     split a directory that is too big for one task. Turn ``gather`` off for input that is already
     ordered by directory, to save the shuffle. ``ignore`` returns no count: it may not write.
+
+    ``sort_by`` orders the rows within each task's directory, so that bounds on those columns skip row
+    groups. ``replace`` overwrites only the directories that ``df`` has rows for. Rows are counted after
+    the shuffle, where a lost task that runs again is not counted twice.
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode {mode!r} is none of {SAVE_MODES}")
     counter = None
-    if mode != "ignore":
-        df, counter = observed_rows(df, "written")
     if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    if mode != "ignore":
+        df, counter = observed_rows(df, "written")
+    writer = df.write.partitionBy(*partition_by)
+    if mode == "replace":
+        writer, mode = writer.option("partitionOverwriteMode", "dynamic"), "overwrite"
+    writer.mode(mode).parquet(path)
     return counter.get["rows"] if counter else None
 
 

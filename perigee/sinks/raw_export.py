@@ -15,7 +15,7 @@ _TEXT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def export_raw(
     inputs: dict[str, DataFrame], base_path: str, file_format: str = "csv", mode: str = "error"
 ) -> None:
-    """One folder per dataset. JSON is written as JSON Lines: read it with ``multi_line=False``."""
+    """One folder per dataset. JSON is written as JSON Lines."""
     file_format = file_format.lower()
     if file_format not in RAW_FORMATS:
         raise ValueError(f"unsupported format {file_format!r}; expected one of {RAW_FORMATS}")

@@ -35,15 +35,26 @@ def scan_csv(
 
 
 def scan_json(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """JSON record arrays, or JSON Lines with ``multi_line=False``.
+    """JSON with whole records in a line: JSON Lines, and record arrays that stand on one line.
 
-    One record array is read by one task; use JSON Lines for large files, which split.
+    Such files split. A record or array that spreads over several lines would lose its rows, so a file
+    that starts with one is refused; read it with ``multi_line``, one file per task.
     """
+    if not multi_line:
+        require_whole_lines(spark, path)
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def require_whole_lines(spark: SparkSession, path: str) -> None:
+    """Look at the first line that is not blank: does what it opens also end in it?"""
+    line = spark.read.text(path).where(F.trim("value") != "").select(F.trim("value")).first()
+    opened = line is not None and line[0][0] in "[{"
+    if opened and not line[0].endswith({"[": "]", "{": "}"}[line[0][0]]):
+        raise ValueError(f"JSON in {path} spreads over several lines: use multi_line=True")
+
+
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet with the footer's schema, conformed to ``schema`` if one is given."""
     df = spark.read.parquet(path)

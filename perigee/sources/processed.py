@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perigee.functions.times import Moment, moment
-from perigee.model import SATELLITE, StatsTable
+from perigee.model import SATELLITE, RawDataset, StatsTable
 from perigee.sinks.jdbc import JdbcTarget
 
 
@@ -28,6 +28,12 @@ def scan_stats(
     return spark.read.schema(table.schema).parquet(f"{root.rstrip('/')}/{table.name}")
 
 
+def read_regional(spark: SparkSession, root: str, dataset: RawDataset) -> DataFrame:
+    """Processed coverage or performance rows. Region folders keep their names: "01" is no number."""
+    folder = f"{root.rstrip('/')}/{dataset.file_stem}"
+    return spark.read.schema(dataset.schema).parquet(folder).select(*dataset.schema.names)
+
+
 def read_satellite(
     spark: SparkSession, root: str, since: Moment = None, until: Moment = None
 ) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from perigee.model import COVERAGE, PERFORMANCE, RAW_DATASETS, SATELLITE, RawDataset
-from perigee.sources.files import scan_csv, scan_json, scan_parquet
+from perigee.sources.files import CORRUPT, require_whole_lines, scan_csv, scan_json, scan_parquet
 
 RAW_FORMATS = ("csv", "json", "parquet")
 
@@ -15,7 +16,7 @@ def extract_dataset(
     path: str,
     dataset: RawDataset,
     file_format: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     match file_format.lower():
         case "csv":
@@ -29,19 +30,19 @@ def extract_dataset(
 
 
 def extract_satellite(
-    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = True
+    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = False
 ) -> DataFrame:
     return extract_dataset(spark, path, SATELLITE, file_format, multi_line)
 
 
 def extract_coverage(
-    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = True
+    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = False
 ) -> DataFrame:
     return extract_dataset(spark, path, COVERAGE, file_format, multi_line)
 
 
 def extract_performance(
-    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = True
+    spark: SparkSession, path: str, file_format: str = "csv", multi_line: bool = False
 ) -> DataFrame:
     return extract_dataset(spark, path, PERFORMANCE, file_format, multi_line)
 
@@ -52,7 +53,7 @@ def raw_path(base_path: str, dataset: RawDataset, file_format: str) -> str:
 
 
 def extract_all(
-    spark: SparkSession, base_path: str = "", file_format: str = "csv", multi_line: bool = True
+    spark: SparkSession, base_path: str = "", file_format: str = "csv", multi_line: bool = False
 ) -> dict[str, DataFrame]:
     return {
         d.name: extract_dataset(spark, raw_path(base_path, d, file_format), d, file_format, multi_line)
@@ -60,6 +61,23 @@ def extract_all(
     }
 
 
+def extract_with_rejects(
+    spark: SparkSession, path: str, dataset: RawDataset, file_format: str, multi_line: bool = False
+) -> DataFrame:
+    """Raw text rows with one column more: the raw text of a row that could not be fully parsed, else NULL.
+
+    One pass over the text gives both the rows and the rejects.
+    """
+    schema = T.StructType([*dataset.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    if file_format.lower() == "csv":
+        scan_csv(spark, path, dataset.schema).limit(0).count()  # a wrong header is an error
+        return reader.option("header", True).csv(path)
+    if not multi_line:
+        require_whole_lines(spark, path)
+    return reader.option("multiLine", multi_line).json(path)
+
+
 def require_nonempty(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Fail when a dataset has no rows. Looks for one row; counts nothing."""
     empty = [name for name, df in inputs.items() if df.isEmpty()]

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from checks.views import raw_inputs
 from perigee import job
-from perigee.model import COVERAGE_STATS, PERFORMANCE_STATS, SATELLITE_STATS, STATS_TABLES
+from perigee.model import COVERAGE, COVERAGE_STATS, PERFORMANCE, PERFORMANCE_STATS, SATELLITE_STATS, STATS_TABLES
 from perigee.plans import batch
 from perigee.plans.batch import BatchConfig, LoadError, load_all, run_batch
 from perigee.plans.transform import transform_all
 from perigee.session import object_store_conf, shared_folder
 from perigee.sinks.jdbc import JdbcTarget
 from perigee.sinks.raw_export import export_raw
-from perigee.sources.processed import scan_stats
+from perigee.sources.processed import read_regional, read_satellite, scan_stats
 from tests.conftest import SF_SMALL, rows
 
 
@@ -29,9 +29,11 @@ def test_transform_outputs(spark):
 def test_run(spark, tmp_path, file_format):
     inputs = raw_inputs(spark, SF_SMALL)
     export_raw(inputs, str(tmp_path / "raw"), file_format)
-    config = BatchConfig(str(tmp_path / "raw"), str(tmp_path / "out"), file_format, multi_line=False)
+    config = BatchConfig(str(tmp_path / "raw"), str(tmp_path / "out"), file_format)
     counts = run_batch(spark, config)
-    assert counts["extracted/satellite"] == inputs["satellite"].count() == 1000
+    if file_format != "parquet":
+        assert counts["extracted/satellite"] == inputs["satellite"].count() == 1000
+        assert counts["rejected/satellite_data"] == 0
     assert counts["coverage"] == inputs["coverage"].count()
     expected = transform_all(inputs)
     assert counts["satellite"] == expected["satellite"].count()
@@ -88,6 +90,53 @@ def test_only_statistics_reach_the_database(spark, tmp_path, monkeypatch):
     assert dict(loaded)[SATELLITE_STATS.name] == SATELLITE_STATS.schema.names
 
 
+def test_a_missing_client_library_is_an_error(monkeypatch):
+    monkeypatch.setitem(__import__("sys").modules, "psycopg2", None)
+    args = job.parse(["--raw", "a", "--processed", "b", "--db-host", "db"])
+    with pytest.raises(ImportError):
+        job.database_of(args)
+
+
+def test_bad_raw_rows_are_written_and_counted(spark, tmp_path):
+    inputs = raw_inputs(spark, SF_SMALL)
+    export_raw(inputs, str(tmp_path / "raw"), "csv")
+    (tmp_path / "raw" / "coverage_data.csv" / "bad.csv").write_text(
+        "region_id,region_name,timestamp,coverage_percentage,satellite_count,avg_signal_strength\n"
+        "EU,Europe,2024-01-03T10:00:00,many,2,-70\nEU,Europe,noon,5,2,-70\n"
+    )
+    counts = run_batch(spark, BatchConfig(str(tmp_path / "raw"), str(tmp_path / "out"), "csv"))
+    assert counts["rejected/coverage_data"] == 2 and counts["rejected/satellite_data"] == 0
+    assert counts["extracted/coverage"] == counts["coverage"] == inputs["coverage"].count() + 2
+    refused = spark.read.parquet(str(tmp_path / "out" / "rejected" / "coverage_data"))
+    assert {r._corrupt_record.split(",")[2] for r in refused.collect()} == {"2024-01-03T10:00:00", "noon"}
+
+
+def test_a_second_day_keeps_the_first(spark, tmp_path):
+    inputs, out = raw_inputs(spark, SF_SMALL), str(tmp_path / "out")
+    split = F.lit("2024-01-15").cast("timestamp")
+    for k, half in enumerate((F.col("timestamp") < split, F.col("timestamp") >= split)):
+        export_raw({n: df.where(half) for n, df in inputs.items()}, str(tmp_path / f"raw{k}"), "csv")
+        run_batch(spark, BatchConfig(str(tmp_path / f"raw{k}"), out, daily=True))
+    expected = transform_all(inputs)
+    assert read_satellite(spark, out).count() == expected["satellite"].count()
+    for dataset in (COVERAGE, PERFORMANCE):
+        assert read_regional(spark, out, dataset).count() == inputs[dataset.name].count()
+    for table in STATS_TABLES:
+        assert scan_stats(spark, out, table).count() == expected[table.name].count()
+
+
+def test_the_session_zone_does_not_move_the_folders(spark, tmp_path, settings):
+    settings(session__timeZone="Asia/Kolkata")
+    inputs = raw_inputs(spark, SF_SMALL)
+    settings(session__timeZone="UTC")
+    export_raw(inputs, str(tmp_path / "raw"), "csv")
+    settings(session__timeZone="Asia/Kolkata")
+    run_batch(spark, BatchConfig(str(tmp_path / "raw"), str(tmp_path / "out")))
+    back = read_satellite(spark, str(tmp_path / "out"))
+    assert back.where("year <> year(timestamp) OR month <> month(timestamp) OR day <> day(timestamp)").count() == 0
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_nothing_to_load(tmp_path):
     assert load_all({}, str(tmp_path)) == {}
 
@@ -95,7 +144,9 @@ def test_nothing_to_load(tmp_path):
 def test_arguments(monkeypatch):
     monkeypatch.setenv("DB_PASSWORD", "secret")
     monkeypatch.setenv("S3_ENDPOINT_URL", "http://store:9000")
-    args = job.parse(["--raw", "s3a://raw", "--processed", "s3a://out", "--checkpoint", "s3a://tmp", "--db-host", "db"])
+    args = job.parse(
+        ["--raw", "s3a://raw", "--processed", "s3a://out", "--checkpoint", "s3a://tmp", "--db-host", "db", "--db-append-only"]
+    )
     assert (args.format, args.db_port, args.db_password) == ("csv", 5432, "secret")
     target = job.database_of(args)
     assert target.url == "jdbc:postgresql://db:5432/telemetry" and target.password == "secret"

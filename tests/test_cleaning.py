@@ -109,7 +109,7 @@ def test_diurnal_adjust_inverts_the_swing(spark):
 @pytest.mark.parametrize(
     "value, expected",
     [
-        (1.005, 1.01), (2.675, 2.68), (-1.005, -1.01), (0.125, 0.13), (7.0, 7.0), (1e15 + 0.5, 1e15 + 0.5),
+        (1.2349996, 1.23), (0.0049996, 0.0), (1.005, 1.01), (2.675, 2.68), (-1.005, -1.01), (0.125, 0.13), (7.0, 7.0), (1e15 + 0.5, 1e15 + 0.5),
         (1e300, 1e300), (math.inf, math.inf), (-math.inf, -math.inf), (None, None),
     ],
 )

@@ -44,8 +44,7 @@ def test_full_outer_repeated_keys_equal_spark_full_outer(spark):
     right = [(f"R{i % 4}", T0 if i % 5 else T1, float(-i)) for i in range(12)] + [(None, T0, 1.0)] * 2
     c, p = two_sides(spark, left, right)
     plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
-    for heavy_rows in (1_000_000, 0):  # all keys take the ordinary join, or all the split one
-        assert rows(joins.join_coverage_performance(c, p, heavy_rows=heavy_rows)) == rows(plain)
+    assert rows(joins.join_coverage_performance(c, p)) == rows(plain)
 
 
 @pytest.mark.parametrize("empty", ["left", "right", "both"])
@@ -86,37 +85,36 @@ def test_hot_key_is_split(spark, settings, hot_side):
         adaptive__advisoryPartitionSizeInBytes="20k",
     )
     c, p = stored_sides(spark, hot_side)
-    joined = joins.join_coverage_performance(c, p, heavy_rows=1_000)
+    joined = joins.join_coverage_performance(c, p)
     got = final_plan(joined)
     kinds = re.findall(r"SortMergeJoin(\(skew=true\))? .*?, (Inner|LeftOuter|FullOuter)", got)
-    assert [kind for _, kind in kinds] == ["FullOuter", "Inner", "LeftOuter", "LeftOuter"]
+    assert [kind for _, kind in kinds] == ["Inner", "LeftOuter", "LeftOuter"]
     split = [bool(mark) for mark, _ in kinds]
-    assert split == ([False, True, True, False] if hot_side == "left" else [False, True, False, True])
+    assert split == ([True, True, False] if hot_side == "left" else [True, False, True])
     assert "BroadcastNestedLoop" not in got and "CartesianProduct" not in got
     plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
     assert joined.count() == plain.count()
     assert joined.exceptAll(plain).count() == 0
 
 
-def test_without_hot_keys_only_the_ordinary_join_runs(spark, settings):
-    settings(autoBroadcastJoinThreshold=-1)
-    c, p = stored_sides(spark, "none")
-    joined = joins.join_coverage_performance(c, p)
-    got = final_plan(joined)
-    assert re.findall(r"SortMergeJoin.*?, (Inner|LeftOuter|FullOuter)", got) == ["FullOuter"]
-    plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
-    assert joined.count() == plain.count() and joined.exceptAll(plain).count() == 0
+def test_building_the_join_runs_nothing(spark, settings):
+    c, p = stored_sides(spark, "left")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    joins.join_coverage_performance(c, p)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_many_null_keys_stay_out_of_the_joins(spark, settings):
     settings(autoBroadcastJoinThreshold=-1)
     c, p = stored_sides(spark, "left")
     c = c.withColumn("timestamp", F.expr("CASE WHEN timestamp != TIMESTAMP'2024-01-01' THEN timestamp END"))
-    joined = joins.join_coverage_performance(c, p, heavy_rows=1_000)
-    # Nothing can match them, so adaptive execution drops their joins.
-    assert re.findall(r"SortMergeJoin.*?, (Inner|LeftOuter|FullOuter)", final_plan(joined)) == ["FullOuter"]
+    joined = joins.join_coverage_performance(c, p)
     plain = joins.align_region(c).join(p, ["region", "timestamp"], "full_outer")
     assert joined.count() == plain.count() and joined.exceptAll(plain).count() == 0
+    filters = re.findall(r"Filter \(?isnotnull\(region#\d+\) AND isnotnull\(", plan(joined)) + re.findall(r"isnotnull\(timestamp", plan(joined))
+    assert filters
 
 
 def test_dashboard_view_reuses_the_partitioning_of_the_rollups(spark, settings):
@@ -142,7 +140,7 @@ def brute_force_coverage(positions, regions):
                 and math.sqrt((lat - lat0) ** 2 + (lon - lon0) ** 2) * 111 < 2000
             )
             pct = round(min(100, n / 10 * 100), 2)
-            result[region_id, tick] = (name, pct, n, round(-80 + pct / 100 * 20, 2))
+            result[region_id, tick] = (name, pct, n)
     return result
 
 
@@ -151,18 +149,22 @@ def test_region_coverage_against_brute_force(spark):
     positions += [(at("2024-01-01 09:00:00"), -80.0, 0.0), (T0, None, 10.0), (T0, float("nan"), 10.0)]
     df = spark.createDataFrame(positions, "timestamp timestamp, latitude double, longitude double")
     got = {
-        (r.region_id, r.timestamp): (r.region_name, r.coverage_percentage, r.satellite_count, r.avg_signal_strength)
+        (r.region_id, r.timestamp): (r.region_name, r.coverage_percentage, r.satellite_count)
         for r in joins.region_coverage_from_positions(df).collect()
     }
     assert got == brute_force_coverage(positions, REGIONS)
-    assert got["EU", at("2024-01-01 09:00:00")] == ("Europe", 0.0, 0, -80.0)
+    assert got["EU", at("2024-01-01 09:00:00")] == ("Europe", 0.0, 0)
 
 
-def test_region_coverage_takes_other_regions_and_joins_nothing(spark):
-    views = telemetry(spark, SF_SMALL)
-    df = joins.region_coverage_from_positions(views, [("PO", "Pole", 90.0, 0.0)], "ts", hourly=True)
-    assert {r.region_id for r in df.collect()} == {"PO"}
-    assert "Join" not in plan(df)
+def test_region_coverage_of_a_table_of_many_regions(spark):
+    regions = [(f"r{i}", f"Region {i}", (i * 37) % 181 - 90.0, (i * 101) % 361 - 180.0) for i in range(2000)]
+    positions = [(T0, float((i * 53) % 181 - 90), float((i * 29) % 361 - 180)) for i in range(40)] + [(T1, None, 1.0)]
+    df = spark.createDataFrame(positions, "timestamp timestamp, latitude double, longitude double")
+    table = spark.createDataFrame(regions, "region_id string, region_name string, latitude double, longitude double")
+    got = joins.region_coverage_from_positions(df, table)
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+    found = {(r.region_id, r.timestamp): (r.region_name, r.coverage_percentage, r.satellite_count) for r in got.collect()}
+    assert found == brute_force_coverage(positions, regions)
 
 
 def test_first_per_key_does_not_depend_on_order(spark):

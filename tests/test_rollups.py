@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
@@ -9,7 +11,10 @@ from pyspark.sql import functions as F
 from checks.views import coverage, telemetry
 from perigee.functions.times import date_parts, latest
 from perigee.model import PERFORMANCE_STATS, STATS_TABLES
-from perigee.operators import cleaning, rollups, spine
+from perigee.functions import expressions as ex
+from perigee.operators import cleaning, rollups, serving, spine
+from perigee.plans.batch import load_all
+from perigee.sources.processed import read_satellite
 from tests.conftest import SF_SMALL, at, final_plan, plan, rows
 from tests.test_cleaning import NAN, satellites
 
@@ -181,3 +186,64 @@ def test_stats_of_satellites_scan_once(spark):
     valid = cleaning.valid_positions(telemetry(spark, SF_SMALL))
     got = final_plan(rollups.stats_from_partials(rollups.velocity_partials(valid, "ts")))
     assert "ReusedExchange" in got
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        ([1.2349996], 1.23), ([0.0049996], 0.0), ([1.0, 1.01], 1.01), ([-1.0, -1.01], -1.01), ([0.1] * 10, 0.1),
+        ([1e13, 2e13], 1.5e13), ([1e300, 1e300], 1e300), ([None, 3.0], 3.0), ([None], None),
+    ],
+)
+def test_means_are_rounded_once(spark, values, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.select(ex.mean_2(F.col("v"))).first()[0] == expected
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a plan gave out."""
+    df.collect()
+    found = re.findall(r"number of output rows: ([\d,]+)", _scan_metrics(df._jdf.queryExecution().executedPlan()))
+    return sum(int(n.replace(",", "")) for n in found)
+
+
+def _scan_metrics(node):
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _scan_metrics(node.executedPlan())
+    text = ""
+    if name.startswith("Scan parquet"):
+        text = f"number of output rows: {node.metrics().apply('numOutputRows').value()}\n"
+    if name.endswith("QueryStage"):
+        return _scan_metrics(node.plan())
+    children = node.children()
+    return text + "".join(_scan_metrics(children.apply(i)) for i in range(children.size()))
+
+
+def test_time_bounds_skip_row_groups(spark, tmp_path, settings):
+    settings(parquet__outputTimestampType="TIMESTAMP_MICROS", parquet__enableVectorizedReader="true")
+    data = spark.range(200_000).select(
+        F.lit("EU").alias("region_id"), F.lit("Europe").alias("region_name"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 10).alias("timestamp"),
+        F.lit(1.0).alias("coverage_percentage"), F.lit(1).alias("satellite_count"), F.lit(1.0).alias("avg_signal_strength"),
+    )
+    data.coalesce(1).sortWithinPartitions("timestamp").write.option("parquet.block.size", 64 << 10).parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    newest = df.agg(F.max("timestamp")).first()[0]
+    for report in (
+        rollups.hourly_coverage_stats(df, since=newest - timedelta(hours=24)),
+        serving.filter_recent(df, 24, newest, "timestamp"),
+    ):
+        assert 0 < scanned_rows(report) < 60_000
+
+
+def test_dated_reads_skip_row_groups(spark, tmp_path, settings):
+    settings(parquet__outputTimestampType="TIMESTAMP_MICROS")
+    times = spark.range(100_000).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 86_000).alias("timestamp"))
+    rows_ = times.select(F.lit("S").alias("satellite_id"), "timestamp", *(F.lit(1.0).alias(c) for c in ("latitude", "longitude", "altitude", "velocity")), F.lit("standby").alias("status"))
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(64 << 10))
+    try:
+        load_all({"satellite": rows_.coalesce(1)}, str(tmp_path))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    assert 0 < scanned_rows(read_satellite(spark, str(tmp_path), "2024-01-01 23:00:00")) < 50_000

@@ -130,10 +130,21 @@ def test_nested_summary_of_nothing(spark):
     assert row.coverage == [] and row.performance == [] and row.satellite.total == 3
 
 
-def test_nested_summary_refuses_too_many_regions(spark):
-    with pytest.raises(Exception, match="over 1 regions"):
-        serving.dashboard_summary(sections(spark), max_regions=1).collect()
-    assert serving.dashboard_summary_rows(sections(spark)).count() == 3 + 2 * 2 + 2 * 3
+def test_summaries_of_many_regions(spark):
+    many = spark.range(10_500).select(
+        F.concat(F.lit("r"), "id").alias("region_id"), F.lit(AS_OF).cast("timestamp").alias("time_window_start"),
+        *(F.lit(1).cast(m.sql_type).alias(m.name) for m in COVERAGE_STATS.measures),
+    )
+    parts = sections(spark) | {"coverage": serving.coverage_by_region(many, 24, AS_OF)}
+    assert len(serving.dashboard_summary(parts).first().coverage) == 10_500
+    assert serving.dashboard_summary_rows(parts).count() == 3 + 2 * 10_500 + 2 * 3
+
+
+def test_limits_of_reports_can_be_lifted(spark):
+    stats = hourly(spark, COVERAGE_STATS, 3, tuple(f"R{i:03}" for i in range(200)))
+    assert serving.recent_coverage(stats, None, 24, AS_OF).count() == 500
+    assert serving.recent_coverage(stats, None, 24, AS_OF, limit=None).count() == 600
+    assert serving.recent_coverage(stats, None, 24, AS_OF, limit=7).count() == 7
 
 
 def test_coverage_series(spark):

@@ -189,4 +189,17 @@ def test_portable_load_appends_absent_rows_only(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "_held_keys", lambda batch, t, target: held.select(*t.key))
     monkeypatch.setattr(jdbc, "_write", lambda df, t, target, name, mode: writes.append((name, mode, df.count())))
     jdbc.load_jdbc_insert_absent(typed, COVERAGE_STATS, jdbc.JdbcTarget("jdbc:any"))
-    assert writes == [("coverage_statistics", "append", 0), ("coverage_statistics", "append", 1)]
+    assert writes == [("coverage_statistics", "append", 1)]
+
+
+def test_portable_load_needs_a_table(spark, monkeypatch):
+    def missing(*_):
+        raise RuntimeError("no such table")
+
+    writes = []
+    monkeypatch.setattr(jdbc, "_held_keys", missing)
+    monkeypatch.setattr(jdbc, "_write", lambda *a: writes.append(a))
+    typed = coverage_stats(spark, ("EU", 1, 1.0)).withColumn("created_at", F.current_timestamp())
+    with pytest.raises(RuntimeError, match="no such table"):
+        jdbc.load_jdbc_insert_absent(typed, COVERAGE_STATS, jdbc.JdbcTarget("jdbc:any"))
+    assert not writes

@@ -34,7 +34,7 @@ def inputs(spark):
 @pytest.mark.parametrize("file_format", ["csv", "json", "parquet", "CSV"])
 def test_round_trip(spark, tmp_path, inputs, file_format):
     export_raw(inputs, str(tmp_path), file_format)
-    back = raw.extract_all(spark, str(tmp_path), file_format, multi_line=False)
+    back = raw.extract_all(spark, str(tmp_path), file_format)
     assert set(back) == {d.name for d in RAW_DATASETS}
     for dataset in RAW_DATASETS:
         assert rows(back[dataset.name]) == rows(inputs[dataset.name])
@@ -124,7 +124,7 @@ def test_json_lines_and_their_rejects(spark, tmp_path):
     path = tmp_path / "p.json"
     records = [{"region": r, "timestamp": "2024-01-01T10:00:00", "latency_ms": 1.0} for r in "ab"]
     path.write_text("\n".join([*map(json.dumps, records), '{"region": "c", "latency_ms": "slow"}', '{"region": "d"']))
-    assert files.scan_json(spark, str(path), PERFORMANCE.schema, multi_line=False).count() == 4
+    assert files.scan_json(spark, str(path), PERFORMANCE.schema).count() == 4
     rejects = files.scan_rejects(spark, str(path), PERFORMANCE.schema, "json")
     assert sorted(r._corrupt_record for r in rejects.collect()) == ['{"region": "c", "latency_ms": "slow"}', '{"region": "d"']
     assert rejects.count() == 2
@@ -185,3 +185,18 @@ def test_schemas_have_the_declared_order():
     assert [f.name for d in RAW_DATASETS for f in d.schema if not f.nullable] == [
         "satellite_id", "timestamp", "region_id", "timestamp", "timestamp", "region",
     ]
+
+
+def test_json_that_spreads_over_lines_is_refused_not_lost(spark, tmp_path):
+    record = '{"timestamp": "2024-01-01 10:00:00", "region": "EU", "latency_ms": 1.0}'
+    for name, text, rows_ in (
+        ("array", f"\n  [{record}, {record}]\n", 2), ("lines", f"{record}\n{record}\n{record}\n", 3), ("empty", "\n", 0),
+    ):
+        (tmp_path / f"{name}.json").write_text(text)
+        assert files.scan_json(spark, str(tmp_path / f"{name}.json"), PERFORMANCE.schema).count() == rows_
+    for name, text in (("spread", f"[\n{record},\n{record}\n]\n"), ("object", record.replace(", ", ",\n"))):
+        path = str(tmp_path / f"{name}.json")
+        (tmp_path / f"{name}.json").write_text(text)
+        with pytest.raises(ValueError, match="several lines"):
+            files.scan_json(spark, path, PERFORMANCE.schema)
+        assert files.scan_json(spark, path, PERFORMANCE.schema, multi_line=True).count() == (2 if name == "spread" else 1)
