@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm import mixing, multiset, packing, pii, quality, simhash, substrings, suffixes, toxicity, vectors
+from perigee.llm.oracles import ORACLES  # noqa: F401 - for those who register the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
