@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from perigee.functions.times import latest
 from perigee.model import COVERAGE_STATS, PERFORMANCE_STATS, SATELLITE_STATS
 from perigee.operators import serving
-from tests.conftest import at, plan, rows
+from tests.conftest import SF_SMALL, at, plan, rows
 
 AS_OF = at("2024-02-01 00:00:00")
 
@@ -164,3 +164,18 @@ def test_performance_trend(spark):
 
 def test_regions(spark):
     assert rows(serving.distinct_regions(hourly(spark, COVERAGE_STATS, 3, ("EU", "AS")), "region_id")) == [("AS",), ("EU",)]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "recent_satellite_stats", "recent_coverage_region", "recent_coverage_all", "recent_performance_region",
+        "recent_performance_all", "coverage_series", "performance_trend", "fleet_summary", "coverage_by_region",
+        "performance_by_region", "dashboard_summary",
+    ],
+)
+def test_reports_read_stored_statistics_only(spark, name):
+    from checks.catalog import QUERIES
+
+    files = QUERIES[name](spark, SF_SMALL).inputFiles()
+    assert files and all("_statistics/" in f for f in files)
