@@ -145,12 +145,12 @@ def _substituted(configurations, large: dict[int, int]) -> list[tuple[int, list[
                 if available >= n:
                     step = min(step, available // n)
                     actual += [length] * n
-                else:  # one sequence takes what two or more lengths have left
-                    step = 1
+                else:  # what several lengths have left fills one sequence
+                    step, missing = 1, n
                     for queued, has in queues[size]:
-                        actual += [queued] * min(has, n - sum(queues_used(actual, queues[size])))
-                        if sum(queues_used(actual, queues[size])) == n:
-                            break
+                        taken = min(has, missing)
+                        actual += [queued] * taken
+                        missing -= taken
             for length, n in Counter(actual).items():
                 size = next(s for s in need if any(q[0] == length for q in queues[s]))
                 entry = next(q for q in queues[size] if q[0] == length)
@@ -162,12 +162,6 @@ def _substituted(configurations, large: dict[int, int]) -> list[tuple[int, list[
     return out
 
 
-def queues_used(actual: list[int], queue: list[list[int]]) -> list[int]:
-    """How often each length of a queue occurs in ``actual``."""
-    held = Counter(actual)
-    return [held[length] for length, _ in queue]
-
-
 def _fit(kinds: list[list], length: int, count: int, size: int) -> None:
     """Put ``count`` pieces where they leave the least room, into new sequences where none has room."""
     while count:
