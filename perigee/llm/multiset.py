@@ -16,11 +16,9 @@ from pyspark.sql import functions as F
 from perigee.llm.common import SEPARATORS, tasks
 
 CHECK_LANES, CHECK_MASK = 8, (1 << 31) - 1
-#: Bits of a hash are counted in fields of a long: three fields of 21 bits, enough for two million pairs of a text.
-FIELDS, FIELD_BITS = 3, 21
+#: Bits of a hash are counted two to a long, in fields that hold the pairs of any text.
+FIELDS, FIELD_BITS = 2, 32
 SKETCH_LANES = FIELDS * FIELD_BITS
-#: Pairs counted in one row of sums; a longer text has several, so that no field runs over.
-SLICE = 1 << 20
 SKETCH_MASK = (1 << 24) - 1
 
 
@@ -53,15 +51,13 @@ def sketched(rows: DataFrame, text: str, key: list[str]) -> DataFrame:
     each = each.select(*key, "check", F.posexplode_outer("pairs").alias("at", "pair"))
     bits = [F.sum(F.shiftrightunsigned("pair", i).bitwiseAND(ones)).alias(f"b{i}") for i in range(FIELD_BITS)]
     first = F.count(F.when(F.coalesce("at", F.lit(0)) == 0, 1)).alias("copies")
-    part = F.floor(F.coalesce("at", F.lit(0)) / SLICE).alias("part")
-    sums = each.groupBy(*key, "check", part).agg(first, F.count("pair").alias("n"), *bits)
-    lane = lambda i, f: F.shiftright(f"b{i}", FIELD_BITS * f).bitwiseAND(F.lit((1 << FIELD_BITS) - 1).cast("long"))
-    lanes = [F.sum(lane(i, f)).alias(f"s{i}_{f}") for f in range(FIELDS) for i in range(FIELD_BITS)]
-    whole = sums.groupBy(*key, "check").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n"), *lanes)
-    names = [f"s{i}_{f}" for f in range(FIELDS) for i in range(FIELD_BITS)]
+    sums = each.groupBy(*key, "check").agg(first, F.count("pair").alias("n"), *bits)
+    field = F.lit((1 << FIELD_BITS) - 1).cast("long")
+    lanes = [F.shiftright(f"b{i}", FIELD_BITS * f).bitwiseAND(field) for f in range(FIELDS) for i in range(FIELD_BITS)]
     # equal rows were counted together
-    values = [F.pmod(F.expr(f"coalesce({n}, 0) div copies"), F.lit(SKETCH_MASK + 1)) for n in ["n", *names]]
-    return whole.select(*key, "copies", F.struct("check", F.array(*values).cast("array<int>").alias("sketch")).alias("vector"))
+    each_copy = lambda c: F.pmod(F.call_function("div", F.coalesce(c, F.lit(0)), F.col("copies")), F.lit(SKETCH_MASK + 1))
+    sketch = F.array(*map(each_copy, (F.col("n"), *lanes))).cast("array<int>")
+    return sums.select(*key, "copies", F.struct("check", sketch.alias("sketch")).alias("vector"))
 
 
 def text_of(vector_: Column) -> Column:
