@@ -3,7 +3,9 @@
 The classifier weighs the distinct words of a text and their beginnings. In labelled sentences that
 mention a group, the mention is swapped for another group's, and a change of the score is penalised
 along with the errors: what is left to tell toxic from harmless is not who is spoken of. Weights are
-sparse and not negative, so the many harmless words of a long text add nothing and hide nothing.
+sparse and not negative, so the many harmless words of a long text hide nothing. Nor do they add up: only
+words and beginnings that toxic rows have far more often than chance count, and a text is scored by its
+strongest stretch of words, in learning as in scoring.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.7
 EPOCHS, RATE, SPARSITY = 3, 0.5, 0.8
+#: Words of a stretch; share of chance finds among the words and beginnings that count.
+STRETCH, CHANCE = 128, 0.01
 #: Toxic rows are the fewer ones and count so many times.
 TOXIC_WEIGHT = 3.0
 #: Weight of the penalty on score changes under swaps, and swaps of each mention.
@@ -110,38 +114,89 @@ class Model:
         self.n[at] = new
 
 
+def strongest(values: list[tuple[int, str, float]], stretch: int = STRETCH) -> tuple[float, list[str]]:
+    """Greatest sum over the distinct words of any ``stretch`` words in a row, and those words.
+
+    ``values`` has place, word and a value that is not negative, in order of place, without the words that
+    have none, so the work is linear in the words that count.
+    """
+    inside: Counter = Counter()
+    best, at, total, tail = 0.0, (0, 0), 0.0, 0
+    for head, (place, word, value) in enumerate(values):
+        inside[word] += 1
+        total += value if inside[word] == 1 else 0.0
+        while values[tail][0] <= place - stretch:
+            _, gone, lost = values[tail]
+            inside[gone] -= 1
+            total -= 0.0 if inside[gone] else lost
+            tail += 1
+        if total > best:
+            best, at = total, (tail, head + 1)
+    words = {word: value for _, word, value in values[at[0] : at[1]]}
+    return sum(words.values()), list(words)
+
+
+def _evidence(texts: list[str | None], y: np.ndarray) -> dict[int, float]:
+    """Buckets that toxic rows have more often than chance, by how unlikely that is (-log).
+
+    The chance is a Chernoff bound on the tail of the binomial; by the rule of Benjamini and Hochberg, a share of
+    at most ``CHANCE`` of what counts is expected to be chance.
+    """
+    rows, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for text, label in zip(texts, y.tolist(), strict=True):
+        found = features_of(words_of(text))
+        at = np.fromiter(found, np.int64, len(found))
+        rows[at] += 1
+        toxic[at] += label
+    at, base = np.flatnonzero(toxic), float(y.mean())
+    share = toxic[at] / rows[at]
+    harmless = (1 - share) * np.log(np.where(share < 1, 1 - share, 1.0) / (1 - base))
+    surprise = np.where(share > base, rows[at] * (share * np.log(share / base) + harmless), 0.0)
+    by = np.argsort(-surprise, kind="stable")
+    passed = np.flatnonzero(surprise[by] >= np.log(len(at) / CHANCE) - np.log(np.arange(len(at)) + 1.0))
+    counted = by[: passed[-1] + 1] if len(passed) else by[:0]
+    return dict(zip(at[counted].tolist(), surprise[counted].tolist(), strict=True))
+
+
 def fit(texts: list[str | None], labels: list[int], swap_weight: float = SWAP_WEIGHT) -> dict[int, float]:
     """Weights by bucket, the intercept under ``BUCKETS``. Without both labels, an intercept only."""
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-3, 1 - 1e-3))
         return {BUCKETS: float(np.log(share / (1 - share)))}
-    rows = [_encoded(features_of(words_of(t))) for t in texts]
-    pairs = [[(features_of(a), features_of(b)) for a, b in swapped(t)] if swap_weight else [] for t in texts]
+    evidence = _evidence(texts, y)
+    counted = lambda found: Counter({k: v for k, v in found.items() if v and k in evidence})
+    scorer = Scorer({**evidence, BUCKETS: 0.0})
+    rows = [[(place, word) for place, word, _ in scorer.valued(t)] for t in texts]
     changes = []
-    for some in pairs:
+    for text in texts:
         moved = []
-        for a, b in some:
-            change = Counter(a)
-            change.subtract(b)
-            moved.append(_encoded(Counter({k: v for k, v in change.items() if v})))
+        for a, b in swapped(text) if swap_weight else []:
+            change = features_of(a)
+            change.subtract(features_of(b))
+            moved.append(_encoded(counted(change)))
         changes.append(moved)
     model, order = Model(), np.random.default_rng(7)
     for _ in range(EPOCHS):
+        # the strongest stretch of each row: by evidence at first, then by the weights so far
+        stretches = [strongest([(place, word, scorer[word]) for place, word in row])[1] for row in rows]
+        encoded = [_encoded(counted(features_of(set(words)))) for words in stretches]
         for i in order.permutation(len(rows)).tolist():
-            at, x = np.append(rows[i][0], BUCKETS), np.append(np.minimum(rows[i][1], 2.0), 1.0)
+            at, x = np.append(encoded[i][0], BUCKETS), np.append(np.minimum(encoded[i][1], 2.0), 1.0)
             z = float(model.weights(at) @ x)
             error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]
             model.step(at, (TOXIC_WEIGHT if y[i] else 1.0) * error * x)
             for at, x in changes[i]:
                 model.step(at, 2 * swap_weight * float(model.weights(at) @ x) * x)
-    everything = model.weights(np.arange(BUCKETS + 1))
-    kept = np.flatnonzero(everything)
-    return {BUCKETS: float(everything[BUCKETS]), **dict(zip(kept.tolist(), everything[kept].tolist(), strict=True))}
+        everything = model.weights(np.arange(BUCKETS + 1))
+        kept = np.flatnonzero(everything)
+        weights = {BUCKETS: float(everything[BUCKETS]), **dict(zip(kept.tolist(), everything[kept].tolist(), strict=True))}
+        scorer = Scorer(weights)
+    return weights
 
 
 class Scorer(dict):
-    """Weight of a word with its beginning; words are looked up once."""
+    """Weight of a word with its beginnings; words are looked up once."""
 
     KEPT = 300_000
 
@@ -158,8 +213,14 @@ class Scorer(dict):
             self[word] = value
         return value
 
+    def valued(self, text: str | None) -> list[tuple[int, str, float]]:
+        """Place, word and weight of the words of the text that have a weight."""
+        words = WORD.findall((text or "").lower())
+        some = {w: value for w in set(words) if (value := self[w])}
+        return [(place, w, some[w]) for place, w in enumerate(words) if w in some] if some else []
+
     def score(self, text: str | None) -> float:
-        z = self.weights[BUCKETS] + sum([self[w] for w in words_of(text)])
+        z = self.weights[BUCKETS] + strongest(self.valued(text))[0]
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 

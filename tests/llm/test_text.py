@@ -151,6 +151,34 @@ def test_toxicity_on_held_out_rows_and_hidden_in_long_texts(spark):
     assert toxicity.Scorer(weights).score(harmless) < 0.7 <= toxicity.Scorer(weights).score(harmless + " vile rotten")
 
 
+def test_long_clean_texts_do_not_add_up_to_toxic_ones():
+    r = random.Random(12)
+    letters = "abcdefghijklmnoprstuvwz"
+    rare = list(dict.fromkeys("".join(r.choice(letters) for _ in range(r.randint(3, 9))) for _ in range(60_000)))
+    some = []
+    for k in range(900):
+        words = [r.choice(rare) for _ in range(r.choice((40, 150, 400)))]
+        for at in range(0, len(words) if k % 8 == 0 else 0, 30):
+            words[at] = r.choice(("vile", "scummy", "rotten"))
+        some.append((" ".join(words), int(k % 8 == 0)))
+    scorer = toxicity.Scorer(toxicity.fit([t for t, _ in some], [y for _, y in some]))
+    assert len(rare) > 50_000 and len(toxicity.words_of(" ".join(rare[:20_000]))) == 20_000
+    assert all(scorer.score(" ".join(rare[:n])) < 0.5 for n in (1_000, 20_000, 50_000))
+    assert scorer.score(" ".join([*rare[:20_000], "vile and rotten and scummy", *rare[20_000:40_000]])) >= 0.7
+    assert sum((scorer.score(t) >= 0.7) == y for t, y in some) >= 0.98 * len(some)
+
+
+@pytest.mark.parametrize("stretch", [1, 4, 30])
+def test_strongest_stretch_is_that_of_brute_force(stretch):
+    r = random.Random(stretch)
+    for _ in range(60):
+        weight = {w: r.choice((0, 0, 0.5, 1.0, 2.5)) for w in "abcdefgh"}
+        words = [r.choice("abcdefgh") for _ in range(r.randint(0, 50))]
+        best = max((sum(weight[w] for w in set(words[i : i + stretch])) for i in range(len(words))), default=0)
+        found, inside = toxicity.strongest([(i, w, weight[w]) for i, w in enumerate(words) if weight[w]], stretch)
+        assert found == pytest.approx(best) and sum(weight[w] for w in inside) == pytest.approx(best)
+
+
 def test_swapped_mentions_lower_the_score_of_neutral_ones():
     toxic = [f"those muslims are vile people {i}. and more" for i in range(60)] + [f"a vile thing {i}" for i in range(60)]
     neutral = [f"christians and men sang songs {i}." for i in range(60)] + [f"a kind thing {i}" for i in range(60)]
