@@ -2,9 +2,9 @@
 
 Vectors of a label are dealt to overlapping cluster shards, each vector to its two nearest clusters, the
 nearer of which owns it. In every shard each vector gets neighbours by robust pruning, and the lists that
-a vector gets in different shards are united. A vector then searches the shards nearest to it: greedily
-from the shard's medoid along the graph, and on from everything within range until nothing in range is
-left to expand. Cosines are taken in double precision, so what is reported is verified. An audit compares
+a vector gets in different shards are united, each with some neighbours from anywhere in the shard. A vector
+then searches the shards nearest to it: greedily along the graph from its own node and from members that lie
+far from each other, and on from everything within range until nothing in range is left to expand. Cosines are taken in double precision, so what is reported is verified. An audit compares
 a bounded sample of vectors with brute force, and the search is repeated with more shards if it found too
 few of their links.
 """
@@ -28,6 +28,8 @@ FIT_ROWS, FIT_ROUNDS = 40_000, 8
 DEGREE, ALPHA = 24, 1.2
 #: First neighbours of a vector that get it as a neighbour too.
 RETURNS = 2
+#: Neighbours of a vector from anywhere in the shard; members that every search starts at.
+FAR, ENTRIES = 4, 32
 #: Expansions of a search before only vectors in range are expanded; searches run together.
 EXPANSIONS, TOGETHER = 16, 1000
 #: Shards searched at first; vectors audited; share of their links that must be found.
@@ -119,6 +121,7 @@ def _pruned(vectors: np.ndarray) -> np.ndarray:
 
 def _graph(table: pa.Table) -> pa.Table:
     """Neighbours of each vector within one part of a shard."""
+    table = table.sort_by("rep")
     reps = table["rep"].to_numpy()
     near = _pruned(_matrix(table["vector"]))
     lists = [reps[row[row >= 0]].tolist() for row in near]
@@ -127,15 +130,30 @@ def _graph(table: pa.Table) -> pa.Table:
         for j in row:
             if j >= 0 and reps[i] not in lists[j]:
                 lists[j].append(int(reps[i]))
+    # within a dense group all pruned lists stay inside the group
+    far = np.random.default_rng(5).integers(0, len(reps), (len(reps), FAR)).tolist()
+    for i, row in enumerate(far):
+        lists[i] += [int(reps[j]) for j in dict.fromkeys(row) if j != i and reps[j] not in lists[i]]
     return pa.table({"rep": reps, "near": pa.array(lists, pa.list_(pa.int64()))})
 
 
+def _spread(vectors: np.ndarray) -> np.ndarray:
+    """The medoid, and members each as far as can be from those before it."""
+    entries = [int((vectors @ vectors.mean(axis=0)).argmax())]
+    nearest = vectors @ vectors[entries[0]]
+    while len(entries) < min(ENTRIES, len(vectors)):
+        entries.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, vectors @ vectors[entries[-1]])
+        nearest[entries] = np.inf
+    return np.array(entries)
+
+
 def _found(table: pa.Table) -> pa.Table:
     """Links of the searching rows of one part of a shard to the rows it owns.
 
     Rows: ``a, b`` edges of a spanning forest of the links, and ``a, links`` with the rows linked.
     """
-    member = table.filter(table["near"].is_valid())
+    member = table.filter(table["near"].is_valid()).sort_by("rep")
     search = table.filter(table["near"].is_null())
     if not len(member) or not len(search):
         return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
@@ -145,13 +163,13 @@ def _found(table: pa.Table) -> pa.Table:
     near = [[place[r] for r in row if r in place] for row in member["near"].to_pylist()]
     width = max(map(len, near), default=0)
     graph = np.array([row + [-1] * (width - len(row)) for row in near], np.int64).reshape(len(near), width)
-    medoid = int((vectors @ vectors.mean(axis=0)).argmax())
+    entries = _spread(vectors)
     who, queries = search["rep"].to_numpy(), _matrix(search["vector"])
     edges_a, edges_b, edges_n = [], [], []
     for at in range(0, len(who), TOGETHER):
         ids = who[at : at + TOGETHER]
-        inside = _searched(vectors, graph, medoid, queries[at : at + TOGETHER]) & owned
         own = np.array([place.get(r, -1) for r in ids.tolist()])
+        inside = _searched(vectors, graph, entries, own, queries[at : at + TOGETHER]) & owned
         inside[np.flatnonzero(own >= 0), own[own >= 0]] = False
         counts = inside @ times
         some = np.flatnonzero(counts)
@@ -165,12 +183,17 @@ def _found(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(edges_a, pa.int64()), "b": pa.array(edges_b, pa.int64()), "links": pa.array(edges_n, pa.int64())})
 
 
-def _searched(vectors: np.ndarray, graph: np.ndarray, medoid: int, queries: np.ndarray) -> np.ndarray:
-    """Which vectors each query finds in range: best-first from the medoid, then on through all in range."""
+def _searched(vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, own: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Which vectors each query finds in range: best-first from the entries and its own node, then on through all in range.
+
+    ``own`` is the place of each query among the vectors, -1 for none.
+    """
     n, many = len(vectors), len(queries)
     cosine = np.full((many, n + 1), -2.0)
     waiting = np.full((many, n + 1), -2.0)  # cosines of what is seen and not expanded
-    cosine[:, medoid] = waiting[:, medoid] = queries @ vectors[medoid]
+    cosine[:, entries] = waiting[:, entries] = queries @ vectors[entries].T
+    here = np.flatnonzero(own >= 0)
+    cosine[here, own[here]] = waiting[here, own[here]] = 1.0
     active, step = np.arange(many), 0
     padded = np.vstack([vectors, np.zeros(vectors.shape[1])])
     while len(active):

@@ -125,5 +125,35 @@ def test_vectors_equal_brute_force(spark, monkeypatch, shard):
     assert [(g[0], g[2], g[3]) for g in got] == [(e[0], e[2], e[3]) for e in expected]
 
 
+def dense_beside_pairs():
+    """600 near copies, 100 separate pairs and 200 others: one shard."""
+    random = np.random.default_rng(11)
+    rows = [random.normal(size=64) * 0.05 + 1 for _ in range(600)]
+    for v in random.normal(size=(100, 64)):
+        rows += [v, v + random.normal(size=64) * 0.1]
+    rows += list(random.normal(size=(200, 64)))
+    return [(i, [float(np.float32(x)) for x in rows[i]], 0) for i in random.permutation(len(rows)).tolist()]
+
+
+def test_pairs_beside_a_dense_group_are_found(spark):
+    rows = dense_beside_pairs()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in vectors.near_duplicates(df).collect()}
+    pairs = range(600, 800)
+    assert [got[i].n_links for i in pairs] == [1] * 200
+    assert [got[i].component_id for i in pairs] == [i - i % 2 for i in pairs]
+    assert sum(got[i].n_links for i in range(600)) >= 0.98 * 600 * 599 and {got[i].component_id for i in range(600)} == {0}
+    assert all(got[i].n_links == 0 and got[i].kept for i in range(800, 1000))
+
+
+def test_search_from_outside_leaves_a_dense_group():
+    v = np.array([r[1] for r in sorted(dense_beside_pairs())])[:620]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    table = vectors.pa.table({"rep": np.arange(620), "vector": list(v)})
+    lists = vectors._graph(table)["near"].to_pylist()
+    assert sum(any(j >= 600 for j in near) for near in lists[:600]) > 60
+    assert len(set(vectors._spread(v).tolist())) == vectors.ENTRIES and sum(vectors._spread(v) >= 600) >= 10
+
+
 def test_no_vectors(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
