@@ -5,8 +5,8 @@ nearer of which owns it. In every shard each vector gets neighbours by robust pr
 a vector gets in different shards are united, each with some neighbours from anywhere in the shard. A vector
 then searches the shards nearest to it: greedily along the graph from its own node and from members that lie
 far from each other, and on from everything within range until nothing in range is left to expand. Cosines are taken in double precision, so what is reported is verified. An audit compares
-a bounded sample of vectors with brute force, and the search is repeated with more shards if it found too
-few of their links.
+a bounded sample of vectors with brute force, at every size of table. If any size of group lacks links, the search is
+repeated with more shards and expansions, and in the end with all pairs of what meets in a shard.
 """
 
 from __future__ import annotations
@@ -32,8 +32,10 @@ RETURNS = 2
 FAR, ENTRIES = 4, 32
 #: Expansions of a search before only vectors in range are expanded; searches run together.
 EXPANSIONS, TOGETHER = 16, 1000
-#: Shards searched at first; vectors audited; share of their links that must be found.
+#: Shards searched at first; vectors audited at first; mean share of a vector's links that must be found.
 PROBES, AUDITED, LEAST_RECALL = 4, 256, 0.98
+#: The audit grows until it has ENOUGH vectors with fewer than FEW links, or all vectors, or so many numbers.
+ENOUGH, FEW, AUDIT_NUMBERS = 64, 8, 1 << 20
 
 
 def classes(vectors: DataFrame) -> DataFrame:
@@ -148,8 +150,8 @@ def _spread(vectors: np.ndarray) -> np.ndarray:
     return np.array(entries)
 
 
-def _found(table: pa.Table) -> pa.Table:
-    """Links of the searching rows of one part of a shard to the rows it owns.
+def _found(table: pa.Table, expansions: int | None = EXPANSIONS) -> pa.Table:
+    """Links of the searching rows of one part of a shard to the rows it owns; without ``expansions``, by all pairs.
 
     Rows: ``a, b`` edges of a spanning forest of the links, and ``a, links`` with the rows linked.
     """
@@ -169,7 +171,11 @@ def _found(table: pa.Table) -> pa.Table:
     for at in range(0, len(who), TOGETHER):
         ids = who[at : at + TOGETHER]
         own = np.array([place.get(r, -1) for r in ids.tolist()])
-        inside = _searched(vectors, graph, entries, own, queries[at : at + TOGETHER]) & owned
+        some = queries[at : at + TOGETHER]
+        if expansions is None:
+            inside = (some @ vectors.T >= LEAST_COSINE) & owned
+        else:
+            inside = _searched(vectors, graph, entries, own, some, expansions) & owned
         inside[np.flatnonzero(own >= 0), own[own >= 0]] = False
         counts = inside @ times
         some = np.flatnonzero(counts)
@@ -183,7 +189,9 @@ def _found(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(edges_a, pa.int64()), "b": pa.array(edges_b, pa.int64()), "links": pa.array(edges_n, pa.int64())})
 
 
-def _searched(vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, own: np.ndarray, queries: np.ndarray) -> np.ndarray:
+def _searched(
+    vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, own: np.ndarray, queries: np.ndarray, expansions: int
+) -> np.ndarray:
     """Which vectors each query finds in range: best-first from the entries and its own node, then on through all in range.
 
     ``own`` is the place of each query among the vectors, -1 for none.
@@ -199,7 +207,7 @@ def _searched(vectors: np.ndarray, graph: np.ndarray, entries: np.ndarray, own:
     while len(active):
         best = waiting[active].argmax(axis=1)
         value = waiting[active, best]
-        go = value > -2.0 if step < EXPANSIONS else value >= LEAST_COSINE
+        go = value > -2.0 if step < expansions else value >= LEAST_COSINE
         active, best = active[go], best[go]
         if not len(active):
             break
@@ -236,7 +244,7 @@ def _forest(inside: np.ndarray, ids: np.ndarray, reps: np.ndarray) -> list[tuple
     return edges
 
 
-def _links(nodes: DataFrame, clusters: dict, members: DataFrame, probes: int) -> DataFrame:
+def _links(nodes: DataFrame, clusters: dict, members: DataFrame, probes: int, expansions: int | None) -> DataFrame:
     """``a, b, links`` as ``_found`` gives them, over all parts of all shards."""
     searching = _dealt(nodes, clusters, probes).drop("turn")
     # a shard with too many members is dealt to parts; every part is searched, by groups of searching rows
@@ -251,33 +259,55 @@ def _links(nodes: DataFrame, clusters: dict, members: DataFrame, probes: int) ->
     both = holding.select(*columns, "turn", "near").union(
         questions.select(*columns, F.lit(None).cast("int"), F.lit(None).cast("array<long>"))
     )
-    return both.groupBy("label", "shard", "part", "group").applyInArrow(_found, "a long, b long, links long")
 
+    def run(table: pa.Table) -> pa.Table:
+        return _found(table, expansions)
 
-def _recall(nodes: DataFrame, counts: DataFrame) -> float:
-    """Share of the true links of a bounded sample of vectors that ``a, links`` has; the sample meets all rows in blocks."""
-    some = nodes.orderBy(F.xxhash64("rep")).limit(AUDITED).select("rep", "label", "vector").toPandas()
-    if not len(some):
-        return 1.0
-    asked: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
-    for label, size in {(x, len(v)) for x, v in zip(some["label"], some["vector"], strict=True)}:
-        mine = [(r, v) for r, x, v in zip(some["rep"], some["label"], some["vector"], strict=True) if x == label and len(v) == size]
-        asked[label, size] = np.array([m[0] for m in mine]), np.stack([m[1] for m in mine])
+    return both.groupBy("label", "shard", "part", "group").applyInArrow(run, "a long, b long, links long")
+
+
+def _true_links(nodes: DataFrame, many: int) -> DataFrame:
+    """``a, n``: rows truly linked to each of ``many`` vectors that link; they meet all rows in blocks."""
+    some = nodes.orderBy(F.xxhash64("rep")).limit(many).select("rep", "label", "vector").toPandas()
+    asked = {}
+    for label, mine in some.groupby("label"):
+        asked[label] = mine["rep"].to_numpy(), np.stack(mine["vector"].tolist())
 
     def run(batches):
         for batch in batches:
-            a, n = [], []
-            for rep, label, vector, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, against = asked.get((label, len(vector)), (None, None))
-                if ids is not None:
-                    hit = ids[(against @ np.array(vector) >= LEAST_COSINE) & (ids != rep)]
-                    a += hit.tolist()
-                    n += [times] * len(hit)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(n, pa.int64())], names=["a", "n"])
+            reps, times = batch.column("rep").to_numpy(), batch.column("times").to_numpy()
+            labels, vectors = np.array(batch.column("label").to_pylist(), object), batch.column("vector").to_pylist()
+            for label, (ids, against) in asked.items():
+                mine = np.flatnonzero(labels == label)
+                block = max(1, (1 << 20) // len(ids))
+                for at in range(0, len(mine), block):
+                    rows = mine[at : at + block]
+                    hit = against @ np.array([vectors[i] for i in rows.tolist()]).T >= LEAST_COSINE
+                    hit &= ids[:, None] != reps[rows]
+                    n = hit @ times[rows]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[n > 0]), pa.array(n[n > 0])], names=["a", "n"])
+
+    truth = nodes.select("rep", "label", "vector", "times").mapInArrow(run, "a long, n long")
+    return truth.groupBy("a").agg(F.sum("n").alias("n"))
+
+
+def _audited(nodes: DataFrame) -> DataFrame:
+    """``a, n`` for vectors enough to judge small groups by, as far as the bound on the sample goes."""
+    total, width = nodes.agg(F.count("*"), F.max(F.size("vector"))).first()
+    most, many = min(total, max(AUDITED, AUDIT_NUMBERS // max(width or 1, 1))), min(total, AUDITED)
+    while True:
+        truth = saved(_true_links(nodes, many), "vector-audit")
+        if many >= most or truth.filter(F.col("n") < FEW).count() >= ENOUGH:
+            return truth
+        many = min(most, 4 * many)
+
 
-    truth = nodes.select("rep", "label", "vector", "times").mapInArrow(run, "a long, n long").groupBy("a").agg(F.sum("n").alias("n"))
-    both = truth.join(counts, "a", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+def _recall(truth: DataFrame, counts: DataFrame) -> float:
+    """Mean share of an audited vector's true links that ``a, links`` has: the least over powers of four of their number."""
+    share = F.least("n", F.coalesce("links", F.lit(0))) / F.col("n")
+    strata = truth.join(counts, "a", "left").groupBy(F.floor(F.log2("n") / 2)).agg(F.avg(share).alias("share"))
+    least = strata.agg(F.min("share")).first()[0]
+    return 1.0 if least is None else least
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -297,13 +327,15 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     lists = parted.groupBy("label", "shard", "part").applyInArrow(_graph, "rep long, near array<long>")
     united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     members = saved(parted.join(united, "rep"), "vector-graph")
-    probes = PROBES
+    truth = _audited(nodes)
+    probes, expansions = PROBES, EXPANSIONS
     while True:
-        found = saved(_links(nodes, clusters, members, probes), "vector-links")
+        found = saved(_links(nodes, clusters, members, probes, expansions), "vector-links")
         counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
-        if probes >= most or _recall(nodes, counts) >= LEAST_RECALL:
+        # all pairs of all shards are all there are
+        if (probes >= most and expansions is None) or _recall(truth, counts) >= LEAST_RECALL:
             break
-        probes *= 2
+        probes, expansions = 2 * probes, 4 * EXPANSIONS if expansions == EXPANSIONS else None
     labels = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
     known = nodes.join(counts, F.col("rep") == F.col("a"), "left").join(labels, F.col("rep") == F.col("node"), "left")
     known = known.select(

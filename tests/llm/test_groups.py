@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_cases import documents, table
 
 from perigee.llm import simhash, vectors
@@ -146,6 +147,32 @@ def test_pairs_beside_a_dense_group_are_found(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in range(800, 1000))
 
 
+def test_links_that_the_search_misses_are_found_by_all_pairs(spark, monkeypatch):
+    """A search that finds dense groups only, as an audit of all links together would not notice."""
+    searched = vectors._searched
+
+    def blind(*args):
+        inside = searched(*args)
+        return inside & (inside.sum(axis=1) > 10)[:, None]
+
+    monkeypatch.setattr(vectors, "_searched", blind)
+    rows = dense_beside_pairs()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = [tuple(r) for r in vectors.near_duplicates(df).collect()]
+    assert sorted(got) == sorted(brute_vectors(rows))
+
+
+def test_audit_of_dense_tables_sees_small_groups(spark):
+    rows = dense_beside_pairs()
+    nodes = vectors.classes(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    truth = vectors._audited(nodes)
+    true = {r[0]: r[1] for r in brute_vectors(rows)}
+    found = {r.a: r.n for r in truth.collect()}
+    assert all(true[a] == n for a, n in found.items()) and sum(n == 1 for n in found.values()) >= vectors.ENOUGH
+    lost = truth.select("a", F.when(F.col("n") > 1, F.col("n")).alias("links"))
+    assert vectors._recall(truth, lost) == 0 and vectors._recall(truth, truth.withColumnRenamed("n", "links")) == 1
+
+
 def test_search_from_outside_leaves_a_dense_group():
     v = np.array([r[1] for r in sorted(dense_beside_pairs())])[:620]
     v /= np.linalg.norm(v, axis=1, keepdims=True)
