@@ -167,24 +167,28 @@ def _report_columns(types: dict[str, str], without: tuple[str, ...] = ()) -> str
 _COVERAGE_REPORT = _report_columns(_COVERAGE_TYPES, ("max_satellite_count",))
 _PERFORMANCE_REPORT = _report_columns(_PERFORMANCE_TYPES)
 
+# One clock for all sections: the newest hour of the three tables.
 _SUMMARY_CTES = f""",
+newest AS (
+  SELECT greatest({newest("satellite_stats")}, {newest("coverage_stats")}, {newest("performance_stats")}) AS newest_start
+),
 fleet AS (
   SELECT coalesce(CAST(sum(total_satellites) AS BIGINT), 0) AS total,
          coalesce(CAST(sum(operational_count) AS BIGINT), 0) AS operational,
          {mean("avg_altitude")} AS avg_altitude
-  FROM satellite_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
+  FROM satellite_stats WHERE time_window_start >= (SELECT newest_start FROM newest) - INTERVAL 24 HOUR
 ),
 by_coverage AS (
   SELECT region_id AS region, {mean("avg_coverage_percentage")} AS avg_coverage,
          {mean("avg_satellite_count")} AS avg_satellites
-  FROM coverage_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
+  FROM coverage_stats WHERE time_window_start >= (SELECT newest_start FROM newest) - INTERVAL 24 HOUR
   GROUP BY region_id
 ),
 by_performance AS (
   SELECT region, {mean("avg_latency_ms")} AS avg_latency,
          {mean("avg_throughput_mbps")} AS avg_throughput,
          {mean("avg_availability_percentage")} AS avg_availability
-  FROM performance_stats WHERE time_window_start >= (SELECT max(time_window_start) FROM satellite_stats) - INTERVAL 24 HOUR
+  FROM performance_stats WHERE time_window_start >= (SELECT newest_start FROM newest) - INTERVAL 24 HOUR
   GROUP BY region
 )"""
 
