@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import mixing, multiset, packing, pii, quality, simhash, substrings, suffixes, toxicity, vectors
+from perigee.llm import (
+    licenses,
+    merkle,
+    mixing,
+    multiset,
+    negatives,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    suffixes,
+    toxicity,
+    vectors,
+)
 from perigee.llm.oracles import ORACLES  # noqa: F401 - for those who register the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +102,24 @@ def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle.tampered(documents(spark, sf_dir), changed)
+    proof = merkle.proof_of(F.col("path")).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors_.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(documents(spark, sf_dir))
