@@ -19,7 +19,7 @@ from perigee.session import fresh_folder, shared_folder, use_utc
 from perigee.sinks.jdbc import JdbcTarget, load_jdbc_insert_absent
 from perigee.sinks.parquet import append_absent, with_date_parts, write_parquet
 from perigee.sources.processed import scan_stats
-from perigee.sources.files import CORRUPT
+from perigee.sources.json_records import CORRUPT
 from perigee.sources.raw import extract_all, extract_with_rejects, raw_path, require_nonempty
 
 log = logging.getLogger(__name__)

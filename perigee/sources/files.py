@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+from perigee.sources.json_records import CORRUPT, read_records, with_corrupt
 
 
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -37,22 +37,11 @@ def scan_csv(
 def scan_json(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """JSON with whole records in a line: JSON Lines, and record arrays that stand on one line.
-
-    Such files split. A record or array that spreads over several lines would lose its rows, so a file
-    that starts with one is refused; read it with ``multi_line``, one file per task.
-    """
-    if not multi_line:
-        require_whole_lines(spark, path)
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-
-
-def require_whole_lines(spark: SparkSession, path: str) -> None:
-    """Look at the first line that is not blank: does what it opens also end in it?"""
-    line = spark.read.text(path).where(F.trim("value") != "").select(F.trim("value")).first()
-    opened = line is not None and line[0][0] in "[{"
-    if opened and not line[0].endswith({"[": "]", "{": "}"}[line[0][0]]):
-        raise ValueError(f"JSON in {path} spreads over several lines: use multi_line=True")
+    """JSON in any layout, read in byte ranges (see ``read_records``): JSON Lines and record arrays on one line or many,
+    mixed as they come. ``multi_line`` reads with Spark's own reader instead, one file per task."""
+    if multi_line:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    return read_records(spark, path, schema).drop(CORRUPT)
 
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -68,21 +57,13 @@ def scan_rejects(
     file_format: str = "csv",
     header: bool = True,
 ) -> DataFrame:
-    """Rows the reader could not fully parse: what it salvaged, and the raw text.
-
-    JSON means JSON Lines here. In a record array the raw text is the whole file, which the reader
-    would repeat for every record in it.
-    """
-    reader = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("mode", "PERMISSIVE")
-    )
+    """Rows the reader could not fully parse: what it salvaged, and the raw text of the row or JSON record."""
     match file_format.lower():
         case "csv":
-            df = reader.option("header", header).csv(path)
+            reader = spark.read.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+            df = reader.option("mode", "PERMISSIVE").option("header", header).csv(path)
         case "json":
-            df = reader.json(path)
+            return read_records(spark, path, schema).where(F.col(CORRUPT).isNotNull())
         case other:
             raise ValueError(f"no raw text to reject in format {other!r}")
     # The reader only parses the columns a plan asks for, and a cell it skips cannot be faulty.

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from perigee.model import COVERAGE, PERFORMANCE, RAW_DATASETS, SATELLITE, RawDataset
-from perigee.sources.files import CORRUPT, require_whole_lines, scan_csv, scan_json, scan_parquet
+from perigee.sources.files import scan_csv, scan_json, scan_parquet
+from perigee.sources.json_records import CORRUPT, read_records, with_corrupt
 
 RAW_FORMATS = ("csv", "json", "parquet")
 
@@ -66,16 +66,16 @@ def extract_with_rejects(
 ) -> DataFrame:
     """Raw text rows with one column more: the raw text of a row that could not be fully parsed, else NULL.
 
-    One pass over the text gives both the rows and the rejects.
+    One pass over the text gives both the rows and the rejects. With ``multi_line`` JSON is read by file, and the raw
+    text is that of the file.
     """
-    schema = T.StructType([*dataset.schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    if file_format.lower() == "json" and not multi_line:
+        return read_records(spark, path, dataset.schema)
+    reader = spark.read.schema(with_corrupt(dataset.schema)).option("columnNameOfCorruptRecord", CORRUPT)
     if file_format.lower() == "csv":
         scan_csv(spark, path, dataset.schema).limit(0).count()  # a wrong header is an error
         return reader.option("header", True).csv(path)
-    if not multi_line:
-        require_whole_lines(spark, path)
-    return reader.option("multiLine", multi_line).json(path)
+    return reader.option("multiLine", True).json(path)
 
 
 def require_nonempty(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:

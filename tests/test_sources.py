@@ -187,16 +187,110 @@ def test_schemas_have_the_declared_order():
     ]
 
 
-def test_json_that_spreads_over_lines_is_refused_not_lost(spark, tmp_path):
-    record = '{"timestamp": "2024-01-01 10:00:00", "region": "EU", "latency_ms": 1.0}'
-    for name, text, rows_ in (
-        ("array", f"\n  [{record}, {record}]\n", 2), ("lines", f"{record}\n{record}\n{record}\n", 3), ("empty", "\n", 0),
-    ):
-        (tmp_path / f"{name}.json").write_text(text)
-        assert files.scan_json(spark, str(tmp_path / f"{name}.json"), PERFORMANCE.schema).count() == rows_
-    for name, text in (("spread", f"[\n{record},\n{record}\n]\n"), ("object", record.replace(", ", ",\n"))):
-        path = str(tmp_path / f"{name}.json")
-        (tmp_path / f"{name}.json").write_text(text)
-        with pytest.raises(ValueError, match="several lines"):
-            files.scan_json(spark, path, PERFORMANCE.schema)
-        assert files.scan_json(spark, path, PERFORMANCE.schema, multi_line=True).count() == (2 if name == "spread" else 1)
+def performance_record(k: int, region: str = "EU") -> dict:
+    return {"timestamp": f"2024-01-01T10:00:{k % 60:02d}", "region": f"{region}{k}", "latency_ms": k + 0.5, "throughput_mbps": None}
+
+
+def layouts(records: list[dict]) -> dict[str, str]:
+    texts = [json.dumps(r) for r in records]
+    return {
+        "lines": "\n".join(texts) + "\n",
+        "lines_without_end": "\n".join(texts),
+        "line_array": "[" + ", ".join(texts) + "]",
+        "spread": json.dumps(records, indent=2) + "\n",
+        "array_by_lines": "[\n" + ",\n".join(texts) + "\n]\n",
+        "side_by_side": "".join(texts),
+        "marked": "\ufeff[" + ",".join(texts) + "]",
+        "blank_lines": "\r\n\r\n" + "\r\n\r\n".join(texts) + "\r\n",
+    }
+
+
+@pytest.mark.parametrize("layout", sorted(layouts([{}])))
+@pytest.mark.parametrize("size", [64, 1_000_000])
+def test_json_records_of_every_layout_and_range(spark, tmp_path, settings, layout, size):
+    settings(files__maxPartitionBytes=size, files__openCostInBytes=1)
+    records = [performance_record(k) for k in range(40)]
+    (tmp_path / "p.json").write_text(layouts(records)[layout])
+    df = files.scan_json(spark, str(tmp_path), PERFORMANCE.schema)
+    got = df.select("region", "latency_ms", "throughput_mbps", F.second("timestamp")).collect()
+    assert sorted(map(tuple, got)) == sorted((r["region"], r["latency_ms"], None, k) for k, r in enumerate(records))
+    assert files.scan_rejects(spark, str(tmp_path), PERFORMANCE.schema, "json").count() == 0
+    assert files.scan_json(spark, str(tmp_path / "p.json"), PERFORMANCE.schema).columns == PERFORMANCE.schema.names
+
+
+def test_files_of_different_layouts_side_by_side(spark, tmp_path):
+    for n, (name, text) in enumerate(layouts([performance_record(k) for k in range(25)]).items()):
+        (tmp_path / f"{n}-{name}.json").write_text(text)
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    counts = files.scan_json(spark, str(tmp_path), PERFORMANCE.schema).groupBy("region").count().collect()
+    assert len(counts) == 25 and {r["count"] for r in counts} == {8}
+
+
+def test_an_array_on_one_line_is_read_by_several_tasks(spark, tmp_path, settings):
+    settings(files__maxPartitionBytes=20_000, files__openCostInBytes=1)
+    (tmp_path / "p.json").write_text(json.dumps([performance_record(k) for k in range(3_000)]))
+    df = files.scan_json(spark, str(tmp_path), PERFORMANCE.schema)
+    by_task = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) > 10 and sum(r["count"] for r in by_task) == 3_000 == df.select("region").distinct().count()
+
+
+NESTED = [
+    {"region": "nested", "latency_ms": 1.0, "site": {"name": "a", "at": {"lat": 1, "lon": [2, 3]}}, "throughput_mbps": 5.0},
+    {"site": {"name": "b"}, "region": "first", "latency_ms": 2.0},
+    {"region": "list", "points": [{"x": 1}, {"x": 2}, {"x": {"y": 3}}], "latency_ms": 3.0},
+    {"region": 'braces } , { "quoted\\" ] [ {', "latency_ms": 4.0},
+    {"region": '},{"x":1},{"region":"y"},', "latency_ms": 5.0, "note": "{}{}}{{"},
+    {"latency_ms": 6.0, "region": "{"},
+    {"region": "back\\\\slash\\", "latency_ms": 7.0, "note": "}"},
+    {"region": "ünï 漢 \u2028 \t", "latency_ms": 8.0, "last": {}},
+    {"region": None, "latency_ms": 9.0, "list": [[], {}, [{}]]},
+]
+
+
+@pytest.mark.parametrize("layout", sorted(layouts([{}])))
+@pytest.mark.parametrize("size", [48, 1_000_000])
+def test_json_records_with_nested_objects_and_braces_in_strings(spark, tmp_path, settings, layout, size):
+    settings(files__maxPartitionBytes=size, files__openCostInBytes=1)
+    records = [*NESTED, performance_record(1), *NESTED, performance_record(2), performance_record(3)]
+    (tmp_path / "p.json").write_text(layouts(records)[layout])
+    got = files.scan_json(spark, str(tmp_path), PERFORMANCE.schema).select("region", "latency_ms").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(((r["region"], r["latency_ms"]) for r in records), key=repr)
+
+
+BROKEN = ['{"region": "a", "latency_ms": "slow"}', '{"region": "b", "latency_ms": }', '{"region": "c', "oops", '{"region": "d", "list": [1, 2}', "{,}"]
+
+
+@pytest.mark.parametrize("joint", [",", ",\n", "\n", " "])
+@pytest.mark.parametrize("size", [32, 1_000_000])
+def test_one_broken_record_is_one_reject_with_its_own_text(spark, tmp_path, settings, joint, size):
+    settings(files__maxPartitionBytes=size, files__openCostInBytes=1)
+    texts = []
+    for k, broken in enumerate(BROKEN):
+        texts += [json.dumps(performance_record(2 * k)), broken + ("}" if broken.endswith("c") else ""), json.dumps(performance_record(2 * k + 1))]
+    (tmp_path / "p.json").write_text("[" + joint.join(texts) + "]")
+    rejects = files.scan_rejects(spark, str(tmp_path), PERFORMANCE.schema, "json").collect()
+    wanted = [b + "}" if b.endswith("c") else b for b in BROKEN]
+    assert sorted(r["_corrupt_record"] for r in rejects) == sorted(wanted)
+    good = [r.region for r in files.scan_json(spark, str(tmp_path), PERFORMANCE.schema).collect() if r.latency_ms is not None]
+    assert sorted(good) == sorted(f"EU{k}" for k in range(2 * len(BROKEN)))
+    both = raw.extract_with_rejects(spark, str(tmp_path), PERFORMANCE, "json")
+    assert both.count() == 3 * len(BROKEN) and both.where("_corrupt_record IS NOT NULL").count() == len(BROKEN)
+
+
+def test_array_cut_off_in_a_record(spark, tmp_path):
+    text = json.dumps([performance_record(k) for k in range(3)])
+    (tmp_path / "p.json").write_text(text[: text.index('"EU2"') + 5])
+    got = raw.extract_with_rejects(spark, str(tmp_path), PERFORMANCE, "json").collect()
+    assert len(got) == 3 and [r["_corrupt_record"] for r in got if r["_corrupt_record"]] == ['{"timestamp": "2024-01-01T10:00:02", "region": "EU2"']
+
+
+def test_json_by_file(spark, tmp_path):
+    (tmp_path / "p.json").write_text(json.dumps([performance_record(k) for k in range(3)], indent=1))
+    assert files.scan_json(spark, str(tmp_path), PERFORMANCE.schema, multi_line=True).count() == 3
+
+
+def test_json_record_reader_has_no_python(spark, tmp_path):
+    (tmp_path / "p.json").write_text("[]")
+    text = plan(files.scan_json(spark, str(tmp_path), PERFORMANCE.schema))
+    assert not [p for p in ("Python", "Arrow", "Cartesian", "NestedLoop") if p in text]
