@@ -6,12 +6,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from tests_llm_cases import documents, table
 
 import corpus_pipeline
 from perigee.llm import multiset, pii, quality, toxicity
-from perigee.llm.labelled import held_out
+from perigee.llm.labelled import held_out, sample
 from perigee.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -218,6 +219,38 @@ def test_held_out_rows_by_checksum(spark):
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
 
 
+def test_texts_of_any_length_are_learned_from(spark):
+    r = random.Random(3)
+    filler = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(150_000))  # over 1 MB
+    texts = [f"{filler[: r.randint(0, 200)]} plain talk {k}" for k in range(60)]
+    texts += [f"{filler} wretched {filler[: k * 7]}" if k < 4 else f"wretched scum {k}" for k in range(30)]
+    y = [0] * 60 + [1] * 30
+    labels = spark.createDataFrame([(i, int(not v), v) for i, v in enumerate(y)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, texts)
+    kept = sample(docs, labels, "toxic", 3, 1, 1_000).select("id", "text").collect()
+    assert max(len(k.text) for k in kept) > 1_000_000 and all(k.text == texts[k.id] for k in kept)
+    by_hand = sorted((k.id, y[k.id]) for k in kept)
+    whole = toxicity.fit([texts[i] for i, _ in by_hand], [v for _, v in by_hand])
+    assert toxicity.learned(docs, labels) == pytest.approx(whole)
+    assert sample(docs, labels, "toxic", 3, 1, 7).count() == 7
+    assert toxicity.toxicity(docs, labels, fit_rows=50).count() == len(texts)
+
+
+def test_long_words_have_their_character_groups(spark):
+    word = ("abcdefghijklmnopqrstuvwxyz" * 9)[:200].encode()
+    features = [at for piece in quality.features_of(word) for at in piece]
+    assert len(features) == 1 + (202 - 2) + (202 - 3)
+    adds = np.zeros(quality.BUCKETS, np.float32)
+    adds[features[5]] = 1.0
+    assert quality.Scorer(adds, 0.0)[word][0] > 0 and quality.Scorer(adds, 0.0)[b"zzz"][0] == 0
+    long = "x" * 3_000_000
+    assert quality.Scorer(adds, 0.0)[long.encode()][1] == 1 + 3_000_000 + 2_999_999
+    docs = documents(spark, [long, "short", None] * 8)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(24)], "doc_id long, quality int, toxic int")
+    rows = quality.quality(docs, labels, fit_rows=10).collect()
+    assert len(rows) == 24 and len({r.score for r in rows if r.doc_id % 3 == 0}) == 1
+
+
 # ---- pipeline and registration
 
 
