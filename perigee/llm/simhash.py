@@ -184,13 +184,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose doc_id is the smallest of its group.
 
-    Of rows that repeat such a doc_id one stays, any of them if they differ. Rows without a doc_id stay.
+    Where different texts share such a doc_id, those that are in its group by their own fingerprint stay, one for each
+    fingerprint: that with the smallest hash of its text, whatever the order of rows. Of repeated rows one stays. Rows
+    without a doc_id stay.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    heads = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("head")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    found = saved(near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("head"), "fingerprint").distinct(), "simhash-heads")
     repeated = rows.filter("id IS NOT NULL").groupBy(F.col("id").alias("again")).count().filter("count > 1").select("again")
     repeated = saved(repeated, "repeated-ids")
-    kept = rows.join(heads, F.col("id") == F.col("head"), "left_semi")
-    single = kept.join(repeated, F.col("id") == F.col("again"), "left_anti")
-    doubled = kept.join(repeated, F.col("id") == F.col("again"), "left_semi").dropDuplicates(["id"])
-    return single.union(doubled).union(rows.filter("id IS NULL")).select("row.*")
+    kept = rows.join(found.select("head").distinct(), F.col("id") == F.col("head"), "left_semi")
+    single = kept.join(repeated, F.col("id") == F.col("again"), "left_anti").select("row")
+    doubled = saved(kept.join(repeated, F.col("id") == F.col("again"), "left_semi"), "repeated-rows")
+    texts = doubled.groupBy("id", "digest").agg(F.first("row.text").alias("text"))
+    prints = _fingerprints_by_digest(texts)
+    first = prints.join(found, (F.col("id") == F.col("head")) & (F.col("fp") == F.col("fingerprint")), "left_semi")
+    first = first.groupBy("id", "fp").agg(F.min("digest").alias("digest")).select("id", "digest")
+    one = doubled.join(first, ["id", "digest"], "left_semi").groupBy("id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.union(one.select("row")).union(rows.filter("id IS NULL").select("row")).select("row.*")
+
+
+def _fingerprints_by_digest(texts: DataFrame) -> DataFrame:
+    """``id, digest, fp`` (hex) for rows ``id, digest, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [f"{fingerprint_of(text.as_py()):016x}" for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.string())], names=["id", "digest", "fp"])
+
+    return texts.select("id", "digest", "text").mapInArrow(run, "id long, digest string, fp string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +185,19 @@ def test_search_from_outside_leaves_a_dense_group():
 
 def test_no_vectors(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [3, 2, 1, 0], [2, 1, 3, 0]])
+def test_one_of_each_loses_no_text_of_an_id_that_repeats(spark, order):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine"
+    some = [(2, a), (5, a), (5, b), (7, b)]
+    docs = documents(spark, [some[k][1] for k in order], [some[k][0] for k in order])
+    assert sorted((r.doc_id, r.text) for r in simhash.one_of_each(docs.coalesce(1)).collect()) == [(2, a), (5, b)]
+
+
+def test_one_of_each_of_texts_that_share_an_id_and_a_fingerprint(spark):
+    a, upper = "alpha beta gamma delta epsilon zeta", "ALPHA beta gamma delta epsilon zeta"
+    for order in ([a, upper, a], [upper, a, a]):
+        kept = simhash.one_of_each(documents(spark, [*order, None, ""], [4, 4, 4, 9, 8])).collect()
+        assert [r.doc_id for r in kept if r.doc_id == 4] == [4] and len(kept) == 2
+        assert {r.text for r in kept if r.doc_id == 4} == {min(a, upper, key=lambda t: hashlib.sha256(t.encode()).hexdigest())}
