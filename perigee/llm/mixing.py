@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import saved, word_count
+from perigee.llm.merkle import placed
 
 #: Weights of the sources in code-point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -39,12 +40,14 @@ def targets(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
     Targets share ``share`` of all words by weight; where one passes ``most`` times its source's size it
     stops there and the excess goes to the others by weight, again until none is above. Only sums over
-    the sources reach the driver. Numbering the sources takes one task with one row per source.
+    the sources reach the driver. Sources get their numbers from ranges of them and counts of the ranges.
     """
     each = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (number % len(weights)).cast("int") + 1)
-    each = saved(each.withColumn("weight", weight), "sources")
+    # in order of code points, null last
+    order = F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1")).alias("order")
+    each = saved(each.select("*", F.lit("").alias("part"), order, F.monotonically_increasing_id().alias("salt")), "source-sizes")
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("pos") % len(weights)).cast("int") + 1)
+    each = saved(placed(each, ["order"]).select("source", "source_size", weight.alias("weight")), "sources")
     total = (each.agg(F.sum("source_size")).first()[0] or 0) * share
     level, stopped = 0.0, -1
     limit = F.col("source_size") * float(most)
@@ -112,7 +115,7 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     The first budget is what the target leaves over whole copies. What the documents below its threshold
     leave of it, less than one document, is the budget of short documents above the threshold, and so on.
     """
-    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).cast("long")
     state = wanted.withColumn("whole", times).withColumn("cuts", F.array().cast("array<struct<limit:long,threshold:long>>"))
     state = state.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
     state = state.withColumn("least", F.lit(0).cast("long")).withColumn("limit", F.lit((1 << 62)).cast("long"))
@@ -124,7 +127,8 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             "source_size",
             "target",
             "whole",
-            F.concat("cuts", F.array(F.struct("limit", "threshold"))).alias("cuts"),
+            # nothing left to spend takes nothing more, empty texts neither
+            F.concat("cuts", F.array(F.struct("limit", F.when(F.col("budget") > 0, F.col("threshold")).otherwise(0).alias("threshold")))).alias("cuts"),
             F.col("rest").alias("budget"),
             F.col("threshold").alias("least"),
             F.floor(F.col("rest") / SHORT).cast("long").alias("limit"),
@@ -148,7 +152,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs`` (doc_id, text, source).
 
     ``copies`` says how often the mix has the row, at most ``most`` rounded up; ``taken`` is that times its
-    size. The choice depends on the data alone, so reruns agree. Null is a source of its own, the last one;
+    size. Sources without any words are taken once. The choice depends on the data alone, so reruns agree. Null is a source of its own, the last one;
     null and empty texts have size 0. Rows with the same doc_id and length, repeated rows too, share their
     fate. A null doc_id is hashed like any value. Other columns are not read.
     """

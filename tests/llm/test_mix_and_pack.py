@@ -121,3 +121,21 @@ def test_packed_pieces_are_whole_and_gapless(spark):
             at += length
         assert at <= 2048
     assert packing.packed(documents(spark, []), VOCABULARY).count() == 0
+
+
+def test_empty_texts_are_copied_no_more_than_others(spark):
+    texts = ["one two three"] * 4 + [None, "", " "] * 10 + ["word " * 400] * 20 + [""] * 5
+    sources = ["a"] * 34 + ["b"] * 20 + ["c"] * 5
+    rows = mixing.mix(documents(spark, texts, sources=sources)).collect()
+    assert max(r.copies for r in rows) == 3 and {r.copies for r in rows if r.source == "a"} == {3}
+    assert {(r.copies, r.taken) for r in rows if r.source == "c"} == {(1, 0)}
+
+
+def test_sources_get_their_weights_in_order_of_code_points(spark):
+    names = ["z", "Z", "é", "", "a", "10", "9", None, "漢", "aa"]
+    rows = spark.createDataFrame([(n, 1000) for n in names], "source string, size long")
+    ordered = sorted((n for n in names if n is not None), key=lambda n: n.encode()) + [None]
+    total = sum((5, 2, 1)[k % 3] for k in range(len(ordered)))
+    wanted = {n: (5, 2, 1)[k % 3] * 10_000 / total for k, n in enumerate(ordered)}
+    got = {r.source: r.target for r in mixing.targets(rows).collect()}
+    assert got == pytest.approx(wanted)
