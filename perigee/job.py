@@ -20,8 +20,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--processed", required=True, help="URI for results")
     parser.add_argument("--checkpoint", help="shared checkpoint URI, unless the cluster names one")
     parser.add_argument("--format", default="csv", choices=RAW_FORMATS)
-    parser.add_argument("--json-multi-line", action="store_true", help="JSON records spread over lines")
-    parser.add_argument("--daily", action="store_true", help="add to earlier days instead of replacing all")
+    parser.add_argument("--json-multi-line", action="store_true", help="read each JSON file by one task")
+    parser.add_argument("--batch", help="name of the batch, as of a day, whose results are replaced; the others stay")
     parser.add_argument("--ordered", action="store_true", help="input is in order of its output folders")
     parser.add_argument(
         "--db-append-only", action="store_true", help="load without psycopg2, into a table that exists"
@@ -93,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
             args.format,
             args.json_multi_line,
             database_of(args),
-            daily=args.daily,
+            batch=args.batch,
             gather=not args.ordered,
         )
         run_batch(spark, config)

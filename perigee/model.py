@@ -15,6 +15,8 @@ from perigee.fixed_values import REGION_ID_WIDTH
 WINDOW_START = "time_window_start"
 WINDOW_END = "time_window_end"
 CREATED_AT = "created_at"
+#: Directory column of rows that belong to a batch.
+BATCH = "batch"
 
 
 _TYPES = {

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perigee.functions.times import date_parts
-from perigee.model import StatsTable
+from perigee.model import BATCH, StatsTable
 from perigee.operators.joins import insert_absent_rows
 from perigee.session import shared_folder
 
@@ -60,6 +63,47 @@ def write_parquet(
     return counter.get["rows"] if counter else None
 
 
+def batch_files(spark: SparkSession, path: str, batch: str) -> set[str]:
+    """Files that hold rows of a batch, as many as the batch has directories or a few times that."""
+    try:
+        rows = spark.read.schema(f"{BATCH} string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+    found = rows.where(F.col(BATCH) == batch).select("_metadata.file_path").distinct().collect()
+    return {unquote(r["file_path"]) for r in found}
+
+
+def replace_batch(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    batch: str,
+    gather: bool = True,
+    sort_by: Sequence[str] = (),
+) -> int:
+    """Write the rows of a batch in place of all that it left under ``path`` before, and return their number.
+
+    Rows lie in directories of ``partition_by`` and the batch. Those that have rows now are overwritten; those that
+    had rows of the batch before and have none now are emptied. Rows of other batches stay as they are.
+    """
+    spark = df.sparkSession
+    before = batch_files(spark, path, batch)
+    keyed = df.withColumn(BATCH, F.lit(batch))
+    written = write_parquet(keyed, path, [*partition_by, BATCH], "replace", gather, sort_by)
+    stale = before & batch_files(spark, path, batch)
+    body = T.StructType([f for f in df.schema if f.name not in partition_by])
+    for folder in sorted({name.rsplit("/", 1)[0] for name in stale}):
+        spark.createDataFrame([], body).write.mode("overwrite").parquet(folder)
+    return written
+
+
+def emptied(spark: SparkSession, path: str) -> None:
+    """Give the space of a scratch folder back."""
+    spark.createDataFrame([], "nothing string").write.mode("overwrite").parquet(path)
+
+
 def append_absent(batch: DataFrame, path: str, table: StatsTable) -> int:
     """Append the rows whose key the folder does not hold yet; the first write of a key wins.
 

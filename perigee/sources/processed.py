@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perigee.functions.times import Moment, moment
-from perigee.model import SATELLITE, RawDataset, StatsTable
+from perigee.model import BATCH, SATELLITE, RawDataset, StatsTable
 from perigee.sinks.jdbc import JdbcTarget
+from perigee.sources.json_records import with_corrupt
 
 
 def scan_stats(
@@ -34,6 +35,12 @@ def read_regional(spark: SparkSession, root: str, dataset: RawDataset) -> DataFr
     return spark.read.schema(dataset.schema).parquet(folder).select(*dataset.schema.names)
 
 
+def read_rejects(spark: SparkSession, root: str, dataset: RawDataset) -> DataFrame:
+    """Raw rows that could not be fully parsed, with their text."""
+    schema = with_corrupt(dataset.schema)
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/rejected/{dataset.file_stem}").select(*schema.names)
+
+
 def read_satellite(
     spark: SparkSession, root: str, since: Moment = None, until: Moment = None
 ) -> DataFrame:
@@ -42,7 +49,7 @@ def read_satellite(
     The copy is laid out by day, which a filter on ``timestamp`` alone does not prune, so the
     bounds are restated over the directory columns.
     """
-    df = spark.read.parquet(f"{root.rstrip('/')}/{SATELLITE.file_stem}")
+    df = spark.read.parquet(f"{root.rstrip('/')}/{SATELLITE.file_stem}").drop(BATCH)
     zone = T.TimestampType()
     day = F.make_date("year", "month", "day")
     if since is not None:

@@ -5,15 +5,16 @@ from pyspark.sql import functions as F
 
 from checks.views import raw_inputs
 from perigee import job
-from perigee.model import COVERAGE, COVERAGE_STATS, PERFORMANCE, PERFORMANCE_STATS, SATELLITE_STATS, STATS_TABLES
-from perigee.plans import batch
+from perigee.model import COVERAGE, COVERAGE_STATS, PERFORMANCE, PERFORMANCE_STATS, RAW_DATASETS, SATELLITE_STATS, STATS_TABLES
+from perigee.operators import partials
+from perigee.plans import batch, ledger
 from perigee.plans.batch import BatchConfig, LoadError, load_all, run_batch
 from perigee.plans.transform import transform_all
 from perigee.session import object_store_conf, shared_folder
 from perigee.sinks.jdbc import JdbcTarget
 from perigee.sinks.raw_export import export_raw
-from perigee.sources.processed import read_regional, read_satellite, scan_stats
-from tests.conftest import SF_SMALL, rows
+from perigee.sources.processed import read_regional, read_rejects, read_satellite, scan_stats
+from tests.conftest import SF_SMALL, plan, rows
 
 
 def test_transform_outputs(spark):
@@ -111,18 +112,123 @@ def test_bad_raw_rows_are_written_and_counted(spark, tmp_path):
     assert {r._corrupt_record.split(",")[2] for r in refused.collect()} == {"2024-01-03T10:00:00", "noon"}
 
 
-def test_a_second_day_keeps_the_first(spark, tmp_path):
+def write_raw(spark, folder, where, inputs=None, file_format="csv"):
+    inputs = inputs or raw_inputs(spark, SF_SMALL)
+    export_raw({n: df.where(where) for n, df in inputs.items()}, str(folder), file_format)
+    return str(folder)
+
+
+def everything(spark, out):
+    """All rows under a root, but for velocities and load times."""
+    held = {"satellite": read_satellite(spark, out).drop("velocity")}
+    held |= {d.name: read_regional(spark, out, d) for d in (COVERAGE, PERFORMANCE)}
+    held |= {t.name: scan_stats(spark, out, t).drop("created_at") for t in STATS_TABLES}
+    held |= {f"rejected {d.name}": read_rejects(spark, out, d) for d in RAW_DATASETS}
+    return {name: rows(df) for name, df in held.items()}
+
+
+EARLY, LATE = "day(timestamp) <= 15 AND hour(timestamp) % 4 <> 3", "day(timestamp) > 15 OR hour(timestamp) % 4 = 3"
+BAD_LINE = "region_id,region_name,timestamp,coverage_percentage,satellite_count,avg_signal_strength\nEU,Europe,{},many,2,-70\n"
+
+
+@pytest.fixture
+def two_batches(spark, tmp_path):
+    """Raw files of two batches, the second with late rows of the first one's hours, and of both together."""
+    folders = {}
+    minutes = "minute(timestamp) % 3 = 0"
+    parts = {"one": f"({EARLY}) AND NOT {minutes}", "two": f"({LATE}) OR {minutes}", "all": "true"}
+    for name, where in parts.items():
+        folders[name] = write_raw(spark, tmp_path / "raw" / name, where)
+        for k in range(3 if name == "all" else {"one": 1, "two": 2}[name]):
+            (tmp_path / "raw" / name / "coverage_data.csv" / f"bad{k}.csv").write_text(BAD_LINE.format("2024-01-03T10:00:00"))
+    run_batch(spark, BatchConfig(folders["all"], str(tmp_path / "whole")))
+    return folders, str(tmp_path / "out"), everything(spark, str(tmp_path / "whole"))
+
+
+def test_batches_give_what_one_run_over_all_rows_gives(spark, two_batches):
+    folders, out, whole = two_batches
+    for name in ("one", "two"):
+        counts = run_batch(spark, BatchConfig(folders[name], out, batch=f"2024-{name}"))
+        assert counts["rejected/coverage_data"] == {"one": 1, "two": 2}[name]
+    first = everything(spark, out)
+    assert first == whole
+    for name in ("one", "two", "two", "one"):
+        run_batch(spark, BatchConfig(folders[name], out, batch=f"2024-{name}"))
+    assert everything(spark, out) == first
+    assert ledger.states(spark, out) == {"2024-one": "published", "2024-two": "published"}
+    held = {r.output: r.rows for r in ledger.entries(spark, out).where("batch = '2024-two'").collect()}
+    assert held["rejected/coverage_data"] == 2 and held["coverage"] > 0
+
+
+@pytest.mark.parametrize("at", ["rejected/coverage_data", "partials/performance_statistics", "satellite_data", "performance_metrics"])
+def test_a_batch_that_broke_is_repeated(spark, two_batches, monkeypatch, at):
+    folders, out, whole = two_batches
+    run_batch(spark, BatchConfig(folders["one"], out, batch="one"))
+    real = batch.replace_batch
+
+    def broken(df, path, *args, **kwargs):
+        if path.endswith(at):
+            real(df.limit(3), path, *args, **kwargs)
+            raise OSError("disk gone")
+        return real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(batch, "replace_batch", broken)
+    for name in ("one", "two"):
+        with pytest.raises(LoadError, match="disk gone"):
+            run_batch(spark, BatchConfig(folders[name], out, batch=name))
+    assert ledger.states(spark, out) == {"one": "reopened", "two": "open"}
+    monkeypatch.undo()
+    for name in ("two", "one"):
+        run_batch(spark, BatchConfig(folders[name], out, batch=name))
+    assert everything(spark, out) == whole
+
+
+def test_a_corrected_batch_replaces_its_rows(spark, tmp_path):
     inputs, out = raw_inputs(spark, SF_SMALL), str(tmp_path / "out")
-    split = F.lit("2024-01-15").cast("timestamp")
-    for k, half in enumerate((F.col("timestamp") < split, F.col("timestamp") >= split)):
-        export_raw({n: df.where(half) for n, df in inputs.items()}, str(tmp_path / f"raw{k}"), "csv")
-        run_batch(spark, BatchConfig(str(tmp_path / f"raw{k}"), out, daily=True))
-    expected = transform_all(inputs)
-    assert read_satellite(spark, out).count() == expected["satellite"].count()
+    first = write_raw(spark, tmp_path / "first", "day(timestamp) = 3")
+    wrong = write_raw(spark, tmp_path / "wrong", "day(timestamp) IN (4, 5)")
+    keep = {n: F.col({"coverage": "region_id", "performance": "region"}[n]) != "EU" for n in ("coverage", "performance")}
+    corrected = {n: df.where("day(timestamp) = 4").where(keep.get(n, F.lit(True))) for n, df in inputs.items()}
+    right = write_raw(spark, tmp_path / "right", "true", corrected)
+    for folder, name in ((first, "3"), (wrong, "4"), (right, "4")):
+        run_batch(spark, BatchConfig(folder, out, batch=name))
+    wanted = {n: inputs[n].where("day(timestamp) = 3").unionByName(df) for n, df in corrected.items()}
     for dataset in (COVERAGE, PERFORMANCE):
-        assert read_regional(spark, out, dataset).count() == inputs[dataset.name].count()
+        assert rows(read_regional(spark, out, dataset)) == rows(wanted[dataset.name].select(*dataset.schema.names))
+    expected = transform_all(wanted)
     for table in STATS_TABLES:
         assert scan_stats(spark, out, table).count() == expected[table.name].count()
+    assert read_satellite(spark, out).count() == expected["satellite"].count()
+
+
+def test_statistics_follow_from_partials_alone(spark, two_batches):
+    folders, out, _ = two_batches
+    run_batch(spark, BatchConfig(folders["one"], out, batch="one"))
+    run_batch(spark, BatchConfig(folders["two"], out, batch="two"))
+    for table in STATS_TABLES:
+        merged = partials.merged_partials(batch.stored_partials(spark, out, table, ["one", "two"]), table)
+        assert all("/partials/" in f for f in merged.inputFiles())
+        assert "batch" in plan(merged).split("PartitionFilters")[1][:200]
+
+
+def test_roots_with_and_without_batches_do_not_mix(spark, tmp_path):
+    raw = write_raw(spark, tmp_path / "raw", "day(timestamp) = 3")
+    run_batch(spark, BatchConfig(raw, str(tmp_path / "plain")))
+    with pytest.raises(ValueError, match="without batches"):
+        run_batch(spark, BatchConfig(raw, str(tmp_path / "plain"), batch="3"))
+    run_batch(spark, BatchConfig(raw, str(tmp_path / "keyed"), batch="3"))
+    with pytest.raises(ValueError, match="name one"):
+        run_batch(spark, BatchConfig(raw, str(tmp_path / "keyed")))
+    for name in ("", "a/b", "a=b", "_x", "a b"):
+        with pytest.raises(ValueError, match="batch name"):
+            run_batch(spark, BatchConfig(raw, str(tmp_path / "keyed"), batch=name))
+
+
+def test_scratch_copies_are_emptied(spark, tmp_path, monkeypatch):
+    raw, folder = write_raw(spark, tmp_path / "raw", "day(timestamp) = 3"), str(tmp_path / "scratch")
+    monkeypatch.setattr(batch, "fresh_folder", lambda *_: folder)
+    run_batch(spark, BatchConfig(raw, str(tmp_path / "out")))
+    assert [spark.read.parquet(f"{folder}/{d.file_stem}").count() for d in RAW_DATASETS] == [0, 0, 0]
 
 
 def test_the_session_zone_does_not_move_the_folders(spark, tmp_path, settings):
