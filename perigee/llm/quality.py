@@ -44,11 +44,19 @@ def counts_of(text: str | None) -> Counter:
     return found
 
 
-def features_of(word: bytes) -> Iterator[list[int]]:
-    """Buckets of a word and of the character n-grams of the word between marks, a bounded number at a time."""
+def features_of(word: bytes) -> list[int]:
+    """Buckets of a word and of the character n-grams of the word between marks."""
+    out = [zlib.crc32(word) % BUCKETS]
+    if word != AGAIN:
+        marked = b"<" + word + b">"
+        for n in GRAMS:
+            out += [zlib.crc32(marked[i : i + n], n) % BUCKETS for i in range(len(marked) - n + 1)]
+    return out
+
+
+def pieces_of(word: bytes) -> Iterator[list[int]]:
+    """The features of a word of any length, a bounded number at a time."""
     yield [zlib.crc32(word) % BUCKETS]
-    if word == AGAIN:
-        return
     marked = b"<" + word + b">"
     for n in GRAMS:
         last = len(marked) - n + 1
@@ -63,10 +71,10 @@ def shares_of(text: str | None, known: dict[bytes, list[int]]) -> tuple[np.ndarr
         if word in known:
             pieces = [known[word]]
         elif len(word) <= REMEMBERED:
-            known[word] = [at for piece in features_of(word) for at in piece]
+            known[word] = features_of(word)
             pieces = [known[word]]
         else:
-            pieces = features_of(word)
+            pieces = pieces_of(word)
         for piece in pieces:
             for at in piece:
                 found[at] += n
@@ -118,12 +126,16 @@ class Scorer(dict):
         self.adds, self.intercept = adds, intercept
 
     def __missing__(self, word: bytes) -> tuple[float, int]:
+        if len(word) <= REMEMBERED:
+            at = features_of(word)
+            value = float(self.adds[at].sum()), len(at)
+            if len(self) < self.KEPT:
+                self[word] = value
+            return value
         total, number = 0.0, 0
-        for at in features_of(word):
-            total += float(self.adds[at].sum(dtype=np.float64))
+        for at in pieces_of(word):
+            total += float(self.adds[at].sum())
             number += len(at)
-        if len(self) < self.KEPT and len(word) <= REMEMBERED:
-            self[word] = total, number
         return total, number
 
     def score(self, text: str | None) -> float:

@@ -238,7 +238,8 @@ def test_texts_of_any_length_are_learned_from(spark):
 
 def test_long_words_have_their_character_groups(spark):
     word = ("abcdefghijklmnopqrstuvwxyz" * 9)[:200].encode()
-    features = [at for piece in quality.features_of(word) for at in piece]
+    features = [at for piece in quality.pieces_of(word) for at in piece]
+    assert features == quality.features_of(word)
     assert len(features) == 1 + (202 - 2) + (202 - 3)
     adds = np.zeros(quality.BUCKETS, np.float32)
     adds[features[5]] = 1.0
