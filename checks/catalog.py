@@ -25,13 +25,17 @@ from perigee.model import (
     WINDOW_END,
     WINDOW_START,
 )
-from perigee.operators import cleaning, joins, quarantine, rollups, serving, spine
-from perigee.plans.batch import BatchConfig, load_all, run_batch
+from perigee.operators import cleaning, joins, partials, quarantine, rollups, serving, spine
+from perigee.plans.batch import BatchConfig, load_all, run_batch, stored_partials
+from perigee.plans.reconcile import reconciled
 from perigee.plans.transform import transform_all
 from perigee.session import fresh_folder, shared_folder, use_utc
-from perigee.sinks.parquet import append_absent, observed_rows, write_parquet
+from perigee.sinks.keyed import full_outer_stored, store_by_key
+from perigee.sinks.parquet import append_absent, observed_rows, replace_batch, write_parquet
 from perigee.sinks.raw_export import export_raw
 from perigee.sources import files, processed, raw
+from perigee.sources.time_ranges import index_times
+from perigee.sources.time_ranges import scan_since as files_scan_since
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -246,6 +250,36 @@ def read_satellite(spark, sf):
     return kept.select(*SATELLITE.schema.names, "year", "month", "day")
 
 
+def record_arrays(spark, sf, joint: str, text):
+    """A folder of JSON arrays, one for each day of coverage: records as ``text`` has them, ``joint`` between them."""
+    path = fresh_folder(spark, "arrays")
+    days = coverage(spark, sf).select(F.to_date("ts").alias("d"), "event_id", text.alias("record")).groupBy("d")
+    parts = days.agg(F.array_sort(F.collect_list(F.struct("event_id", "record"))).alias("r"))
+    array = F.concat(F.lit("["), F.array_join(F.transform("r", lambda r: r["record"]), joint), F.lit("]"))
+    parts.select(array).write.text(path)
+    return path
+
+
+@query
+def scan_json_arrays(spark, sf):
+    """Arrays on one line and arrays spread over many lines, side by side in one folder, read in ranges of bytes."""
+    columns = {f.name: F.col("ts" if f.name == "timestamp" else f.name) for f in COVERAGE.schema}
+    record = F.to_json(F.struct(*(c.alias(n) for n, c in columns.items())), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    spread = F.regexp_replace(record, ',"', ',\n    "')
+    parts = [record_arrays(spark, sf, ",", record), record_arrays(spark, sf, ",\n  ", spread)]
+    frames = [files.scan_json(spark, p, COVERAGE.schema) for p in parts]
+    return frames[0].unionByName(frames[1])
+
+
+@query
+def scan_rejects_json(spark, sf):
+    """Records of arrays with a cell of another type, and broken ones: each reject with its own text."""
+    bad = F.when(F.col("event_id") % 11 == 0, '"n/a"').when(F.col("event_id") % 7 == 0, "").otherwise("50.5")
+    text = F.concat(F.lit('{"satellite_count": '), "satellite_count", F.lit(', "region_id": "'), "region_id", F.lit('", "coverage_percentage": '), bad, F.lit("}"))
+    path = record_arrays(spark, sf, ", ", text)
+    return files.scan_rejects(spark, path, COVERAGE.schema, "json").select("_corrupt_record")
+
+
 # ---- filters
 
 _POSITION = ("event_id", "satellite_id", "latitude", "longitude", "altitude")
@@ -277,6 +311,16 @@ def filter_recent(spark, sf):
     return serving.filter_recent(rows, 24, latest(rows, "ts"), "ts")
 
 
+@query
+def scan_since(spark, sf):
+    """The last three days, by an index of the times in each file: rows in order of time, in several files."""
+    path, index = fresh_folder(spark, "times"), fresh_folder(spark, "time-index")
+    rows = coverage(spark, sf)
+    rows.repartitionByRange(8, "ts").write.parquet(path)
+    index_times(spark, path, "ts", index)
+    return files_scan_since(spark, path, index, "ts", hours_before(latest(rows, "ts"), 72, T.TimestampType()))
+
+
 @query
 def filter_region(spark, sf):
     return serving.filter_region(coverage(spark, sf), "EU", "region_id")
@@ -414,6 +458,21 @@ def hourly_satellite_stats_of_clean_rows(spark, sf):
     return rollups.hourly_satellite_stats(cleaned(spark, sf), "ts")
 
 
+@query
+def hourly_stats_of_batches(spark, sf):
+    """All three statistics tables from stored partial sums of three batches that share every hour."""
+    inputs, root = raw_inputs(spark, sf), fresh_folder(spark, "partials")
+    inputs["satellite"] = cleaning.valid_positions(inputs["satellite"])
+    stats = {}
+    for (name, rows), table in zip(inputs.items(), STATS_TABLES, strict=True):
+        for k in range(3):
+            part = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == k)
+            replace_batch(partials.hourly_partials(part, table), f"{root}/partials/{table.name}", (), f"b{k}")
+        merged = partials.merged_partials(stored_partials(spark, root, table, ["b0", "b1", "b2"]), table)
+        stats[table.name] = rollups.cast_stats_types(partials.stats_of_partials(merged, table), table, created_at=False)
+    return in_full(stats)
+
+
 @query
 def status_counts(spark, sf):
     rows = cleaning.valid_positions(telemetry(spark, sf))
@@ -470,6 +529,15 @@ def row_counts(spark, sf):
     return count_rows_frame(spark, {"extracted": extracted.get["rows"], "cleaned": written})
 
 
+@query
+def row_counts_reconciled(spark, sf):
+    """Rows of each output of a batch by the ledger and by the footers of its files."""
+    root = fresh_folder(spark, "reconcile")
+    export_raw(raw_inputs(spark, sf), f"{root}/raw", "csv")
+    run_batch(spark, BatchConfig(f"{root}/raw", f"{root}/processed", batch="month"))
+    return reconciled(spark, f"{root}/processed")
+
+
 @query
 def distinct_regions(spark, sf):
     return serving.distinct_regions(coverage(spark, sf), "region_id")
@@ -485,6 +553,19 @@ def join_coverage_performance(spark, sf):
     )
 
 
+@query
+def join_stored_coverage_performance(spark, sf):
+    """The full outer join of tables stored by region and time, without a shuffle; some rows have no region."""
+    root = fresh_folder(spark, "keyed")
+    name, key, buckets = f"keyed_{root.rsplit('-', 1)[1]}", ("region", "ts"), 8
+    no_region = F.when(F.col("event_id") % 41 != 0, F.col("region")).alias("region")
+    sides = []
+    for side, rows in (("coverage", joins.align_region(coverage(spark, sf))), ("performance", performance(spark, sf))):
+        rows = rows.select(no_region, *(c for c in rows.columns if c not in ("event_id", "region")))
+        sides.append(store_by_key(rows, f"{name}_{side}", f"{root}/{side}", key, buckets))
+    return full_outer_stored(spark, *sides)
+
+
 @query
 def dashboard_view(spark, sf):
     return joins.dashboard_view(
@@ -696,3 +777,19 @@ def batch_run(spark, sf):
     export_raw(raw_inputs(spark, sf), f"{root}/raw", "csv")
     run_batch(spark, BatchConfig(f"{root}/raw", f"{root}/processed"))
     return in_full(written_outputs(spark, f"{root}/processed"))
+
+
+@query
+def batch_run_repeated(spark, sf):
+    """Two batches, the second with late rows of the first one's hours; a first attempt at the second with the wrong rows, then the
+    right ones, then the first one again. The result is everything held, but for filled velocities."""
+    root = fresh_folder(spark, "batches")
+    late = F.col("minute") % 3 == 0
+    for name, part in {"one": ~late, "two": late, "wrong": F.col("minute") % 3 == 1}.items():
+        some = {n: df.withColumn("minute", F.minute("timestamp")).where(part).drop("minute") for n, df in raw_inputs(spark, sf).items()}
+        export_raw(some, f"{root}/{name}", "json")
+    for source, batch in (("one", "one"), ("wrong", "two"), ("two", "two"), ("one", "one")):
+        run_batch(spark, BatchConfig(f"{root}/{source}", f"{root}/processed", "json", batch=batch))
+    outputs = written_outputs(spark, f"{root}/processed")
+    outputs["satellite"] = outputs["satellite"].drop("velocity")
+    return in_full(outputs)

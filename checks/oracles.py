@@ -282,17 +282,27 @@ _METRICS_ROW = {
     "ground_track_velocity_kmh": (_NUMBER, r2(_SPEED)),
     "estimated_coverage_radius_km": (_NUMBER, r2("altitude * 1.5::DOUBLE")),
 }
-_ALL_OUTPUTS = "\nUNION ALL ".join(
+_UNFILLED_ROW = {c: how for c, how in (_SATELLITE_ROW | _METRICS_ROW).items() if c != "velocity"}
+_STATS_OUTPUTS = "\nUNION ALL ".join(
     (
-        in_full("satellite", "cleaned", _SATELLITE_ROW | _METRICS_ROW),
-        in_full("coverage", "coverage", _COVERAGE_ROW),
-        in_full("performance", "performance", _PERFORMANCE_ROW),
         in_full("satellite_statistics", "satellite_stats", _HOURS | {c: _NUMBER for c in _SATELLITE_TYPES}),
         in_full("coverage_statistics", "coverage_stats", _HOURS | {"region_id": _TEXT} | {c: _NUMBER for c in _COVERAGE_TYPES}),
         in_full("performance_statistics", "performance_stats", _HOURS | {"region": _TEXT} | {c: _NUMBER for c in _PERFORMANCE_TYPES}),
     )
 )
 
+
+def _outputs(satellite_row: dict[str, str]) -> str:
+    details = (
+        in_full("satellite", "cleaned", satellite_row),
+        in_full("coverage", "coverage", _COVERAGE_ROW),
+        in_full("performance", "performance", _PERFORMANCE_ROW),
+    )
+    return "\nUNION ALL ".join((*details, _STATS_OUTPUTS))
+
+
+_ALL_OUTPUTS = _outputs(_SATELLITE_ROW | _METRICS_ROW)
+
 _BODIES: dict[str, tuple[str, str] | str] = {
     "scan_csv": f"SELECT {_SATELLITE_FILE} FROM telemetry",
     "scan_json": f"SELECT {_COVERAGE_FILE} FROM coverage",
@@ -409,6 +419,12 @@ UNION ALL SELECT 'cleaned', count(*) FROM sound""",
   coalesce(c.ts, p.ts) AS ts, c.region_name, c.coverage_percentage, c.satellite_count,
   c.avg_signal_strength, p.latency_ms, p.throughput_mbps, p.availability_percentage
 FROM coverage c FULL OUTER JOIN performance p ON c.region_id = p.region AND c.ts = p.ts""",
+    "join_stored_coverage_performance": """SELECT coalesce(c.region, p.region) AS region,
+  coalesce(c.ts, p.ts) AS ts, c.region_name, c.coverage_percentage, c.satellite_count,
+  c.avg_signal_strength, p.latency_ms, p.throughput_mbps, p.availability_percentage
+FROM (SELECT *, CASE WHEN event_id % 41 <> 0 THEN region_id END AS region FROM coverage) c
+FULL OUTER JOIN (SELECT * REPLACE (CASE WHEN event_id % 41 <> 0 THEN region END AS region) FROM performance) p
+  ON c.region = p.region AND c.ts = p.ts""",
     "dashboard_view": """SELECT c.region_id, c.time_window_start,
   CAST(c.avg_coverage_percentage AS DOUBLE) AS avg_coverage_percentage,
   CAST(c.avg_satellite_count AS DOUBLE) AS avg_satellite_count,
@@ -485,6 +501,21 @@ UNION ALL SELECT 'performance_metrics', region, count(*) FROM performance GROUP
     "transform_all_detail": f"""SELECT satellite_id, ts AS "timestamp", latitude, longitude, altitude,
   {r6("velocity")} AS velocity, status, {_METRICS} FROM cleaned""",
     "batch_run": _ALL_OUTPUTS,
+    "scan_since": f"SELECT * FROM coverage WHERE {recent('coverage', 72, 'ts')}",
+    "row_counts_reconciled": "\nUNION ALL ".join(
+        f"SELECT 'month' AS batch, '{o}' AS output, {n} AS entered, {n} AS held FROM {t}"
+        for o, t, n in (
+            ("satellite", "sound", "count(*)"), ("coverage", "coverage", "count(*)"), ("performance", "performance", "count(*)"),
+            ("rejected/satellite_data", "telemetry", "count(*) - count(*)"), ("rejected/coverage_data", "coverage", "count(*) - count(*)"),
+            ("rejected/performance_metrics", "performance", "count(*) - count(*)"),
+        )
+    ),
+    "batch_run_repeated": _outputs(_UNFILLED_ROW),
+    "hourly_stats_of_batches": _STATS_OUTPUTS,
+    "scan_json_arrays": f"SELECT {_COVERAGE_FILE} FROM coverage UNION ALL SELECT {_COVERAGE_FILE} FROM coverage",
+    "scan_rejects_json": """SELECT concat('{"satellite_count": ', satellite_count, ', "region_id": "', region_id,
+  '", "coverage_percentage": ', CASE WHEN event_id % 11 = 0 THEN '"n/a"' ELSE '' END, '}') AS _corrupt_record
+FROM coverage WHERE event_id % 11 = 0 OR event_id % 7 = 0""",
 }
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.model import BATCH, RAW_DATASETS
 from perigee.sinks.parquet import write_parquet
+from perigee.sources.files import exists
 
 LEDGER = "batches"
 #: States of a batch: begun for the first time, begun again after it was complete, complete.
@@ -24,16 +24,6 @@ SCHEMA = f"state string, output string, rows bigint, at timestamp, {BATCH} strin
 _NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("any string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def entries(spark: SparkSession, root: str) -> DataFrame:
     """``batch, state, output, rows, at``: a row for each output of a complete batch, one row for any other."""
     path = f"{root.rstrip('/')}/{LEDGER}"

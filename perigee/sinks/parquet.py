@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +13,7 @@ from perigee.functions.times import date_parts
 from perigee.model import BATCH, StatsTable
 from perigee.operators.joins import insert_absent_rows
 from perigee.session import shared_folder
+from perigee.sources.files import exists
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "replace")
 
@@ -65,12 +65,9 @@ def write_parquet(
 
 def batch_files(spark: SparkSession, path: str, batch: str) -> set[str]:
     """Files that hold rows of a batch, as many as the batch has directories or a few times that."""
-    try:
-        rows = spark.read.schema(f"{BATCH} string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return set()
-        raise
+    if not exists(spark, path):
+        return set()
+    rows = spark.read.schema(f"{BATCH} string").parquet(path)
     found = rows.where(F.col(BATCH) == batch).select("_metadata.file_path").distinct().collect()
     return {unquote(r["file_path"]) for r in found}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,16 @@ from pyspark.sql import types as T
 from perigee.sources.json_records import CORRUPT, read_records, with_corrupt
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("any string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns by name, in order, cast to the declared types."""
     absent = [f.name for f in schema if f.name not in df.columns]
