@@ -9,6 +9,8 @@ data too, though no base pattern knows them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,36 +56,27 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(twice, F.lit(0), lambda t, d: t + d) % 10 == 0
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """``start, end, kind, match`` of every valid match, in order; positions in code points, end exclusive.
+def _matches(texts: DataFrame, kind: str) -> DataFrame:
+    """``key, start, end, kind, match`` of every valid match in ``key, text``; positions in code points, end exclusive.
 
-    A match starts where the pieces between matches and the matches before it end.
+    Matches become rows, with the text between a match and the one before as a length, so where a match starts is a
+    running sum and a text takes time in proportion to its matches.
     """
-    pattern = PATTERNS[kind]
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    pieces = F.split(text, pattern, -1)
-    pair = F.zip_with(pieces, found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>").alias("spans"))
-
-    def add(state: Column, step: Column) -> Column:
-        begin = state["at"] + step["gap"]
-        end = begin + F.length(step["match"])
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("kind"), step["match"].alias("match"))
-        spans = F.when(_valid(kind, step["match"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    spans = F.aggregate(F.filter(pair, lambda p: p["match"].isNotNull()), start, add, lambda s: s["spans"])
+    pattern, text = PATTERNS[kind], F.col("text")
     has = F.instr(text, NEEDS[kind]) > 0 if kind == "email" else text.rlike(NEEDS[kind])
-    return F.when(has, spans).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>"))
+    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda p: p["match"].isNotNull())
+    rows = texts.filter(has).select("key", F.posexplode(pairs).alias("at", "pair")).select("key", "at", "pair.*")
+    upto = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(upto).cast("int"))
+    start = (F.col("end") - F.length("match")).alias("start")
+    return rows.filter(_valid(kind, F.col("match"))).select("key", start, "end", F.lit(KINDS.index(kind)).alias("kind"), "match")
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """Every column of ``docs`` and ``base``: the valid base spans, by start, then kind."""
-    text = F.coalesce("text", F.lit(""))
-    # only texts with a digit or an at sign can have any
-    spans = F.array_sort(F.concat(*(_matches(text, kind) for kind in KINDS)))
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>")
-    return docs.withColumn("base", F.when(text.rlike("[0-9@]"), spans).otherwise(empty))
+def base_spans(texts: DataFrame) -> DataFrame:
+    """``key, start, end, kind, match`` of the valid base spans of ``key, text``, a row for each."""
+    return reduce(DataFrame.union, (_matches(texts, kind) for kind in KINDS))
 
 
 def _candidates(docs: DataFrame) -> DataFrame:
@@ -114,19 +107,31 @@ def _candidates(docs: DataFrame) -> DataFrame:
     ).where("end > start")
 
 
-def bootstrapped(docs: DataFrame) -> DataFrame:
-    """``key, found``: spans of identifiers next to trusted patterns, for rows ``key, text, base``."""
-    words = saved(_candidates(docs.where(F.col("text").rlike(LOOK))), "pii-candidates")
-    words = words.join(docs.select("key", "base"), "key")
-    seed = F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
+def _seeds(words: DataFrame, base: DataFrame) -> DataFrame:
+    """``words`` with ``seed``: whether a base span of the same text shares a place with the word.
+
+    In order of place, a span at its start and a word at its end, a word shares a place with some span if one of those
+    before reaches beyond the word's start.
+    """
+    spans = base.select("key", F.col("start").alias("place"), F.col("end").alias("reach"))
+    placed = words.select("*", (F.col("end") - 1).alias("place"), F.lit(None).cast("int").alias("reach"))
+    both = placed.unionByName(spans, allowMissingColumns=True)
+    before = Window.partitionBy("key").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = both.withColumn("reached", F.max("reach").over(before)).filter("word IS NOT NULL")
+    return reached.select(*words.columns, F.coalesce(F.col("reached") > F.col("start"), F.lit(False)).alias("seed"))
+
+
+def bootstrapped(texts: DataFrame, base: DataFrame) -> DataFrame:
+    """``key, start, end, kind, match``: identifiers next to trusted patterns, for texts ``key, text`` and their base spans."""
+    words = saved(_candidates(texts.where(F.col("text").rlike(LOOK))), "pii-candidates")
+    words = _seeds(words, base)
     sides = F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after"))
-    words = words.select("key", "word", "start", "end", seed.alias("seed"), sides.alias("sides"))
+    words = words.select("key", "word", "start", "end", "seed", sides.alias("sides"))
     words = words.select("key", "word", "start", "end", "seed", F.explode("sides").alias("pattern"))
     words = saved(words.where("length(trim(substring(pattern, 2))) > 0"), "pii-words")
     trusted = saved(_trusted_patterns(words), "pii-patterns")
     hits = words.filter("NOT seed").join(trusted, "pattern", "left_semi")
-    span = F.struct("start", "end", F.lit(len(KINDS)).alias("kind"), F.col("word").alias("match"))
-    return hits.groupBy("key").agg(F.array_sort(F.collect_set(span)).alias("found"))
+    return hits.select("key", "start", "end", F.lit(len(KINDS)).alias("kind"), F.col("word").alias("match")).distinct()
 
 
 def _trusted_patterns(words: DataFrame) -> DataFrame:
@@ -149,8 +154,21 @@ def _trusted_patterns(words: DataFrame) -> DataFrame:
     return patterns.filter(F.col("trust") >= TRUSTED).select("pattern")
 
 
-#: Type of a list of spans.
-SPANS = "array<struct<start:int,end:int,kind:int,match:string>>"
+#: Type of a list of spans; the order of the fields is that of the spans.
+SPANS = "array<struct<start:int,kind:int,end:int,match:string>>"
+
+
+def _key() -> Column:
+    """128 bits of a row's doc_id and text: spans are those of the text."""
+    return F.md5(F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.coalesce("text", F.lit(""))))
+
+
+def _spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, text`` of the texts that may have personal data, and ``key, start, end, kind, match`` of all spans in them."""
+    some = docs.filter(F.col("text").rlike("[0-9@]")).select(_key().alias("key"), "text").dropDuplicates(["key"])
+    some = saved(some, "pii-texts")
+    base = saved(base_spans(some), "pii-base")
+    return some, saved(base.union(bootstrapped(some, base)), "pii-spans")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -158,19 +176,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     A span is ``start, end, kind, match`` with the kind's number; positions are code points, end exclusive.
     Null texts count as empty. Rows are told apart by doc_id and text, so rows with equal ids, repeated rows
-    and null ids get the spans of their own text.
+    and null ids get the spans of their own text. The spans of one text make one array.
     """
-    text = F.coalesce("text", F.lit(""))
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)
-    # only texts with a digit or an at sign can have personal data
-    some = docs.filter(text.rlike("[0-9@]")).select(key.alias("key"), "text").dropDuplicates(["key"])
-    some = saved(base_spans(some), "pii-base")
     none = F.array().cast(SPANS)
-    known = some.select("key", "base").join(bootstrapped(some), "key", "left")
-    known = known.select("key", "base", F.array_sort(F.concat("base", F.coalesce("found", none))).alias("spans"))
-    rows = docs.select(F.struct("*").alias("row"), key.alias("row_key"))
-    joined = rows.join(known, F.col("row_key") == F.col("key"), "left")
-    return joined.select("row", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
+    span = F.struct("start", "kind", "end", "match")
+    _, found = _spans(docs)
+    known = found.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    rows = docs.select(F.struct("*").alias("row"), _key().alias("row_key"))
+    joined = rows.join(known, F.col("row_key") == F.col("key"), "left").select("row", F.coalesce("spans", none).alias("spans"))
+    return joined.select("row", F.filter("spans", lambda s: s["kind"] < len(KINDS)).alias("base"), "spans")
 
 
 def count_of(spans: str, kind: str) -> Column:
@@ -187,21 +201,49 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
+#: Code points of a text that are redacted together.
+BLOCK = 4096
+
+
+def _redacted_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """``key, clean`` of the texts that have spans.
+
+    Spans that share places with one before are part of it. Texts are cut in blocks and blocks put together again, so a
+    text takes time in proportion to its length and its spans.
+    """
+    by = Window.partitionBy("key").orderBy("start", "kind", "end")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    heads = spans.withColumn("head", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("long"))
+    heads = heads.withColumn("group", F.sum("head").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    first = F.max(F.when(F.col("head") == 1, F.col("kind")))
+    whole = heads.groupBy("key", "group").agg(F.min("start").alias("start"), F.max("end").alias("end"), first.alias("kind"))
+    block = lambda c: F.floor(c / BLOCK).cast("int")
+    cut = whole.select("*", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))).alias("block"))
+    origin = F.col("block") * BLOCK
+    mark = F.when(block(F.col("start")) == F.col("block"), F.concat(F.lit("["), F.get(_names(), F.col("kind")), F.lit("]"))).otherwise("")
+    low, high = F.greatest(F.col("start") - origin, F.lit(0)), F.least(F.col("end") - origin, F.lit(BLOCK))
+    cut = cut.groupBy("key", "block").agg(F.array_sort(F.collect_list(F.struct(low.alias("low"), high.alias("high"), mark.alias("mark")))).alias("cuts"))
+    some = texts.join(spans.select("key").distinct(), "key", "left_semi")
+    parts = F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{BLOCK}}})"), 1)
+    blocks = some.select("key", F.posexplode(parts).alias("block", "part")).join(cut, ["key", "block"], "left")
+
+    def add(state: Column, c: Column) -> Column:
+        between = F.substring(F.col("part"), state["at"] + 1, c["low"] - state["at"])
+        return F.struct(c["high"].alias("at"), F.concat(state["text"], between, c["mark"]).alias("text"))
+
+    rest = lambda s: F.concat(s["text"], F.substring(F.col("part"), s["at"] + 1, F.lit(BLOCK)))
+    clean = F.coalesce(F.aggregate("cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), add, rest), F.col("part"))
+    ordered = F.array_sort(F.collect_list(F.struct("block", clean.alias("part"))))
+    return blocks.groupBy("key").agg(F.array_join(F.transform(ordered, lambda b: b["part"]), "").alias("clean"))
+
+
 def redacted(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with every span of personal data replaced by its kind in brackets; ``n_chars`` follows."""
-    text = F.col("row.text")
-
-    def add(state: Column, s: Column) -> Column:
-        mark = F.concat(F.lit("["), F.get(_names(), s["kind"]), F.lit("]"))
-        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        further = F.struct(s["end"].alias("at"), F.concat(state["text"], between, mark).alias("text"))
-        inside = F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["text"].alias("text"))
-        return F.when(s["start"] >= state["at"], further).otherwise(inside)
-
-    rest = lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text)))
-    clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), add, rest)
-    rows = personal_data(docs).withColumn("clean", F.when(F.size("spans") > 0, clean))
-    changed = {"text": F.coalesce("clean", text)}
+    texts, spans = _spans(docs)
+    known = _redacted_texts(texts, spans)
+    rows = docs.select(F.struct("*").alias("row"), _key().alias("row_key"))
+    rows = rows.join(known, F.col("row_key") == F.col("key"), "left").select("row", "clean")
+    changed = {"text": F.coalesce("clean", F.col("row.text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed["n_chars"] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
