@@ -10,6 +10,9 @@ such counts tells how alike two texts are.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,31 +86,75 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(equal, 1.0).otherwise(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0)))
 
 
+def added(a: Column, b: Column) -> Column:
+    """The vector of the paragraphs of both: inserts what ``b`` is the vector of."""
+    return _together(a, b, lambda x, y: x.cast("long") + y)
+
+
+def removed(a: Column, b: Column) -> Column:
+    """The vector of the paragraphs of ``a`` without those of ``b``, which must be among them."""
+    return _together(a, b, lambda x, y: x.cast("long") - y)
+
+
+def _together(a: Column, b: Column, how: Callable[[Column, Column], Column]) -> Column:
+    lanes = lambda name, mask: F.zip_with(a[name], b[name], lambda x, y: how(x, y).bitwiseAND(F.lit(mask).cast("long")).cast("int"))
+    return F.struct(lanes("check", CHECK_MASK).alias("check"), lanes("sketch", SKETCH_MASK).alias("sketch"))
+
+
+#: Bytes of text meant for a range, and shares of a repeated id's rows by which it is dealt to ranges.
+RANGE_BYTES, SHARES = 64 << 20, 64
+LOWEST = -(1 << 63)
+
+
+def _dealt_by() -> Column:
+    return F.shiftright("tie", 12)
+
+
+def _bounds(rows: DataFrame) -> list[tuple[int, int, float]]:
+    """Bounds of ranges of ``id, tie, salt``: as many as the bytes ask for, at least one for each task.
+
+    An id that fills several ranges is cut by ``tie``, rows that are alike in both by ``salt``. Percentiles are doubles, so
+    of ``tie`` only the first 52 bits take part, and ids are those with such a double.
+    """
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(tasks(rows.sparkSession), -(-size // RANGE_BYTES))
+    found = rows.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    times = Counter(found or [])
+    heavy = [i for i, n in times.items() if n > 1]
+    cut = F.percentile_approx(_dealt_by(), [k / SHARES for k in range(1, SHARES)], 10_000).alias("ties")
+    large = rows.filter(F.col("id").cast("double").isin([float(i) for i in heavy]))
+    ties = {r["id"]: r["ties"] for r in large.groupBy("id").agg(cut).collect()} if heavy else {}
+    bounds = {(i, LOWEST, 0.0) for i in times}
+    for i, among in ties.items():
+        n = next(n for v, n in times.items() if float(v) == float(i))
+        picked = Counter(among[min(len(among), max(1, round(k * SHARES / n))) - 1] for k in range(1, n))
+        for tie, alike in picked.items():
+            bounds |= {(i, tie, k / alike) for k in range(alike)}
+    return sorted(bounds)
+
+
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows`` (``id`` without nulls, ``tie``, others) with ``next``, the struct of ``columns`` of the row that
+    """``rows`` (``id`` without nulls, ``tie``, ``text``, others) with ``next``, the struct of ``columns`` of the row that
     follows by descending ``id, tie``; the first follows the last.
 
-    Rows are dealt to ranges of ids, and each range also gets the first row of the range below, so no task
-    sees more than one range. Bounds and first rows are as many as the ranges.
+    Rows are dealt to ranges of id, tie and a salt, and each range also gets the first row of the range below, so no task
+    sees more than one range. Rows alike in id and tie are alike in their texts, so any of them may follow the other.
+    Bounds and first rows are as many as the ranges.
     """
-    ranges = tasks(rows.sparkSession)
-    share = [k / ranges for k in range(1, ranges)] or [0.5]
-    bounds = rows.agg(F.percentile_approx("id", share, 10_000)).first()[0]
-    if bounds is None:
-        return rows.withColumn("next", F.struct(*columns))
-    bounds = sorted(set(bounds))
-    at = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("id")))
-    ranged = rows.withColumn("range", at)
+    rows = rows.withColumn("salt", F.rand(11))
+    bounds = _bounds(rows)
+    if not bounds:
+        return rows.withColumn("next", F.struct(*columns)).drop("salt")
+    marks = F.array(*(F.struct(F.lit(i).cast("long").alias("id"), F.lit(t).cast("long").alias("tie"), F.lit(s).alias("salt")) for i, t, s in bounds))
+    at = F.size(F.filter(marks, lambda b: b <= F.struct(F.col("id"), _dealt_by().alias("tie"), F.col("salt"))))
+    ranged = rows.withColumn("range", at).drop("salt")
     first = ranged.groupBy("range").agg(F.max(F.struct("id", "tie")).alias("top")).collect()  # one row per range
     tops = {r["range"]: tuple(r["top"]) for r in first}
     order = sorted(tops, reverse=True)
-    below = dict(zip(order, [*order[1:], order[0]], strict=True))
-    is_top = F.col("id").isin(sorted({t[0] for t in tops.values()}))
-    goes = F.create_map(*(F.lit(x) for above, b in below.items() for x in (f"{b}", above)))
-    is_first = F.col("tie") == F.create_map(*(F.lit(x) for r, t in tops.items() for x in (f"{r}", t[1])))[F.col("range").cast("string")]
-    is_first &= F.col("id") == F.create_map(*(F.lit(x) for r, t in tops.items() for x in (f"{r}", t[0])))[F.col("range").cast("string")]
-    extra = ranged.filter(is_top & is_first).dropDuplicates(["range", "id", "tie"])
-    extra = extra.withColumn("range", goes[F.col("range").cast("string")])
+    below = zip(order, [*order[1:], *order[:1]], strict=True)
+    moves = rows.sparkSession.createDataFrame([(b, *tops[b], above) for above, b in below], "range int, id long, tie long, above int")
+    extra = ranged.join(F.broadcast(moves), ["range", "id", "tie"]).dropDuplicates(["range", "id", "tie"])  # a row for each range
+    extra = extra.withColumn("range", F.col("above")).select(*ranged.columns)
     both = ranged.withColumn("extra", F.lit(0)).union(extra.withColumn("extra", F.lit(1)))
     by = Window.partitionBy("range").orderBy("extra", F.desc("id"), F.desc("tie"))
     following = both.withColumn("next", F.lead(F.struct(*columns)).over(by))

@@ -58,20 +58,27 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _clusters(nodes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """Unit centres by label and length of the vectors, fitted on a bounded sample of each."""
-    sizes = {(r[0], r[1]): r[2] for r in nodes.groupBy("label", F.size("vector").alias("size")).count().collect()}
-    total = sum(sizes.values())
-    wanted = {k: max(1, min(-(-n // SHARD), CLUSTERS_MOST * n // max(total, 1))) for k, n in sizes.items()}
-    share = min(1.0, FIT_ROWS / max(total, 1))
-    some = nodes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(FIT_ROWS)
-    rows = some.select("label", "vector").toPandas()
+    """Unit centres by label and length of the vectors, fitted on a bounded sample.
+
+    Only labels with several shards are in it, at most half as many as there may be clusters; all others have shard 0.
+    """
+    total = nodes.count()
+    counted = nodes.groupBy("label", F.size("vector").alias("size")).count()
+    large = counted.filter((F.col("count") > SHARD) & (F.col("count") * CLUSTERS_MOST >= 2 * total)).collect()
+    wanted = {(r["label"], r["size"]): min(-(-r["count"] // SHARD), CLUSTERS_MOST * r["count"] // total) for r in large}
+    if not wanted:
+        return {}
+    many = sum(r["count"] for r in large)
+    share = min(1.0, FIT_ROWS / many)
+    some = nodes.filter(F.col("label").isin(sorted({label for label, _ in wanted})))
+    some = some.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(FIT_ROWS)
+    rows = some.select("label", F.size("vector").alias("size"), "vector").toPandas()
     out = {}
-    for (label, size), k in wanted.items():
-        mine = [v for x, v in zip(rows["label"], rows["vector"], strict=True) if x == label and len(v) == size]
+    for key, mine in rows.groupby(["label", "size"]):
+        k = wanted.get(key, 1)
         if k == 1 or len(mine) <= k:
-            out[label, size] = np.zeros((1, size))
             continue
-        data = np.stack(mine)
+        data = np.stack(mine["vector"].tolist())
         centres = data[np.random.default_rng(5).choice(len(data), k, replace=False)]
         for _ in range(FIT_ROUNDS):
             near = (data @ centres.T).argmax(axis=1)
@@ -79,7 +86,7 @@ def _clusters(nodes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
                 if (near == c).any():
                     centre = data[near == c].sum(axis=0)
                     centres[c] = centre / max(np.linalg.norm(centre), 1e-12)
-        out[label, size] = centres
+        out[key] = centres
     return out
 
 
@@ -91,7 +98,8 @@ def _dealt(nodes: DataFrame, clusters: dict, most: int) -> DataFrame:
             labels, vectors = batch.column("label").to_pylist(), batch.column("vector").to_pylist()
             row, shard, turn = [], [], []
             for i, (label, vector) in enumerate(zip(labels, vectors, strict=True)):
-                near = np.argsort(-(clusters[label, len(vector)] @ np.array(vector)), kind="stable")[:most]
+                centres = clusters.get((label, len(vector)))
+                near = np.zeros(1, int) if centres is None else np.argsort(-(centres @ np.array(vector)), kind="stable")[:most]
                 row += [i] * len(near)
                 shard += near.tolist()
                 turn += range(len(near))
@@ -302,19 +310,22 @@ def _audited(nodes: DataFrame) -> DataFrame:
         many = min(most, 4 * many)
 
 
-def _recall(truth: DataFrame, counts: DataFrame) -> float:
-    """Mean share of an audited vector's true links that ``a, links`` has: the least over powers of four of their number."""
+def _recall(truth: DataFrame, counts: DataFrame) -> float | None:
+    """Mean share of an audited vector's true links that ``a, links`` has: the least over powers of four of their number.
+
+    None where no audited vector links: then nothing was measured.
+    """
     share = F.least("n", F.coalesce("links", F.lit(0))) / F.col("n")
     strata = truth.join(counts, "a", "left").groupBy(F.floor(F.log2("n") / 2)).agg(F.avg(share).alias("share"))
-    least = strata.agg(F.min("share")).first()[0]
-    return 1.0 if least is None else least
+    return strata.agg(F.min("share")).first()[0]
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (vec_id, embedding, label).
 
     Rows link within a label, and only vectors of the same length. Null labels, and vectors that are null,
-    empty, zero or hold null or non-finite components link with nothing. Equal vectors of a label are one
+    empty, zero or hold null or non-finite components link with nothing, nor do those whose sum of squares is beyond a
+    double or rounds to zero. Where none of the audited vectors links, all pairs are compared. Equal vectors of a label are one
     node, so groups of copies cost one row; each counts the others. Repeated rows count as copies. A null
     vec_id links with nothing, has a null component and is not kept. Other columns are not read.
     """
@@ -333,9 +344,15 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         found = saved(_links(nodes, clusters, members, probes, expansions), "vector-links")
         counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
         # all pairs of all shards are all there are
-        if (probes >= most and expansions is None) or _recall(truth, counts) >= LEAST_RECALL:
+        if probes >= most and expansions is None:
+            break
+        recall = _recall(truth, counts)
+        if recall is not None and recall >= LEAST_RECALL:
             break
-        probes, expansions = 2 * probes, 4 * EXPANSIONS if expansions == EXPANSIONS else None
+        if recall is None:  # links too rare to audit: take all pairs
+            probes, expansions = most, None
+        else:
+            probes, expansions = 2 * probes, 4 * EXPANSIONS if expansions == EXPANSIONS else None
     labels = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
     known = nodes.join(counts, F.col("rep") == F.col("a"), "left").join(labels, F.col("rep") == F.col("node"), "left")
     known = known.select(

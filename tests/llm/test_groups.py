@@ -201,3 +201,39 @@ def test_one_of_each_of_texts_that_share_an_id_and_a_fingerprint(spark):
         kept = simhash.one_of_each(documents(spark, [*order, None, ""], [4, 4, 4, 9, 8])).collect()
         assert [r.doc_id for r in kept if r.doc_id == 4] == [4] and len(kept) == 2
         assert {r.text for r in kept if r.doc_id == 4} == {min(a, upper, key=lambda t: hashlib.sha256(t.encode()).hexdigest())}
+
+
+def sparse_vectors(number, labels, size=16, pairs=()):
+    r = np.random.default_rng(8)
+    data = r.normal(size=(number, size))
+    for a, b in pairs:
+        data[b] = data[a] + 0.01 * r.normal(size=size)
+    return [(k, k % labels, [float(x) for x in row]) for k, row in enumerate(data)]
+
+
+def test_links_too_rare_to_be_audited_are_found(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "AUDITED", 3)
+    monkeypatch.setattr(vectors, "AUDIT_NUMBERS", 16)
+    monkeypatch.setattr(vectors, "ENTRIES", 1)
+    monkeypatch.setattr(vectors, "SHARD", 60)
+    pairs = [(10, 200), (52, 402)]
+    rows = [(i, 0, v) for i, _, v in sparse_vectors(500, 1, pairs=pairs)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.near_duplicates(df).collect()}
+    assert sorted(i for i, r in got.items() if r.n_links) == [10, 52, 200, 402]
+    assert got[200].component_id == 10 and got[402].component_id == 52
+
+
+def test_very_many_labels_and_columns_that_clash(spark):
+    rows = sparse_vectors(4_000, 2_000, size=4, pairs=[(0, 2_000), (7, 2_007), (8, 2_009)])
+    names = ("rep", "vector", "times", "shard", "part", "turn", "near", "a", "b", "links", "key", "l", "e", "square")
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    for name in names:
+        df = df.withColumn(name, F.lit("x"))
+    assert vectors._clusters(vectors.classes(df)) == {}
+    got = {r.vec_id: r for r in vectors.near_duplicates(df).collect()}
+    assert len(got) == 4_000 and got[2_000].component_id == 0 and got[2_007].component_id == 7 and got[2_009].component_id == 2_009
+    unit = {i: (label, np.array(v) / np.linalg.norm(v)) for i, label, v in rows}
+    for i in range(2_000):
+        a, b = unit[i], unit[i + 2_000]
+        assert got[i].n_links == int(a[1] @ b[1] >= 0.93)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_cases import documents, table
 
 import corpus_pipeline
@@ -51,6 +53,67 @@ def test_paragraphs_add_up_in_any_order(spark):
         assert [sum(p) % (1 << power) for p in parts] == list(rows[0][lanes])
 
 
+def test_paragraphs_are_inserted_and_deleted(spark):
+    df = documents(spark, ["a b\nc d\ne f g", "a b\ne f g", "c d"])
+    rows = multiset.sketched(df.select("doc_id", "text"), "text", ["doc_id"]).select("doc_id", "vector")
+    by = {k: rows.filter(f"doc_id = {k}").select(F.col("vector").alias(f"v{k}")) for k in range(3)}
+    one = by[0].join(by[1]).join(by[2])
+    same = one.select(
+        multiset.added(F.col("v1"), F.col("v2")) == F.col("v0"), multiset.removed(F.col("v0"), F.col("v2")) == F.col("v1"),
+        multiset.removed(F.col("v0"), F.col("v1")) == F.col("v2"), multiset.added(F.col("v0"), F.col("v2")) == F.col("v0"),
+    ).first()
+    assert tuple(same) == (True, True, True, False)
+
+
+def test_likeness_is_near_the_cosine_of_word_pairs(spark):
+    r = random.Random(2)
+    words = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(120):
+        first = [r.choice(words) for _ in range(300)]
+        cut = r.randint(0, 300)
+        texts += [" ".join(first), " ".join([*first[:cut], *(r.choice(words) for _ in range(300 - cut))])]
+    pairs = [Counter(zip(w, [*w[1:], ""], strict=True)) for w in (t.split() for t in texts)]
+    vectors = multiset.sketched(documents(spark, texts).select("doc_id", "text"), "text", ["doc_id"])
+    a = vectors.filter("doc_id % 2 = 0").select("doc_id", F.col("vector").alias("a"))
+    b = vectors.filter("doc_id % 2 = 1").select((F.col("doc_id") - 1).alias("doc_id"), F.col("vector").alias("b"))
+    errors = []
+    for row in a.join(b, "doc_id").select("doc_id", multiset.likeness(F.col("a"), F.col("b")).alias("near")).collect():
+        x, y = pairs[row.doc_id], pairs[row.doc_id + 1]
+        exact = sum(n * y[p] for p, n in x.items()) / (sum(n * n for n in x.values()) * sum(n * n for n in y.values())) ** 0.5
+        errors.append(abs(row.near - exact))
+    assert len(errors) == 120 and np.mean(errors) < 0.1 and max(errors) < 0.5
+
+
+@pytest.mark.parametrize("equal_texts", [False, True])
+def test_rows_without_ids_spread_over_ranges(spark, settings, equal_texts):
+    settings(shuffle__partitions=8)
+    texts = ["same text" if equal_texts and k % 2 else f"text {k} " * 3 for k in range(400)]
+    ids = [None if k % 2 else k for k in range(400)]
+    docs = documents(spark, texts, ids)
+    lowest = F.lit(multiset.LOWEST)
+    rows = docs.select(F.coalesce("doc_id", lowest).alias("id"), F.xxhash64("text").alias("tie"), "text").withColumn("salt", F.rand(3))
+    bounds = multiset._bounds(rows)
+    held = rows.collect()
+    sizes = Counter(sum(b <= (r.id, r.tie >> 12, r.salt) for b in bounds) for r in held)
+    assert max(sizes.values()) <= 130
+    following = {(r.id, r.tie, r.next.id, r.next.tie) for r in multiset.with_next(rows.drop("salt"), ["id", "tie"]).collect()}
+    order = sorted(((r.id, r.tie) for r in held), reverse=True)
+    assert following == {(*a, *b) for a, b in zip(order, [*order[1:], order[0]], strict=True)}
+    got = multiset.fingerprints(docs).collect()
+    assert len(got) == 400 and sorted(r.doc_id for r in got if r.doc_id is not None) == [i for i in ids if i is not None]
+    by_text = {(r.id, r.tie): r.text for r in held}
+    edited = lambda a, b: a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+    wanted = Counter(hashlib.sha256(edited(by_text[a], by_text[b]).encode()).hexdigest() for a, b in zip(order, [*order[1:], order[0]], strict=True))
+    assert Counter(r.edited_sha256 for r in got) == wanted
+
+
+def test_fingerprints_of_a_very_long_text(spark):
+    text = "word pair\n" * 300_000
+    rows = {r.doc_id: r for r in multiset.fingerprints(documents(spark, [text, "word pair", text])).collect()}
+    assert rows[0].n_chars == len(text) and rows[0].fingerprint == rows[2].fingerprint != rows[1].fingerprint
+
+
 def test_fingerprints_of_one_row_and_none(spark):
     one = multiset.fingerprints(documents(spark, ["abcd"])).first()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1
