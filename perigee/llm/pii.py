@@ -9,6 +9,7 @@ data too, though no base pattern knows them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -171,8 +172,10 @@ def _spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return some, saved(base.union(bootstrapped(some, base)), "pii-spans")
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
-    """``row, base, spans`` for every row of ``docs``: all its columns, the base spans, and all spans, by start and kind.
+def personal_data(docs: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """``row, base, spans`` for every row of ``docs``: its columns, the base spans, and all spans, by start and kind.
+
+    Only the given columns are kept and moved; whoever needs the spans alone saves moving the texts.
 
     A span is ``start, end, kind, match`` with the kind's number; positions are code points, end exclusive.
     Null texts count as empty. Rows are told apart by doc_id and text, so rows with equal ids, repeated rows
@@ -182,7 +185,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     span = F.struct("start", "kind", "end", "match")
     _, found = _spans(docs)
     known = found.groupBy("key").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    rows = docs.select(F.struct("*").alias("row"), _key().alias("row_key"))
+    rows = docs.select(F.struct(*columns).alias("row"), _key().alias("row_key"))
     joined = rows.join(known, F.col("row_key") == F.col("key"), "left").select("row", F.coalesce("spans", none).alias("spans"))
     return joined.select("row", F.filter("spans", lambda s: s["kind"] < len(KINDS)).alias("base"), "spans")
 

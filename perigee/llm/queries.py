@@ -92,7 +92,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pii.personal_data(documents(spark, sf_dir))
+    rows = pii.personal_data(documents(spark, sf_dir), ["doc_id"])
     counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
     digest = F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
     spans = pii.listed(F.col("spans")).alias("spans")
