@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from perigee.llm.windows import Windows, covered, sorted_order, with_runs
+from perigee.llm.windows import Windows, covered_with_repeats, sorted_order, with_runs
 
 #: Words of a window, and of the minimiser that decides where it is counted.
 WORDS, MINIMISER = 13, 4
@@ -25,7 +25,7 @@ def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
         words, removed = text.split(), 0
         n = len(words)
         if runs:
-            falls = covered(runs, n)
+            falls = covered_with_repeats(runs, words, spec.size)
             removed = int(falls.sum())
             words = [words[i] for i in np.flatnonzero(~falls).tolist()]
         return doc_id, n, removed, b" ".join(words).decode()

@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perigee.llm.common import tasks
+
 U = np.uint64
 #: Fixed odd multipliers for hashing; any would do.
 STEP, MIX_1, MIX_2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -35,6 +37,8 @@ BLOCK_BYTES = 1 << 20
 FLUSH_BYTES = 16 << 20
 #: Bytes of packed strings, or of texts, meant for one bucket.
 BUCKET_BYTES = 12 << 20
+#: Buckets of one partition, where there are more than enough for the tasks.
+PARTITION_BUCKETS = 16
 #: Compression of what travels.
 LEVEL = 5
 #: Strings of a bucket compared at once; more only if they share one anchor.
@@ -171,17 +175,32 @@ class Strings:
 
 
 def merged(strings: Strings, spec: Windows) -> tuple[Strings, list[np.ndarray]]:
-    """The strings less later copies of equal ones, and the runs that fall with those copies."""
+    """The strings less later copies of equal ones, and the runs that fall with those copies.
+
+    Where only other documents count, a document's own copies of a string share its fate: one stays for all, and a run of
+    no length says that the document repeats itself.
+    """
     same = pa.array(strings.texts, pa.large_binary()).dictionary_encode().indices.to_numpy()
-    order = np.lexsort((strings.starts, strings.ids, same))
+    order = np.lexsort((strings.starts, *([strings.tags] if spec.strict else []), strings.ids, same))
     first = np.ones(len(order), bool)
     first[1:] = same[order[1:]] != same[order[:-1]]
     # none precedes itself: repeated rows, and what a document repeats if only other documents count
     leader = np.repeat(order[first], np.diff(np.append(np.flatnonzero(first), len(order))))
-    first |= (strings.ids[order] == strings.ids[leader]) & (spec.strict | (strings.starts[order] == strings.starts[leader]))
-    later = order[~first]
+    alike = strings.ids[order] == strings.ids[leader]
+    if spec.strict:
+        again = np.zeros(len(order), bool)
+        again[1:] = ~first[1:] & alike[1:] & (strings.tags[order[1:]] == strings.tags[order[:-1]])
+        first |= alike
+    else:
+        again = np.zeros(len(order), bool)
+        first |= alike & (strings.starts[order] == strings.starts[leader])
+    later, own = order[~first], order[again]
     runs = [strings.ids[later], strings.tags[later], strings.starts[later], strings.counts[later] + spec.size - 1]
-    return strings.take(np.sort(order[first])), runs
+    if len(own):
+        marks = np.unique(np.stack([strings.ids[own], strings.tags[own]]), axis=1)
+        none = np.zeros(marks.shape[1], np.int64)
+        runs = [np.append(r, m) for r, m in zip(runs, (*marks, none, none), strict=True)]
+    return strings.take(np.sort(order[first & ~again])), runs
 
 
 class Cutter:
@@ -414,14 +433,26 @@ def sorted_order(anchor: np.ndarray, side: np.ndarray) -> np.ndarray:
 # ---- the whole
 
 
+#: An anchor with fewer strings in a flush is sent as if it had as many, with a chance of its share of them.
+SENT = 16
+
+
 def _anchor_weights(spec: Windows) -> Callable:
-    """Per task: anchors of many different strings, with the number of those."""
+    """Per task: anchors with the number of their different strings.
+
+    Few strings are counted by chance, which the anchor and the flush decide: ``n`` strings of an anchor are counted as
+    ``n`` on average, with a deviation below the square root of ``SENT * n`` however they are spread over flushes. That is
+    some hundredths of the numbers that make an anchor heavy, and takes a sixteenth of the rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, goes, _ in _flushed(Cutter(spec, np.empty(0, U)).blocks(batches), spec):
+        for strings, goes, _ in _flushed(Cutter(spec, np.empty(0, U)).blocks(batches), spec):
             found, counts = np.unique(goes, return_counts=True)
-            many = counts >= 16
-            yield pa.RecordBatch.from_arrays([pa.array(found[many].view(np.int64)), pa.array(counts[many])], names=["goes", "n"])
+            flush = np.array([int(strings.ids[0]) * 31 + int(strings.starts[0]) & (1 << 63) - 1], U) if len(goes) else np.zeros(1, U)
+            chance = (mixed(found ^ mixed(flush + STEP)) % U(SENT)).astype(np.int64)
+            sent = counts > chance
+            counts = np.maximum(counts, SENT)[sent]
+            yield pa.RecordBatch.from_arrays([pa.array(found[sent].view(np.int64)), pa.array(counts)], names=["goes", "n"])
 
     return run
 
@@ -484,12 +515,17 @@ def falling_runs(docs: DataFrame, spec: Windows, order: Callable, total: int) ->
 
     return (
         docs.mapInArrow(cut, "bucket long, id long, tag int, data binary")
-        .repartition(buckets, "bucket")
+        .repartition(_partitions(docs, buckets), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(solve, "id long, tag int, data binary")
     )
 
 
+def _partitions(docs: DataFrame, buckets: int) -> int:
+    """Partitions that buckets are dealt to: several buckets in one, but enough for all tasks. One bucket is held at a time."""
+    return max(min(buckets, 4 * tasks(docs.sparkSession)), math.ceil(buckets / PARTITION_BUCKETS))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, id, tag, text``: an id without nulls, and a tag that tells rows with the same id apart."""
     return docs.select(
@@ -529,7 +565,7 @@ def with_runs(docs: DataFrame, spec: Windows, order: Callable, finish: Callable,
 
         yield from _batches(results(), _arrow(schema))
 
-    both = texts.union(runs).repartition(places, "place").sortWithinPartitions("place")
+    both = texts.union(runs).repartition(_partitions(docs, places), "place").sortWithinPartitions("place")
     return both.mapInArrow(done, schema)
 
 
@@ -577,3 +613,39 @@ def covered(runs: list[bytes] | None, n: int) -> np.ndarray:
         np.add.at(edge, pairs[:, 0], 1)
         np.add.at(edge, pairs.sum(axis=1), -1)
     return np.cumsum(edge[:-1]) > 0
+
+
+def window_classes(tokens: list[bytes], size: int) -> np.ndarray:
+    """A number for each window of ``size`` tokens, equal where the windows are: pairs of numbers of shorter windows get numbers."""
+
+    def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+    names = pa.array(tokens, pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+    length = 1
+    while 2 * length <= size:
+        names = paired(names[:-length], names[length:])
+        length *= 2
+    rest = size - length
+    return paired(names[: len(names) - rest], names[rest:]) if rest else names
+
+
+def covered_with_repeats(runs: list[bytes] | None, tokens: list[bytes], size: int) -> np.ndarray:
+    """``covered``, and for a document that repeats itself also the windows that are equal to one that falls."""
+    n, pairs = len(tokens), [np.frombuffer(data, "<u4").astype(np.int64).reshape(-1, 2) for data in runs or ()]
+    if not any((p[:, 1] == 0).any() for p in pairs) or not any((p[:, 1] > 0).any() for p in pairs):
+        return covered(runs, n)
+    edge = np.zeros(n - size + 2, np.int64)
+    for p in pairs:
+        p = p[p[:, 1] > 0]
+        np.add.at(edge, p[:, 0], 1)
+        np.add.at(edge, p.sum(axis=1) - size + 1, -1)
+    fallen = np.cumsum(edge[:-1]) > 0
+    classes = window_classes(tokens, size)
+    falls = np.zeros(int(classes.max(initial=0)) + 1, bool)
+    falls[classes[fallen]] = True
+    starts = np.flatnonzero(falls[classes])
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + size, -1)
+    return np.cumsum(edge[:-1]) > 0

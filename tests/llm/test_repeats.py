@@ -94,3 +94,59 @@ def test_equal_strings_of_a_task_travel_once():
     strings, _, = cutter.strings(pieces)[:2]
     kept, runs = windows.merged(strings, spec)
     assert len(strings) == 1000 * len(kept) and len(runs[0]) == len(strings) - len(kept)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_documents_that_repeat_themselves(spark, monkeypatch, seed):
+    monkeypatch.setattr(windows, "FLUSH_BYTES", 3000)
+    monkeypatch.setattr(windows, "BUCKET_BYTES", 6000)
+    r = np.random.default_rng(seed)
+    passages = [" ".join(r.choice(list("abc"), 20)) for _ in range(4)]
+    some = ["a " * 400, "b " * 3000, "a " * 700, "a b " * 300]
+    some += [" ".join([passages[k] for k in r.integers(0, 4, 12)] + [f"w{i}"] * 15) for i in range(25)]
+    some += [passages[0] + " c " + passages[0], "a " * 12]
+    ids = [None if i % 9 == 4 else i for i in range(len(some))]
+    check_words(documents(spark, [*some, some[1], some[3]], [*ids, 1, None]).repartition(3))
+
+
+def test_a_documents_own_copies_travel_once():
+    spec = Windows(13, 4, True, True)
+    cutter = windows.Cutter(spec, np.empty(0, np.uint64))
+    pieces = [(5, 0, *p) for p in cutter.pieces("a " * 50_000)] + [(5, 1, *p) for p in cutter.pieces("a " * 300)]
+    strings = cutter.strings(pieces)[0]
+    kept, runs = windows.merged(strings, spec)
+    assert len(strings) > 50_000 and len(kept) == 2 and sorted(kept.tags.tolist()) == [0, 1]
+    assert [list(r) for r in runs] == [[5, 5], [0, 1], [0, 0], [0, 0]]
+
+
+def test_ten_million_equal_words_in_little_memory():
+    spec, words = Windows(13, 4, True, True), 10_000_000
+    cutter = windows.Cutter(spec, np.empty(0, np.uint64))
+    blocks = ((*cutter.strings([(7, 0, *p)])[:2],) for p in cutter.pieces("a " * words))
+    left = [len(kept) for kept, _, _ in windows._flushed(((s, g) for s, g in blocks), spec)]
+    assert max(left) == 1 and len(left) >= 10
+    data = np.array([[0, 0], [5, 13]], "<u4").tobytes()
+    assert windows.covered_with_repeats([data], [b"a"] * 1_000_000, 13).all()
+
+
+def test_classes_of_windows():
+    r = np.random.default_rng(3)
+    tokens = [bytes([x]) for x in r.integers(97, 99, 500)]
+    for size in (1, 2, 3, 8, 13):
+        classes = windows.window_classes(tokens, size)
+        seen = [tuple(tokens[i : i + size]) for i in range(500 - size + 1)]
+        assert len(classes) == len(seen) and len(set(classes.tolist())) == len(set(seen)) == len(set(zip(seen, classes.tolist(), strict=True)))
+
+
+def test_anchors_are_counted_without_a_floor(monkeypatch):
+    """An anchor with few strings in every flush adds up to about their number."""
+    spec, sums = Windows(13, 4, True, True), 0
+    flushes = []
+    for k in range(400):
+        ids = np.full(3, k)
+        columns = [ids, np.zeros(3, int), np.arange(3), np.ones(3, int), np.zeros(3, int)]
+        flushes.append((windows.Strings.of(columns, [f"{k} {i}".encode() for i in range(3)]), np.full(3, 12345, np.uint64), None))
+    monkeypatch.setattr(windows, "_flushed", lambda *_: iter(flushes))
+    for batch in windows._anchor_weights(spec)(iter(())):
+        sums += sum(batch.column(1).to_pylist())
+    assert abs(sums - 1200) < 5 * (windows.SENT * 1200) ** 0.5
