@@ -5,15 +5,17 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tests_llm_cases import documents, table
 
 import corpus_pipeline
-from perigee.llm import multiset, pii, quality, toxicity
+from perigee.llm import mixing, multiset, pii, quality, toxicity
 from perigee.llm.labelled import held_out, sample
 from perigee.llm.queries import QUERIES
 
@@ -276,8 +278,6 @@ def test_classifiers_without_labels_or_rows(spark):
 
 
 def test_held_out_rows_by_checksum(spark):
-    import zlib
-
     rows = spark.range(200).select("id", held_out(multiset.F.col("id"), 3, 1).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
 
@@ -407,6 +407,80 @@ def test_pipeline_stages_hand_on_documents(spark):
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def simhash_by_hand(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    width = min(4, len(words))
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + width]).encode(), 42) for i in range(len(words) - width + 1)] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_pipeline_rows_are_those_of_plain_stages(spark):
+    """run() against the five stages in plain Python, which take the learned weights, the spans and the copies as given."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    table_ = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = [r.asDict() for r in table_.collect()]
+    scorer = toxicity.Scorer(toxicity.learned(table_, spark.read.parquet(f"{SF}/labels.parquet")))
+    docs = [d for d in docs if scorer.score(d["text"]) < 0.7]
+    prints = {d["doc_id"]: simhash_by_hand(d["text"]) for d in docs}
+    left, kept = set(prints), set()
+    while left:
+        head = min(left)
+        group, front = {head}, [head]
+        while front:
+            at = front.pop()
+            near = {i for i in left - group if (prints[i] ^ prints[at]).bit_count() <= 4}
+            group |= near
+            front += near
+        kept.add(head)
+        left -= group
+    docs = [d for d in docs if d["doc_id"] in kept]
+    frame = spark.createDataFrame([tuple(d.values()) for d in docs], table_.schema)
+    spans = {r.doc_id: r.spans for r in pii.personal_data(frame, ["doc_id"]).select("row.doc_id", "spans").collect()}
+    names = (*pii.KINDS, pii.FOUND)
+    for d in docs:
+        own = [(s.start, s.end, s.kind) for s in spans[d["doc_id"]]]
+        found = {(names[k], a, b) for a, b, k in own if k < len(pii.KINDS)}
+        assert found == set(base(d["text"] or ""))
+        if own:
+            d["text"] = redacted_by_hand(d["text"], own)
+            d["n_chars"] = len(d["text"])
+    frame = spark.createDataFrame([tuple(d.values()) for d in docs], table_.schema)
+    copies = {r.doc_id: r.copies for r in mixing.mix(frame).collect()}
+    coder = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    wanted = Counter()
+    for d in docs:
+        ids = [*coder.encode(d["text"] or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            crc = zlib.crc32(np.array(part, "<u4").tobytes())
+            wanted[d["doc_id"], piece, start, len(part), crc] += copies[d["doc_id"]]
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == +wanted
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sequences.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 2048
+
+
+def test_pipeline_of_repeated_ids_and_of_no_documents(spark, tmp_path):
+    a, b = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine"
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    for name, rows in (("odd", [(2, a), (5, a), (5, b), (7, b), (None, a), (9, None), (11, "")]), ("none", [])):
+        docs = [(i, t, "en", "web", None if t is None else len(t)) for i, t in rows]
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    held = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()}
+    assert held == {2, 5, None, 9}
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 @pytest.mark.parametrize("number", range(1, 11))
 def test_each_operator_has_a_query(number):
     assert sum(name.startswith(f"op{number}_") for name in QUERIES) == 1
