@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from perigee.functions.expressions import coverage_from_count, planar_distance_k
 from perigee.functions.times import hour_start
 from perigee.model import WINDOW_START
 from perigee.operators.skew import grouped_lookup
+from perigee.session import shared_folder
 
 
 def align_region(coverage: DataFrame) -> DataFrame:
@@ -81,6 +83,85 @@ def dashboard_view(coverage_stats: DataFrame, performance_stats: DataFrame) -> D
     return coverage.join(performance, ["region_id", WINDOW_START], "left")
 
 
+#: Regions that a cell may have before it is split, and how often cells are split at most.
+CELL_REGIONS, SPLITS = 64, 40
+
+
+@dataclass(frozen=True)
+class RegionCells:
+    """Regions in cells that are as fine as the regions are dense.
+
+    ``levels`` has the cells of each level: ``cell``, the ``parent`` it is part of, bounds of its regions, and whether it
+    is a ``leaf``; ``members`` has the regions of every cell. A cell is split in four until it has few regions or all its
+    regions are in one place.
+    """
+
+    levels: list[DataFrame]
+    members: DataFrame
+
+
+def region_cells(regions: DataFrame, width: float, most: int = CELL_REGIONS) -> RegionCells:
+    """Cells of the plane ``width`` degrees wide and their parts, for rows ``region_id, latitude, longitude``."""
+    spark = regions.sparkSession
+    shared_folder(spark)
+    sound = F.col("latitude").between(-1e6, 1e6) & F.col("longitude").between(-1e6, 1e6)
+    active = regions.where(sound).select("region_id", F.col("latitude").alias("_lat0"), F.col("longitude").alias("_lon0"))
+    levels, members = [], []
+    for level in range(SPLITS + 1):
+        # scaling by powers of two is exact, so cells nest
+        place = lambda c, k: F.floor(F.col(c) / width * 2.0**k).cast("string")
+        name = lambda k: F.concat_ws(":", F.lit(k), place("_lat0", k), place("_lon0", k))
+        named = active.withColumns({"cell": name(level), "parent": name(level - 1)})
+        alone = (F.col("south") == F.col("north")) & (F.col("west") == F.col("east"))
+        cells = named.groupBy("cell", "parent").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_lat0").alias("south"), F.max("_lat0").alias("north"), F.min("_lon0").alias("west"), F.max("_lon0").alias("east")
+        )
+        cells = cells.withColumn("leaf", (F.col("_n") <= most) | alone | F.lit(level == SPLITS)).drop("_n").checkpoint()
+        levels.append(cells)
+        members.append(named.select("cell", "region_id", "_lat0", "_lon0"))
+        large = cells.where("NOT leaf").select("cell")
+        if large.isEmpty():
+            break
+        active = named.join(large, "cell", "left_semi").drop("cell", "parent").checkpoint()
+    return RegionCells(levels, reduce(DataFrame.union, members))
+
+
+def _judged_cells(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_state`` of a position and a cell: all regions in range, none, some of a leaf, or to be split.
+
+    The distance grows with both differences of coordinates, in floating point too, so no region of a cell is farther
+    than its farthest corner or nearer than its nearest point.
+    """
+    clamp = lambda c, low, high: F.least(F.greatest(F.col(c), F.col(low)), F.col(high))
+    far = lambda c, low, high: F.when(F.abs(F.col(c) - F.col(low)) > F.abs(F.col(c) - F.col(high)), F.col(low)).otherwise(F.col(high))
+    to = lambda how: planar_distance_km(F.col("_lat"), F.col("_lon"), how("_lat", "south", "north"), how("_lon", "west", "east"))
+    reach = fixed.VISIBLE_RANGE_KM
+    state = F.when(to(far) < reach, "all").when(to(clamp) >= reach, "none").when(F.col("leaf"), "some").otherwise("split")
+    return rows.withColumn("_state", state).where("_state <> 'none'")
+
+
+_BOUNDS = ("south", "north", "west", "east", "leaf")
+
+
+def positions_in_cells(seen: DataFrame, cells: RegionCells, width: float) -> DataFrame:
+    """``seen`` (``_lat, _lon``, others) with ``cell`` and ``_state``: the cells of which a position reaches all regions, and the
+    leaves of which it may reach some. A position goes down only where the edge of its range crosses a cell."""
+    around = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    place = lambda k: F.split("cell", ":")[k].cast("long")
+    roots = cells.levels[0].withColumn("_by", F.explode(around)).withColumn("_row", place(1) + F.col("_by"))
+    roots = roots.withColumn("_by", F.explode(around)).withColumn("_column", place(2) + F.col("_by")).drop("_by", "parent")
+    at = lambda c: F.floor(F.col(c) / width)
+    rows = seen.withColumns({"_row": at("_lat"), "_column": at("_lon")}).join(roots, ["_row", "_column"]).drop("_row", "_column")
+    rows = _judged_cells(rows)
+    for level in cells.levels[1:]:
+        parts = level.select(F.col("cell").alias("_part"), "parent", *(F.col(c).alias(f"_{c}") for c in _BOUNDS))
+        down = (F.col("_state") == "split") & (F.col("cell") == F.col("parent"))
+        rows = rows.join(parts, down, "left")
+        rows = rows.withColumns({c: F.coalesce(f"_{c}", c) for c in _BOUNDS} | {"cell": F.coalesce("_part", "cell")})
+        rows = _judged_cells(rows.drop("_part", "parent", "_state", *(f"_{c}" for c in _BOUNDS)))
+    return rows.drop(*_BOUNDS)
+
+
 def region_coverage_from_positions(
     positions: DataFrame,
     regions: DataFrame | Sequence[tuple[str, str, float, float]] = fixed.REGIONS,
@@ -89,32 +170,26 @@ def region_coverage_from_positions(
 ) -> DataFrame:
     """Coverage of each region at each time, from the positions of the satellites then in range.
 
-    ``regions`` has ``region_id, region_name, latitude, longitude``. Regions and positions meet by cells of
-    the plane as wide as the range, a region in its own cell and the eight around it, so a position is
-    only measured against regions near it. Every time gets a row for each region, with 0 where nothing
-    is in range: the regions are gathered once for that, as many as a result row for one time has.
+    ``regions`` has ``region_id, region_name, latitude, longitude``. Regions lie in cells as wide as the range, split where they
+    are dense. A position is counted for a whole cell if it reaches all of its regions; it is measured against single
+    regions only in leaves that the edge of its range crosses. Every time gets a row for each region, with 0 where
+    nothing is in range: the regions are gathered once for that, as many as a result row for one time has.
     """
     spark = positions.sparkSession
     if not isinstance(regions, DataFrame):
         places = [(i, n, float(a), float(b)) for i, n, a, b in regions]
         regions = spark.createDataFrame(places, "region_id string, region_name string, latitude double, longitude double")
     width = fixed.VISIBLE_RANGE_KM / fixed.KM_PER_DEGREE
-    cell = lambda degrees: F.floor(degrees / width)
     tick = hour_start(F.col(time_col)) if hourly else F.col(time_col)
     seen = positions.select(tick.alias(time_col), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
     sound = F.col("_lat").between(-1e6, 1e6) & F.col("_lon").between(-1e6, 1e6)
-    seen_cells = seen.where(sound).withColumns({"_row": cell(F.col("_lat")), "_column": cell(F.col("_lon"))})
-    around = F.array(*(F.lit(k) for k in (-1, 0, 1)))
-    region_cells = (
-        regions.select("region_id", F.col("latitude").alias("_lat0"), F.col("longitude").alias("_lon0"))
-        .withColumn("_by", F.explode(around))
-        .withColumn("_row", cell(F.col("_lat0")) + F.col("_by"))
-        .withColumn("_by", F.explode(around))
-        .withColumn("_column", cell(F.col("_lon0")) + F.col("_by"))
-    )
+    cells = region_cells(regions, width)
+    reached = positions_in_cells(seen.where(sound), cells, width)
+    single = lambda c: F.when(F.col("_state") == "some", F.col(c)).alias(c)
+    hits = reached.groupBy(time_col, "cell", single("_lat"), single("_lon")).agg(F.count(F.lit(1)).alias("_hits"))
     distance = planar_distance_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0"))
-    near = seen_cells.join(region_cells, ["_row", "_column"]).where(distance < fixed.VISIBLE_RANGE_KM)
-    counted = near.groupBy(time_col, "region_id").agg(F.count(F.lit(1)).alias("satellite_count"))
+    near = hits.join(cells.members, "cell").where(F.col("_lat").isNull() | (distance < fixed.VISIBLE_RANGE_KM))
+    counted = near.groupBy(time_col, "region_id").agg(F.sum("_hits").alias("satellite_count"))
     every = regions.agg(F.collect_list(F.struct("region_id", "region_name"))).scalar()
     grid = seen.select(time_col).distinct().select(time_col, F.inline(every))
     same = counted.withColumnsRenamed({time_col: "_tick", "region_id": "_region"})

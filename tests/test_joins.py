@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,53 @@ def test_region_coverage_of_a_table_of_many_regions(spark):
     assert found == brute_force_coverage(positions, regions)
 
 
+def crowded(number, seed=5):
+    """Regions in one area, thousands of them in one place, and some elsewhere; positions near the edge of their range too."""
+    r = np.random.default_rng(seed)
+    lat, lon = 40 + r.random(number), 5 + r.random(number)
+    lat[: number // 20], lon[: number // 20] = 40.25, 5.75
+    lat[-50:], lon[-50:] = r.uniform(-90, 90, 50), r.uniform(-180, 180, 50)
+    angle, reach = r.uniform(0, 2 * np.pi, 60), r.choice([3.0, 17.0, 17.9, 18.02, 18.4, 25.0], 60)
+    at_lat, at_lon = 40.5 + reach * np.sin(angle), 5.5 + reach * np.cos(angle)
+    exact = 2000.0 / 111.0
+    at_lat, at_lon = np.append(at_lat, [40.25, 40.25, 40.25]), np.append(at_lon, [5.75 + exact, np.nextafter(5.75 + exact, 0), 5.75])
+    return lat, lon, at_lat, at_lon
+
+
+def test_regions_crowded_in_one_area_are_not_all_compared(spark):
+    number = 100_000
+    lat, lon, at_lat, at_lon = crowded(number)
+    regions = spark.createDataFrame(pd.DataFrame({"region_id": [f"r{k}" for k in range(number)], "region_name": "r", "latitude": lat, "longitude": lon}))
+    positions = spark.createDataFrame(pd.DataFrame({"latitude": at_lat, "longitude": at_lon})).withColumn("timestamp", F.lit(T0))
+    got = {r.region_id: r.satellite_count for r in joins.region_coverage_from_positions(positions, regions).collect()}
+    dlat, dlon = at_lat[:, None] - lat, at_lon[:, None] - lon
+    wanted = (np.sqrt(dlat * dlat + dlon * dlon) * 111.0 < 2000.0).sum(axis=0)
+    assert len(got) == number and all(got[f"r{k}"] == n for k, n in enumerate(wanted.tolist()))
+    width = 2000.0 / 111.0
+    cells = joins.region_cells(regions, width)
+    seen = positions.select(F.monotonically_increasing_id().alias("p"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
+    reached = joins.positions_in_cells(seen, cells, width)
+    single = reached.where("_state = 'some'").join(cells.members, "cell").groupBy("p").count()
+    assert max([r["count"] for r in single.collect()]) < number // 10
+    assert max(r["count"] for r in reached.groupBy("p").count().collect()) < 1_000
+    assert max(r["count"] for r in cells.levels[-1].join(cells.members, "cell").groupBy("cell").count().collect()) <= number // 20 + joins.CELL_REGIONS
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_cells_split_down_to_single_regions(spark, monkeypatch, most):
+    monkeypatch.setattr(joins, "CELL_REGIONS", most)
+    monkeypatch.setattr(joins.region_cells, "__defaults__", (most,))
+    lat, lon, at_lat, at_lon = crowded(300, seed=most)
+    regions = [(f"r{k}", "r", float(a), float(b)) for k, (a, b) in enumerate(zip(lat, lon, strict=True))] + [("none", "n", None, 1.0)]
+    positions = [(T0 if k % 2 else T1, float(a), float(b)) for k, (a, b) in enumerate(zip(at_lat, at_lon, strict=True))]
+    df = spark.createDataFrame(positions, "timestamp timestamp, latitude double, longitude double")
+    table = spark.createDataFrame(regions, "region_id string, region_name string, latitude double, longitude double")
+    got = {(r.region_id, r.timestamp): r.satellite_count for r in joins.region_coverage_from_positions(df, table).collect()}
+    wanted = brute_force_coverage(positions, regions[:-1])
+    assert {k: n for k, n in got.items() if k[0] != "none"} == {k: v[2] for k, v in wanted.items()}
+    assert got["none", T0] == 0
+
+
 def test_first_per_key_does_not_depend_on_order(spark):
     data = [("a", 2, None), ("a", 1, "x"), ("a", 1, None), ("b", None, "z"), ("b", 0, "y")]
     for ordered in (data, data[::-1]):
