@@ -26,7 +26,7 @@ from perigee.model import (
     WINDOW_START,
 )
 from perigee.operators import cleaning, joins, partials, quarantine, rollups, serving, spine
-from perigee.plans.batch import BatchConfig, load_all, run_batch, stored_partials
+from perigee.plans.batch import BatchConfig, load_all, run_batch, side_by_side, stored_partials
 from perigee.plans.reconcile import reconciled
 from perigee.plans.transform import transform_all
 from perigee.session import fresh_folder, shared_folder, use_utc
@@ -93,11 +93,15 @@ def stored_stats(spark, sf, *tables):
     """Statistics tables rolled up once, written and scanned, as reports read them, and the newest window
     start among them, a literal."""
     root = fresh_folder(spark, "stats")
-    for table in tables:
+
+    def store(table):
         write_parquet(typed_stats(spark, sf, table)[0], f"{root}/{table.name}")
-    scans = [processed.scan_stats(spark, root, t).drop(CREATED_AT) for t in tables]
-    scans = [s.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (WINDOW_START, WINDOW_END)}) for s in scans]
-    newest = [s.agg(F.max(WINDOW_START)).first()[0] for s in scans]
+        scan = processed.scan_stats(spark, root, table).drop(CREATED_AT)
+        scan = scan.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (WINDOW_START, WINDOW_END)})
+        return scan, scan.agg(F.max(WINDOW_START)).first()[0]
+
+    done = side_by_side(spark, {t.name: lambda t=t: store(t) for t in tables})
+    scans, newest = zip(*(done[t.name] for t in tables), strict=True)
     return *scans, max(n for n in newest if n)
 
 
@@ -578,6 +582,20 @@ def region_coverage_from_positions(spark, sf):
     return joins.region_coverage_from_positions(telemetry(spark, sf), time_col="ts", hourly=True)
 
 
+@query
+def region_coverage_of_crowded_regions(spark, sf):
+    """A region for each customer, all within four degrees, and the positions of each day."""
+    key = F.col("c_custkey")
+    places = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.concat(F.lit("C"), key.cast("string")).alias("region_id"),
+        F.col("c_name").alias("region_name"),
+        (F.lit(30.0) + (key * 37 % 1000).cast("double") / 500.0).alias("latitude"),
+        (F.lit(10.0) + (key * 91 % 1009).cast("double") / 300.0).alias("longitude"),
+    )
+    days = telemetry(spark, sf).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    return joins.region_coverage_from_positions(days, places, time_col="ts")
+
+
 @query
 def insert_absent_rows(spark, sf):
     """Single observations as the batch (many per key), rows of the first half held already."""

@@ -419,6 +419,29 @@ UNION ALL SELECT 'cleaned', count(*) FROM sound""",
   coalesce(c.ts, p.ts) AS ts, c.region_name, c.coverage_percentage, c.satellite_count,
   c.avg_signal_strength, p.latency_ms, p.throughput_mbps, p.availability_percentage
 FROM coverage c FULL OUTER JOIN performance p ON c.region_id = p.region AND c.ts = p.ts""",
+    "region_coverage_of_crowded_regions": (
+        """,
+places AS (
+  SELECT concat('C', c_custkey) AS region_id, c_name AS region_name,
+         30.0::DOUBLE + CAST(c_custkey * 37 % 1000 AS DOUBLE) / 500.0::DOUBLE AS lat0,
+         10.0::DOUBLE + CAST(c_custkey * 91 % 1009 AS DOUBLE) / 300.0::DOUBLE AS lon0
+  FROM customer
+),
+days AS (SELECT DISTINCT date_trunc('day', ts) AS ts FROM telemetry),
+seen AS (SELECT date_trunc('day', ts) AS ts, latitude, longitude, count(*) AS n FROM telemetry GROUP BY ALL),
+near AS (
+  SELECT region_id, ts, sum(n) AS n FROM seen JOIN places
+    ON sqrt((latitude - lat0) * (latitude - lat0) + (longitude - lon0) * (longitude - lon0)) * 111.0::DOUBLE < 2000.0::DOUBLE
+  GROUP BY region_id, ts
+),
+counted AS (
+  SELECT p.region_id, p.region_name, d.ts, CAST(coalesce(n.n, 0) AS BIGINT) AS satellite_count
+  FROM days d CROSS JOIN places p LEFT JOIN near n ON n.region_id = p.region_id AND n.ts = d.ts
+)""",
+        "SELECT *, "
+        + r2("least(100.0::DOUBLE, CAST(satellite_count AS DOUBLE) / 10.0::DOUBLE * 100.0::DOUBLE)")
+        + " AS coverage_percentage FROM counted",
+    ),
     "join_stored_coverage_performance": """SELECT coalesce(c.region, p.region) AS region,
   coalesce(c.ts, p.ts) AS ts, c.region_name, c.coverage_percentage, c.satellite_count,
   c.avg_signal_strength, p.latency_ms, p.throughput_mbps, p.availability_percentage

@@ -92,11 +92,11 @@ def load_all(
         return {}
     spark = outputs[present[0]].sparkSession
     shared_folder(spark)  # checkpoints need a folder
-    results = _side_by_side(spark, {name: lambda name=name: jobs[name](outputs[name]) for name in present})
+    results = side_by_side(spark, {name: lambda name=name: jobs[name](outputs[name]) for name in present})
     return {output: rows for counts in results.values() for output, rows in counts.items()}
 
 
-def _side_by_side(spark: SparkSession, jobs: Mapping[str, Callable]) -> dict:
+def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable]) -> dict:
     """Results by name, once all jobs have ended; an error that names those that failed."""
     run = inheritable_thread_target(spark)(lambda name: jobs[name]())
     with ThreadPoolExecutor(len(jobs)) as pool:
@@ -128,7 +128,7 @@ def _staged(spark: SparkSession, config: BatchConfig, folder: str) -> tuple[dict
         refused = write_parquet(bad, target) if config.batch is None else replace_batch(bad, target, (), config.batch)
         return rows.drop(CORRUPT), {f"extracted/{dataset.name}": extracted, f"rejected/{dataset.file_stem}": refused}
 
-    done = _side_by_side(spark, {d.name: lambda d=d: stage(d) for d in RAW_DATASETS})
+    done = side_by_side(spark, {d.name: lambda d=d: stage(d) for d in RAW_DATASETS})
     counts = {name: n for _, some in done.values() for name, n in some.items()}
     return {name: rows for name, (rows, _) in done.items()}, counts
 
@@ -150,7 +150,7 @@ def _batch_outputs(raw: Mapping[str, DataFrame], root: str, batch: str, batches:
     valid = valid_positions(raw["satellite"])
     rows = {SATELLITE_STATS: valid, COVERAGE_STATS: raw["coverage"], PERFORMANCE_STATS: raw["performance"]}
     store = lambda t: replace_batch(hourly_partials(rows[t], t), f"{root}/partials/{t.name}", (), batch)
-    _side_by_side(spark, {t.name: lambda t=t: store(t) for t in STATS_TABLES})
+    side_by_side(spark, {t.name: lambda t=t: store(t) for t in STATS_TABLES})
     mean = mean_velocity(stored_partials(spark, root, SATELLITE_STATS, [batch]))
     outputs = {"satellite": orbital_metrics(impute_velocity_mean(valid, F.lit(mean).cast("double")))}
     outputs |= {name: raw[name] for name in ("coverage", "performance")}
