@@ -185,7 +185,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"),
         edited.alias("edited"),
     )
-    following = following.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    # as bytes, half as long on the way
+    following = following.withColumn("edited_sha256", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     key = ["doc_id", "id", "tie", "next_id", "next_tie", "n_chars", "edited_sha256"]
     changed = sketched(following, "edited", key).withColumnRenamed("vector", "changed")
     after = own.select(F.col("id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("own").alias("after"))
@@ -194,7 +195,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return done.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
         text_of(F.col("own")).alias("fingerprint"),
         text_of(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
