@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from perigee.llm.common import saved
 from perigee.llm.merkle import lower_ascii
 
-#: What separates words, as a Java pattern.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words of a text in its own letters, as a Java pattern; and the characters that words are made of.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+INSIDE = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 # The phrases with their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 # Sentences of widespread licenses with their labels.
@@ -66,14 +67,19 @@ STEP = 40
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A to Z in lower case; none for null."""
-    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN, -1), "")
+    """The words of a text in its own letters; none for null."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN, -1), "")
+
+
+def _lower(word: Column) -> Column:
+    """A word with A to Z in lower case, letter by letter only where it has others than ASCII."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(lower_ascii(word))
 
 
 def template_words(templates: Sequence[tuple[str, str]]) -> list[tuple[int, str, list[str]]]:
     """Number, label and distinct words of each template."""
-    between = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
-    split = [(label, text.translate(str.maketrans(between, " " * len(between))).lower().split()) for label, text in templates]
+    lower = {c: (chr(c).lower() if chr(c).isalnum() else " ") for c in range(128)}
+    split = [(label, [w for w in text.translate(lower).split(" ") if w]) for label, text in templates]
     if any(not 0 < len(words) <= STEP for _, words in split):
         raise ValueError(f"templates must have 1 to {STEP} words")
     return [(k, label, sorted(set(words))) for k, (label, words) in enumerate(split)]
@@ -98,10 +104,9 @@ def _places(words: Column, phrases: Mapping[str, str]) -> Column:
     return F.array_sort(F.concat(*(of(p, label) for p, label in phrases.items())))
 
 
-def _frequencies(words: DataFrame, known: list[str]) -> dict[str, int]:
+def _frequencies(read: DataFrame) -> dict[str, int]:
     """Texts that have each of the templates' words: as many rows as those have words, whatever the texts."""
-    inside = F.array_distinct(F.filter("words", lambda w: w.isin(known)))
-    counted = words.select(F.explode(inside).alias("word")).groupBy("word").count()
+    counted = read.select(F.explode(F.array_distinct("marks.word")).alias("word")).groupBy("word").count()
     return {r["word"]: r["count"] for r in counted.collect()}
 
 
@@ -160,27 +165,26 @@ def scan(
     numbered = template_words(templates)
     known = sorted({w for _, _, words in numbered for w in words})
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
-    rank, ranked = _ranked(numbered, _frequencies(rows, known))
-    # the rarest words of the templates, without one of which no block has any of them
-    rare = sorted({r for ranks in ranked.values() for r in ranks[: len(ranks) - needed(len(ranks), contained) + 1]})
-    by_rank = sorted(rank, key=rank.get)
-    worth = F.arrays_overlap("words", F.array(*(F.lit(by_rank[r]) for r in rare)))
-    number = F.create_map(*(F.lit(v) for pair in rank.items() for v in pair))
-    spelled = F.transform("words", lambda w, i: F.struct(i.alias("at"), F.when(w.isin(known), w).alias("word")))
-    marks = F.when(worth, F.filter(spelled, lambda m: m["word"].isNotNull()))
-    wanted = reduce(lambda a, b: a | b, (F.array_contains("words", p.split()[0]) for p in phrases), F.lit(False))
-    places = F.when(wanted, _places(F.col("words"), phrases))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), words_of(text).alias("words"))
+    apart = "|".join(BETWEEN.join(p.split()) for p in phrases)
+    places = F.when(F.col("text").rlike(f"(?i)(?<!{INSIDE})(?:{apart})(?!{INSIDE})"), _places(F.transform("words", _lower), phrases))
     none = F.array().cast("array<struct<at:bigint,label:string>>")
+    spelled = F.transform("words", lambda w, i: F.when(_lower(w).isin(known), F.struct(i.alias("at"), _lower(w).alias("word"))))
     read = rows.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.coalesce(places, none).alias("places"),
-        marks.alias("marks"),
+        (F.coalesce(places, none) if phrases else none).alias("places"),
+        F.filter(spelled, lambda m: m.isNotNull()).alias("marks"),
     )
-    read = saved(read, "license-rows")  # which also fixes the numbers of the rows
-    marked = read.filter("marks IS NOT NULL").select("row", F.inline("marks")).select("row", "at", number[F.col("word")].alias("rank"))
+    read = saved(read, "license-rows")  # texts are read once; this also fixes the numbers of the rows
+    rank, ranked = _ranked(numbered, _frequencies(read))
+    # the rarest words of the templates, without one of which no block has any of them
+    rare = {r for ranks in ranked.values() for r in ranks[: len(ranks) - needed(len(ranks), contained) + 1]}
+    worth = F.arrays_overlap("marks.word", F.array(*(F.lit(w) for w in sorted(w for w, r in rank.items() if r in rare))))
+    number = F.create_map(*(F.lit(v) for pair in rank.items() for v in pair))
+    marked = read.filter(worth).select("row", F.inline("marks")).select("row", "at", number[F.col("word")].alias("rank"))
     labels = spark.createDataFrame([(k, label) for k, label, _ in numbered], "template int, label string")
     found = matches(marked, ranked, contained).join(F.broadcast(labels), "template")
     found = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("block", "template", "label", "share"))).alias("blocks"))
