@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from perigee.llm.windows import Windows, covered_with_repeats, sorted_order, with_runs
+from perigee.llm.windows import Windows, by_sides, covered_with_repeats, with_runs
 
 #: Words of a window, and of the minimiser that decides where it is counted.
 WORDS, MINIMISER = 13, 4
@@ -31,4 +31,4 @@ def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
         return doc_id, n, removed, b" ".join(words).decode()
 
     schema = "doc_id long, n_words long, n_removed long, kept string"
-    return with_runs(docs, spec, sorted_order, finish, schema)
+    return with_runs(docs, spec, by_sides, finish, schema)

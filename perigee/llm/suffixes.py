@@ -1,10 +1,13 @@
 """Repeated byte strings, removed everywhere but where they stand first, by bucket-pointer refinement.
 
-Suffixes need to be sorted only as far as one window, and only where windows can repeat at all. The
-initial buckets hold the suffixes that start with the same q-gram, the minimiser of the windows around
-it. Each bucket is refined by sorting on the numbers of the buckets that later offsets belong to: blocks
-of eight bytes get numbers, pairs of numbers get numbers for twice the length, and so on recursively, so
-that every level reuses the one before. What precedes the q-gram is refined the same way.
+Suffixes need to be sorted only as far as one window. Each has the number of its bucket: at first that of the q-gram
+it starts with. Buckets are refined by sorting their suffixes on the numbers of the buckets that hold the suffixes q
+bytes later, whichever string and bucket those are in; the new numbers, good for twice the length, are read in the
+next round at twice the offset, and so on up to the window's length. A suffix that is alone in its bucket, or whose
+later suffix is, occurs once and takes no further part.
+
+Suffixes that can start a repeated window are brought together by the gram that is the minimiser of the windows
+around them: the text around it travels as a string, and the suffixes of all strings in a bucket are refined as one.
 """
 
 from __future__ import annotations
@@ -12,31 +15,75 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from perigee.llm.windows import Windows, blocks_of, covered, with_runs
+from perigee.llm.windows import Windows, covered, with_runs
+
+BYTES, MINIMISER = 100, 24
+#: Bytes of the grams that give the first buckets: their numbers are the grams themselves.
+QGRAM = 8
+SPEC = Windows(size=BYTES, anchor=MINIMISER, words=False, strict=False, slab=8_000)
+
 
-BYTES, QGRAM = 100, 24
-SPEC = Windows(size=BYTES, anchor=QGRAM, words=False, strict=False)
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the buckets of equal keys, which sort like the keys, and which keys share a bucket."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = ranked[1:] != ranked[:-1]
+    numbers, shared = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    numbers[order] = np.cumsum(new[:-1])
+    shared[order] = ~(new[:-1] & new[1:])
+    return numbers, shared
 
 
-def _numbered(*columns: np.ndarray) -> np.ndarray:
-    """Bucket numbers that sort like the columns' rows."""
-    by = np.lexsort(columns[::-1])
-    new = np.zeros(len(by), bool)
-    for column in columns:
-        sorted_column = column[by]
-        new[1:] |= sorted_column[1:] != sorted_column[:-1]
-    out = np.empty(len(by), np.int64)
-    out[by] = np.cumsum(new)
-    return out
+def refined(tokens: np.ndarray, left: np.ndarray, size: int, qgram: int = QGRAM) -> np.ndarray:
+    """For every suffix of ``tokens`` the number of the bucket of its first ``size`` bytes, 0 where no other has the same.
+
+    ``left`` has the bytes from each suffix to the end of its string; a shorter suffix than ``size`` has 0.
+    ``qgram`` is at most 8 and at most ``size``.
+    """
+    number = np.zeros(len(tokens), np.int64)
+    at = np.flatnonzero(left >= qgram)
+    padded = np.append(tokens, np.zeros(8, np.uint8)).tobytes()
+    grams = np.ndarray(len(tokens), ">u8", padded, strides=(1,))[at].astype(np.uint64) >> np.uint64(64 - 8 * qgram)
+    depth, (numbers, shared) = qgram, _numbered(grams)
+    at = at[shared]
+    number[at] = numbers[shared]
+    while depth < size and len(at):
+        step = min(depth, size - depth)
+        at = at[left[at] >= depth + step]
+        at = at[number[at + step] > 0]
+        numbers, shared = _numbered(number[at] * (len(tokens) + 1) + number[at + step])
+        at, number = at[shared], np.zeros(len(tokens), np.int64)
+        number[at] = numbers[shared]
+        depth += step
+    return number
 
 
-def refined_order(bucket: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """An order by bucket, then by the side's bytes."""
-    pointers = [_numbered(block) for block in blocks_of(side)]
-    while len(pointers) > 1:
-        pairs = [_numbered(a, b) for a, b in zip(pointers[::2], pointers[1::2])]
-        pointers = pairs + pointers[len(pairs) * 2 :]
-    return np.lexsort((pointers[0], bucket))
+def by_refinement(strings, spec, at, anchor, tokens, low, high) -> list[np.ndarray]:
+    """Runs that fall among the strings ``at``, which have tokens ``low`` to ``high``, by refining all their suffixes."""
+    sizes = high - low
+    begins = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(at)), sizes)
+    inside = np.arange(len(owner)) - begins[owner]
+    number = refined(tokens[low[owner] + inside], sizes[owner] - inside, spec.size, min(QGRAM, spec.size))
+    window = np.flatnonzero(number)
+    ids, starts = strings.ids[at][owner[window]], strings.starts[at][owner[window]] + inside[window]
+    order = np.lexsort((starts, ids, number[window]))
+    bucket = number[window][order]
+    first = np.ones(len(order), bool)
+    first[1:] = bucket[1:] != bucket[:-1]
+    leader = np.repeat(order[first], np.diff(np.append(np.flatnonzero(first), len(order))))
+    late = (ids[order] > ids[leader]) | (starts[order] > starts[leader])
+    if spec.strict:
+        late = ids[order] > ids[leader]
+    falls = np.sort(window[order[late]])
+    # windows side by side in one string are one run
+    new = np.ones(len(falls) + 1, bool)
+    new[1:-1] = (falls[1:] != falls[:-1] + 1) | (owner[falls[1:]] != owner[falls[:-1]])
+    cuts = np.flatnonzero(new)
+    head = falls[cuts[:-1]]
+    row = at[owner[head]]
+    return [strings.ids[row], strings.tags[row], strings.starts[row] + inside[head], np.diff(cuts) + spec.size - 1]
 
 
 def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
@@ -57,4 +104,4 @@ def without_repeats(docs: DataFrame, spec: Windows = SPEC) -> DataFrame:
         return doc_id, len(text), int(falls.sum()), spans, np.frombuffer(text, np.uint8)[~falls].tobytes()
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return with_runs(docs, spec, refined_order, finish, schema)
+    return with_runs(docs, spec, by_refinement, finish, schema)

@@ -5,7 +5,7 @@ in it, the leftmost one with the smallest hash. Consecutive windows with the sam
 travel together as one packed string to the bucket of that gram, where equal windows must meet. In a
 bucket, strings with the same anchor are sorted by what follows and by what precedes it; two windows are
 equal exactly when their anchors stand at the same place in them and both sides agree, so no hash
-decides about equality.
+decides about equality. How the strings of a bucket are compared is a parameter.
 
 Skew: every task first merges equal strings of its own rows, so a passage with any number of copies
 reaches its bucket once per task. Anchors that many different strings share are counted beforehand, and
@@ -41,7 +41,7 @@ BUCKET_BYTES = 12 << 20
 PARTITION_BUCKETS = 16
 #: Compression of what travels.
 LEVEL = 5
-#: Strings of a bucket compared at once; more only if they share one anchor.
+#: Strings of a bucket compared at once, if nothing else is said.
 SLAB_ROWS = 40_000
 #: An anchor with more strings than this share of a bucket's is heavy.
 HEAVY_SHARE = 0.25
@@ -54,13 +54,15 @@ class Windows:
     """``size`` tokens a window, ``anchor`` tokens a minimiser; tokens are words or bytes.
 
     ``strict``: a window is removed only if it occurs in a document with a smaller id; otherwise also
-    if it occurs earlier in the same document.
+    if it occurs earlier in the same document. ``slab``: strings of a bucket compared at once; more only if
+    they share one anchor.
     """
 
     size: int
     anchor: int
     words: bool
     strict: bool
+    slab: int = SLAB_ROWS
 
     @property
     def spread(self) -> int:
@@ -326,8 +328,8 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 8 << 20) ->
 # ---- within a bucket
 
 
-def _solved(strings: Strings, spec: Windows, order: Callable) -> Iterator[list[np.ndarray]]:
-    """Runs of windows that fall among the strings of one bucket."""
+def _solved(strings: Strings, spec: Windows, compare: Callable) -> Iterator[list[np.ndarray]]:
+    """Runs of windows that fall among the strings of one bucket, by what ``compare`` finds among those that share anchors."""
     strings = strings.take(np.lexsort((strings.starts + strings.anchors, strings.ids)))
     sizes = strings.counts + spec.size - 1
     ends = np.cumsum(sizes)
@@ -349,23 +351,24 @@ def _solved(strings: Strings, spec: Windows, order: Callable) -> Iterator[list[n
     rows = np.flatnonzero(often[anchor] > 1)
     rows = rows[np.argsort(anchor[rows], kind="stable")]
     cuts = np.flatnonzero(np.diff(anchor[rows], prepend=-1))
-    begin = 0
+    begin, slab = 0, min(spec.slab, SLAB_ROWS)
     while begin < len(rows):
-        k = np.searchsorted(cuts, begin + SLAB_ROWS, "right") - 1
+        k = np.searchsorted(cuts, begin + slab, "right") - 1
         end = cuts[k] if k >= 0 and cuts[k] > begin else (cuts[cuts > begin][0] if (cuts > begin).any() else len(rows))
-        if len(rows) - begin <= SLAB_ROWS:
+        if len(rows) - begin <= slab:
             end = len(rows)
         at = np.sort(rows[begin:end])
         begin = end
-        yield _slab(strings, spec, order, at, anchor[at], tokens, ends[at] - sizes[at], ends[at])
+        yield compare(strings, spec, at, anchor[at], tokens, ends[at] - sizes[at], ends[at])
 
 
-def _slab(strings, spec, order, at, anchor, tokens, low, high) -> list[np.ndarray]:
+def by_sides(strings, spec, at, anchor, tokens, low, high) -> list[np.ndarray]:
+    """Runs that fall among the strings ``at``, which have tokens ``low`` to ``high``, by sorting what stands beside the anchors."""
     place, n, spread = strings.anchors[at], len(at), spec.spread
     middle = low + place
     left = _side(tokens, middle[:, None] - 1 - np.arange(spread), low[:, None], high[:, None])
     right = _side(tokens, middle[:, None] + spec.anchor + np.arange(spread), low[:, None], high[:, None])
-    left_class, right_class = _classes(anchor, left, order), _classes(anchor, right, order)
+    left_class, right_class = _classes(anchor, left), _classes(anchor, right)
     falls = np.zeros((n, spread + 1), bool)  # by tokens before the anchor
     ids, counts, middle_at = strings.ids[at], strings.counts[at], strings.starts[at] + place
     for before in range(spread + 1):
@@ -402,9 +405,9 @@ def _side(tokens: np.ndarray, index: np.ndarray, low: np.ndarray, high: np.ndarr
     return np.where(inside, tokens[np.where(inside, index, 0)], tokens.dtype.type(0))
 
 
-def _classes(anchor: np.ndarray, side: np.ndarray, order: Callable) -> Callable[[int], np.ndarray]:
+def _classes(anchor: np.ndarray, side: np.ndarray) -> Callable[[int], np.ndarray]:
     """For a length: a number for each row, equal where anchor and so many tokens are equal."""
-    by = order(anchor, side)
+    by = np.lexsort((*reversed(blocks_of(side)), anchor))
     equal = side[by[1:]] == side[by[:-1]]
     common = np.where(equal.all(axis=1), side.shape[1], equal.argmin(axis=1))
     common = np.append(-1, np.where(anchor[by[1:]] == anchor[by[:-1]], common, -1))
@@ -426,10 +429,6 @@ def blocks_of(side: np.ndarray) -> list[np.ndarray]:
     return list(wide.view(">u8").astype(U).T)
 
 
-def sorted_order(anchor: np.ndarray, side: np.ndarray) -> np.ndarray:
-    return np.lexsort((*reversed(blocks_of(side)), anchor))
-
-
 # ---- the whole
 
 
@@ -457,7 +456,7 @@ def _anchor_weights(spec: Windows) -> Callable:
     return run
 
 
-def falling_runs(docs: DataFrame, spec: Windows, order: Callable, total: int) -> DataFrame:
+def falling_runs(docs: DataFrame, spec: Windows, compare: Callable, total: int) -> DataFrame:
     """``id, tag, data`` for documents ``id, tag, text``: runs of tokens (start, length, as pairs of unsigned
     32-bit numbers) that are covered by windows with an earlier occurrence; several rows per document. ``total`` is the number of bytes of all texts."""
     buckets = max(1, math.ceil(total * spec.expansion() / BUCKET_BYTES))
@@ -490,7 +489,7 @@ def falling_runs(docs: DataFrame, spec: Windows, order: Callable, total: int) ->
             held, size, current = [], 0, None
 
             def done():
-                for runs in _solved(Strings.joined(held), spec, order):
+                for runs in _solved(Strings.joined(held), spec, compare):
                     yield from _runs_by_document(runs)
 
             for batch in batches:
@@ -536,7 +535,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_runs(docs: DataFrame, spec: Windows, order: Callable, finish: Callable, schema: str) -> DataFrame:
+def with_runs(docs: DataFrame, spec: Windows, compare: Callable, finish: Callable, schema: str) -> DataFrame:
     """``finish(doc_id, text, runs)`` for every row: a tuple of ``schema`` from its bytes and the runs of tokens that fall.
 
     Texts travel to their runs once, packed like the strings.
@@ -544,7 +543,7 @@ def with_runs(docs: DataFrame, spec: Windows, order: Callable, finish: Callable,
     rows = keyed(docs)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     places = max(1, math.ceil(total / BUCKET_BYTES))
-    runs = falling_runs(rows.select("id", "tag", "text"), spec, order, total)
+    runs = falling_runs(rows.select("id", "tag", "text"), spec, compare, total)
     runs = runs.select(F.pmod(F.xxhash64("id", "tag"), F.lit(places)).alias("place"), "id", "tag", "data")
     texts = rows.withColumn("place", F.pmod(F.xxhash64("id", "tag"), F.lit(places)))
     texts = texts.mapInArrow(_packed_texts, "place long, id long, tag int, data binary")

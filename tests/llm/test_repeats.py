@@ -68,6 +68,22 @@ def test_small_buckets_blocks_and_heavy_anchors_change_nothing(spark, check, mon
     check(documents(spark, some).repartition(4))
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_refined_buckets_are_those_of_equal_windows_in_their_order(seed):
+    some = np.random.default_rng(seed)
+    size, qgram = int(some.choice([8, 9, 33, 100])), int(some.choice([1, 3, 8]))
+    strings = [bytes(some.choice([0, 97, 255], n).astype(np.uint8)) for n in some.integers(0, 60, 6)] + [b"a" * int(some.integers(0, 250))] * 2
+    data = b"".join(strings)
+    left = np.concatenate([np.arange(len(s), 0, -1) for s in strings])
+    number = suffixes.refined(np.frombuffer(data, np.uint8), left, size, qgram)
+    found = [data[i : i + size] if left[i] >= size else None for i in range(len(data))]
+    twice = {w for w in found if w is not None and found.count(w) > 1}
+    names = dict(zip(found, number.tolist(), strict=True))
+    assert [n > 0 for n in number] == [w in twice for w in found]
+    assert all(names[w] == n for w, n in zip(found, number, strict=True) if w in twice)
+    assert sorted(twice) == sorted(twice, key=names.get) and len({names[w] for w in twice}) == len(twice)
+
+
 @pytest.mark.parametrize("check", [check_words, check_bytes])
 def test_empty_table(spark, check):
     check(documents(spark, []))
