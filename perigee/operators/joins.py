@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +86,10 @@ def dashboard_view(coverage_stats: DataFrame, performance_stats: DataFrame) -> D
 
 #: Regions that a cell may have before it is split, and how often cells are split at most.
 CELL_REGIONS, SPLITS = 64, 40
+#: Result rows and positions meant for one task.
+TASK_ROWS, TASK_POSITIONS = 250_000, 100_000
+#: Slices of leaves that all times are joined with.
+SLICES = 16
 
 
 @dataclass(frozen=True)
@@ -162,6 +167,22 @@ def positions_in_cells(seen: DataFrame, cells: RegionCells, width: float) -> Dat
     return rows.drop(*_BOUNDS)
 
 
+def _hits_of_leaves(hits: DataFrame, cells: RegionCells, time_col: str) -> DataFrame:
+    """``hits`` with those of whole cells passed down to the leaves, level by level: a cell has few parts, so no key is hot."""
+    whole, leaves = hits.where(F.col("_lat").isNull()).select(time_col, "cell", "_hits"), []
+    above = None
+    for level in cells.levels:
+        rows = whole.join(level.select("cell", "leaf"), "cell").select(time_col, "cell", "leaf", "_hits")
+        if above is not None:
+            parts = level.select(F.col("cell").alias("_part"), F.col("parent").alias("cell"), "leaf")
+            rows = rows.union(above.join(parts, "cell").select(time_col, F.col("_part").alias("cell"), "leaf", "_hits"))
+        rows = rows.groupBy(time_col, "cell", "leaf").agg(F.sum("_hits").alias("_hits")).checkpoint()
+        leaves.append(rows.where("leaf"))
+        above = rows.where("NOT leaf").drop("leaf")
+    whole = reduce(DataFrame.union, leaves).select(time_col, "cell", F.lit(None).cast("double").alias("_lat"), F.lit(None).cast("double").alias("_lon"), "_hits")
+    return whole.union(hits.where(F.col("_lat").isNotNull()).select(whole.columns))
+
+
 def region_coverage_from_positions(
     positions: DataFrame,
     regions: DataFrame | Sequence[tuple[str, str, float, float]] = fixed.REGIONS,
@@ -173,7 +194,8 @@ def region_coverage_from_positions(
     ``regions`` has ``region_id, region_name, latitude, longitude``. Regions lie in cells as wide as the range, split where they
     are dense. A position is counted for a whole cell if it reaches all of its regions; it is measured against single
     regions only in leaves that the edge of its range crosses. Every time gets a row for each region, with 0 where
-    nothing is in range: the regions are gathered once for that, as many as a result row for one time has.
+    nothing is in range: each leaf has a hit of 0 at each time, and regions without a place count as leaves.
+    Tasks are as many as the rows of the result need.
     """
     spark = positions.sparkSession
     if not isinstance(regions, DataFrame):
@@ -184,20 +206,33 @@ def region_coverage_from_positions(
     seen = positions.select(tick.alias(time_col), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
     sound = F.col("_lat").between(-1e6, 1e6) & F.col("_lon").between(-1e6, 1e6)
     cells = region_cells(regions, width)
-    reached = positions_in_cells(seen.where(sound), cells, width)
+    ticks = seen.groupBy(time_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    times, number = ticks.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = seen.where(sound).repartition(max(least, ceil(number / TASK_POSITIONS)))
+    reached = positions_in_cells(spread, cells, width)
     single = lambda c: F.when(F.col("_state") == "some", F.col(c)).alias(c)
-    hits = reached.groupBy(time_col, "cell", single("_lat"), single("_lon")).agg(F.count(F.lit(1)).alias("_hits"))
+    hits = reached.groupBy(time_col, "cell", single("_lat"), single("_lon")).agg(F.count(F.lit(1)).alias("_hits")).checkpoint()
+
+    no_place = lambda *names: (F.lit(None).cast("double").alias(c) for c in names)
+    placed = F.coalesce(F.col("latitude").between(-1e6, 1e6) & F.col("longitude").between(-1e6, 1e6), F.lit(False))
+    apart = regions.where(~placed).select(F.concat(F.lit("-:"), F.xxhash64("region_id").cast("string")).alias("cell"), "region_id")
+    leaves = reduce(DataFrame.union, (c.where("leaf").select("cell") for c in cells.levels))
+    members = cells.members.join(leaves, "cell", "left_semi").union(apart.select("*", *no_place("_lat0", "_lon0")))
+    sliced = leaves.union(apart.select("cell").distinct()).withColumn("_slice", F.pmod(F.xxhash64("cell"), F.lit(SLICES)).cast("int"))
+    by_slice = ticks.select(time_col, F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("_slice"))
+    nothing = by_slice.join(sliced, "_slice").select(time_col, "cell", *no_place("_lat", "_lon"), F.lit(0).cast("bigint").alias("_hits"))
+
+    tasks = max(least, ceil(regions.count() * times / TASK_ROWS))
+    key = F.coalesce(F.concat(F.lit("="), F.col("region_id").cast("string")), F.lit("")).alias("_key")
+    near = _hits_of_leaves(hits, cells, time_col).union(nothing).repartition(tasks, "cell").join(members.repartition(tasks, "cell"), "cell")
     distance = planar_distance_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0"))
-    near = hits.join(cells.members, "cell").where(F.col("_lat").isNull() | (distance < fixed.VISIBLE_RANGE_KM))
-    counted = near.groupBy(time_col, "region_id").agg(F.sum("_hits").alias("satellite_count"))
-    every = regions.agg(F.collect_list(F.struct("region_id", "region_name"))).scalar()
-    grid = seen.select(time_col).distinct().select(time_col, F.inline(every))
-    same = counted.withColumnsRenamed({time_col: "_tick", "region_id": "_region"})
-    on = grid[time_col].eqNullSafe(same["_tick"]) & (grid["region_id"] == same["_region"])
-    number = F.coalesce("satellite_count", F.lit(0)).cast("bigint")
+    near = near.where(F.col("_lat").isNull() | (distance < fixed.VISIBLE_RANGE_KM))
+    counted = F.when(F.col("region_id").isNotNull(), F.col("_hits")).otherwise(0).alias("_hits")
+    counts = near.select(time_col, key, counted).repartition(tasks, "_key").groupBy(time_col, "_key").agg(F.sum("_hits").alias("satellite_count"))
+    names = regions.select("region_id", "region_name", key).repartition(tasks, "_key")
     return (
-        grid.join(same, on, "left")
-        .withColumn("satellite_count", number)
+        counts.join(names, "_key")
         .withColumn("coverage_percentage", coverage_from_count(F.col("satellite_count")))
         .select("region_id", "region_name", time_col, "coverage_percentage", "satellite_count")
     )

@@ -201,6 +201,22 @@ def test_regions_crowded_in_one_area_are_not_all_compared(spark):
     assert max(r["count"] for r in cells.levels[-1].join(cells.members, "cell").groupBy("cell").count().collect()) <= number // 20 + joins.CELL_REGIONS
 
 
+def test_crowded_regions_are_dealt_to_tasks_and_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 500)
+    places = [(f"r{k % 2900}", f"n{k}", 40 + k / 3000, 5.0) for k in range(3000)] + [(None, "no id", 40.0, 5.0), ("no place", "n", None, 5.0), (None, "neither", 5.0, math.nan)]
+    regions = spark.createDataFrame(places, "region_id string, region_name string, latitude double, longitude double")
+    df = spark.createDataFrame([(t, 40.5, lon) for t in (T0, T1, None) for lon in (5.0, 5.0, 23.0)], "timestamp timestamp, latitude double, longitude double")
+    got = joins.region_coverage_from_positions(df, regions)
+    assert got.rdd.getNumPartitions() >= 3 * len(places) // 500 and "inline(scalar" not in plan(got) and "Subquery" not in plan(got)
+    wanted = {}
+    for name, _, lat0, lon0 in places:
+        near = [math.sqrt((40.5 - lat0) ** 2 + (lon - lon0) ** 2) * 111 < 2000 for lon in (5.0, 5.0, 23.0)] if name and lat0 else []
+        wanted[name] = wanted.get(name, 0) + sum(near)
+    assert rows(got.select("region_id", "region_name", "timestamp", "satellite_count")) == sorted(
+        ((name, label, t, wanted[name]) for name, label, _, _ in places for t in (T0, T1, None)), key=repr
+    )
+
+
 @pytest.mark.parametrize("most", [1, 3])
 def test_cells_split_down_to_single_regions(spark, monkeypatch, most):
     monkeypatch.setattr(joins, "CELL_REGIONS", most)
