@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE, with_ids: boo
                 rows = []
                 for (doc_id, copy), ids in zip(
                     zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True),
-                    encoder.encoded(part.column(1).to_pylist()),
+                    encoder.encoded(part.column(1).cast(pa.binary()).to_pylist()),
                     strict=True,
                 ):
                     ids += bytes(4)

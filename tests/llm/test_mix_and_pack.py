@@ -139,3 +139,22 @@ def test_sources_get_their_weights_in_order_of_code_points(spark):
     wanted = {n: (5, 2, 1)[k % 3] * 10_000 / total for k, n in enumerate(ordered)}
     got = {r.source: r.target for r in mixing.targets(rows).collect()}
     assert got == pytest.approx(wanted)
+
+
+def test_words_of_letters_and_marks_are_not_encoded_one_by_one():
+    tokenizer, encoder = Tokenizer.from_file(VOCABULARY), WordEncoder(VOCABULARY)
+    text = "Ciudad ciudad, órgano Órgano... levè&&& ouïe; straße! ΣΑΣ İstanbul'da it's, 'tis *** end*** <|endoftext|> a<|endoftext|> x_1_y 日本語。"
+    alone = []
+    each = encoder._encode_each
+    encoder._encode_each = lambda words: alone.extend(words) or each(words)
+    got = encoder.encoded([text, text.encode(), None])
+    wanted = np.array(tokenizer.encode(" ".join(text.split()[:6]), add_special_tokens=False).ids, "<u4").tobytes()
+    assert got[0] == got[1] and got[2] == b"" and got[0].startswith(wanted)
+    for word in text.split():
+        ids = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encoded([word]) == [ids], word
+    first = WordEncoder(VOCABULARY)
+    first._encode_each = lambda words: alone.extend(words) or each(words)
+    alone.clear()
+    first.encoded([" ".join(text.split()[:7])])
+    assert {*alone} == {b"&&&", b",", b"...", b";", b"!"}
