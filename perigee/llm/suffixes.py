@@ -20,41 +20,53 @@ from perigee.llm.windows import Windows, covered, with_runs
 BYTES, MINIMISER = 100, 24
 #: Bytes of the grams that give the first buckets: their numbers are the grams themselves.
 QGRAM = 8
-SPEC = Windows(size=BYTES, anchor=MINIMISER, words=False, strict=False, slab=8_000)
+SPEC = Windows(size=BYTES, anchor=MINIMISER, words=False, strict=False, slab=1_000)
 
 
-def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the buckets of equal keys, which sort like the keys, and which keys share a bucket."""
-    order = np.argsort(keys)
-    ranked = keys[order]
+def _numbered(keys: np.ndarray, number: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Put into ``number`` the numbers of the buckets of equal keys, for the suffixes ``at`` that share one; return those.
+
+    A key and its place are sorted as one number: keys take at most the bits that places leave.
+    """
+    bits = np.uint64(len(keys).bit_length())
+    packed = (keys.astype(np.uint64) << bits) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    ranked = packed >> bits
     new = np.ones(len(keys) + 1, bool)
     new[1:-1] = ranked[1:] != ranked[:-1]
-    numbers, shared = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
-    numbers[order] = np.cumsum(new[:-1])
-    shared[order] = ~(new[:-1] & new[1:])
-    return numbers, shared
+    shared = np.flatnonzero(~(new[:-1] & new[1:]))
+    places = (packed[shared] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    number[at[places]] = np.cumsum(new[shared])
+    return np.flatnonzero(number)
 
 
 def refined(tokens: np.ndarray, left: np.ndarray, size: int, qgram: int = QGRAM) -> np.ndarray:
     """For every suffix of ``tokens`` the number of the bucket of its first ``size`` bytes, 0 where no other has the same.
 
     ``left`` has the bytes from each suffix to the end of its string; a shorter suffix than ``size`` has 0.
-    ``qgram`` is at most 8 and at most ``size``.
+    ``qgram`` is at most ``size``; the first grams are shorter if numbers of so many of the bytes that occur are too long.
     """
+    used = np.bincount(tokens, minlength=256) > 0
+    codes = (np.cumsum(used) - 1).astype(np.uint64)[tokens]
+    letters = max(2, int(used.sum()))
+    free = 64 - len(tokens).bit_length()
+    depth = max(n for n in range(1, qgram + 1) if n == 1 or letters**n <= 1 << free)
     number = np.zeros(len(tokens), np.int64)
-    at = np.flatnonzero(left >= qgram)
-    padded = np.append(tokens, np.zeros(8, np.uint8)).tobytes()
-    grams = np.ndarray(len(tokens), ">u8", padded, strides=(1,))[at].astype(np.uint64) >> np.uint64(64 - 8 * qgram)
-    depth, (numbers, shared) = qgram, _numbered(grams)
-    at = at[shared]
-    number[at] = numbers[shared]
+    at = np.flatnonzero(left >= depth)
+    grams = codes[: len(codes) - depth + 1].copy()
+    for k in range(1, depth):
+        grams = grams * np.uint64(letters) + codes[k : len(codes) - depth + 1 + k]
+    at = _numbered(grams[at], number, at)
     while depth < size and len(at):
         step = min(depth, size - depth)
         at = at[left[at] >= depth + step]
         at = at[number[at + step] > 0]
-        numbers, shared = _numbered(number[at] * (len(tokens) + 1) + number[at + step])
-        at, number = at[shared], np.zeros(len(tokens), np.int64)
-        number[at] = numbers[shared]
+        most = np.int64(number.max() + 1)
+        keys = number[at] * most + number[at + step]
+        if 2 * int(most).bit_length() + len(at).bit_length() > 64:
+            keys = np.unique(keys, return_inverse=True)[1]
+        number = np.zeros(len(tokens), np.int64)
+        at = _numbered(keys, number, at)
         depth += step
     return number
 

@@ -166,3 +166,16 @@ def test_anchors_are_counted_without_a_floor(monkeypatch):
     for batch in windows._anchor_weights(spec)(iter(())):
         sums += sum(batch.column(1).to_pylist())
     assert abs(sums - 1200) < 5 * (windows.SENT * 1200) ** 0.5
+
+
+def test_few_suffixes_are_sorted_at_once(monkeypatch):
+    r, sizes = np.random.default_rng(3), []
+    refined = suffixes.refined
+    monkeypatch.setattr(suffixes, "refined", lambda tokens, *rest: sizes.append(len(tokens)) or refined(tokens, *rest))
+    texts = [r.integers(0, 256, 120, np.uint8).tobytes() for _ in range(4_000)] * 2
+    n = len(texts)
+    same = np.arange(n)
+    strings = windows.Strings.of([same, 0 * same, 0 * same, 0 * same + 21, 0 * same + 48], texts)
+    runs = np.concatenate([np.stack(x) for x in windows._solved(strings, suffixes.SPEC, suffixes.by_refinement)], axis=1)
+    assert sum(sizes) == 120 * n and max(sizes) <= 200_000
+    assert sorted(map(tuple, runs.T.tolist())) == [(k, 0, 0, 120) for k in range(n // 2, n)]
